@@ -1,0 +1,4 @@
+"""All registered queries."""
+
+from brooklet.catalog import changes, joins, records, rules, sinks, visits, windows  # noqa: F401
+from brooklet.catalog.registry import ORACLES, QUERIES  # noqa: F401
