@@ -19,21 +19,18 @@ def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def with_window(df: DataFrame, time: str, width: str, into: str = "window_start") -> DataFrame:
-    return df.withColumn(into, F.window(time, width)["start"])
-
-
 def window_join(
     left: DataFrame, right: DataFrame, keys: list[str], width: str,
     left_time: str, right_time: str, how: str = "inner",
 ) -> DataFrame:
-    """Rows of both sides with equal keys in the same tumbling window.
+    """Rows of both sides with equal keys in the same tumbling window, kept as ``window``.
 
-    The window start is part of the join key, so one key spreads over its windows.
-    ``how="left"`` is the coGroup that keeps left rows without a partner.
+    The window is part of the join key, so one key spreads over its windows, and streams can
+    drop state once the watermark has passed it. ``how="left"`` is the coGroup that keeps
+    left rows without a partner.
     """
-    return with_window(left, left_time, width).join(
-        with_window(right, right_time, width).drop(right_time), [*keys, "window_start"], how
+    return left.withColumn("window", F.window(left_time, width)).join(
+        right.withColumn("window", F.window(right_time, width)), [*keys, "window"], how
     )
 
 

@@ -191,17 +191,23 @@ def rule_progress(
     return out.drop("base_counts", "base_step", "base_sequences")
 
 
-def decide(progress: DataFrame, rules: list[Rule], order: list[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Matches ``(rule_id, guid, match_time)`` at trigger rows, up to each rule's cap per user."""
-    rows = progress.where("is_trigger")
-    verdict = cap = None
+def verdicts(progress: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Trigger rows that meet their rule, with the rule's cap per user as ``_cap``."""
+    rows, verdict, cap = progress.where("is_trigger"), None, None
     for rule in rules:
         mine = F.col("rule_id") == F.lit(rule.rule_id)
         rows, test = _verdict(rows, rule)
         verdict = F.when(mine, test) if verdict is None else verdict.when(mine, test)
         limit = F.lit(rule.max_matches).cast("bigint")
         cap = F.when(mine, limit) if cap is None else cap.when(mine, limit)
-    matched = rows.withColumn("_cap", cap).where(verdict).select(*RULE_KEY, "match_time", *order, "_cap")
+    working = {"hits", "steps", "is_trigger", "sequences", "base_counts", "base_step", "base_sequences"}
+    kept = [c for c in progress.columns if c not in working and not c.startswith("count_")]
+    return rows.withColumn("_cap", cap).where(verdict).select(*kept, "_cap")
+
+
+def decide(progress: DataFrame, rules: list[Rule], order: list[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Matches ``(rule_id, guid, match_time)``, up to each rule's cap per user."""
+    matched = verdicts(progress, rules)
     if all(rule.max_matches is None for rule in rules):
         return matched.drop("_cap")
     numbered = running(matched, RULE_KEY, order, {"_match": running_count()}, block_rows=block_rows)

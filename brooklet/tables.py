@@ -23,6 +23,20 @@ ORDERS_SCHEMA = T.StructType([
     T.StructField("o_orderpriority", T.StringType()),
 ])
 
+LINEITEM_SCHEMA = T.StructType([
+    T.StructField("l_orderkey", T.LongType()),
+    T.StructField("l_partkey", T.LongType()),
+    T.StructField("l_suppkey", T.LongType()),
+    T.StructField("l_linenumber", T.IntegerType()),
+    T.StructField("l_quantity", T.DoubleType()),
+    T.StructField("l_extendedprice", T.DoubleType()),
+    T.StructField("l_discount", T.DoubleType()),
+    T.StructField("l_tax", T.DoubleType()),
+    T.StructField("l_returnflag", T.StringType()),
+    T.StructField("l_linestatus", T.StringType()),
+    T.StructField("l_shipdate", T.TimestampNTZType()),
+])
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
