@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from brooklet.operators.changestate import KeyedTable, text_schema
 from brooklet.operators.joins import asof_join, is_small
 from brooklet.operators.routing import prune_map
+from brooklet.plans.topic_sink import Broker
 from brooklet.sources.changelog import DELETE
+from brooklet.sources.topics import to_records
+from brooklet.streaming import runner
 
 # Sink types of the routing config.
 SINK_TOPIC, SINK_TABLE, SINK_COLUMN_STORE = "kafka", "hbase", "clickhouse"
@@ -50,3 +57,62 @@ def routed_as_of(
     known = asof_join(records, config_changes, keys, left_order=order, version_order=config_order)
     in_force = F.col(operation).isNotNull() & (F.col(operation) != DELETE)
     return known.withColumns({c: F.when(in_force, F.col(c)) for c in columns})
+
+
+# The job ------------------------------------------------------------------------------
+
+# Input topic, and the schema of its envelopes.
+TOPIC_CHANGES = "ods_base_db"
+ENVELOPE = (
+    "database STRING, `table` STRING, operation STRING, before MAP<STRING, STRING>, after MAP<STRING, STRING>"
+)
+DIMENSION_KEY = "id"
+
+
+def parse_envelopes(records: DataFrame) -> DataFrame:
+    """Envelopes of topic records; keeps ``offset``, the order of the changes."""
+    return records.select("offset", F.from_json("value", ENVELOPE).alias("c")).select("offset", "c.*")
+
+
+def start(
+    records: DataFrame, current_config: Callable[[SparkSession], DataFrame], broker: Broker,
+    dimensions: str, checkpoint: str,
+) -> StreamingQuery:
+    """Route a stream of change records.
+
+    The configuration is read anew for every micro-batch, so changes to it take effect.
+    Fact records go to the topic their config names, dimension records to the upsert table
+    of that name below ``dimensions``, the rest to the topic ``unrouted``.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        config = current_config(spark)
+        routed = route_changes(parse_envelopes(batch), config).persist()
+        try:
+            outputs = split_by_sink(routed)
+            payload = F.to_json("after")
+            broker.write(to_records(outputs["topic"], F.col("sink_table"), payload), "facts", batch_id)
+            broker.write(to_records(outputs["unrouted"], F.col("table"), payload), "unrouted", batch_id)
+            # One entry per configured dimension table.
+            tables = config.where(F.col("sink_type") == SINK_TABLE)
+            for name, columns, key in tables.select("sink_table", "sink_columns", "sink_pk").distinct().collect():
+                rows = outputs["table"].where(F.col("sink_table") == name)
+                dimension_table(spark, f"{dimensions}/{name}", key).upsert(
+                    dimension_rows(rows, columns, key), batch_id)
+        finally:
+            routed.unpersist()
+
+    return runner.start(records, write, checkpoint)
+
+
+def dimension_rows(rows: DataFrame, columns: str, key: str | None) -> DataFrame:
+    """The configured text columns of routed dimension records, with their ``offset``."""
+    def field(name: str) -> Column:
+        return F.try_element_at(F.col("after"), F.lit(name)).alias(name)
+
+    return rows.select("offset", *[field(f.name) for f in text_schema(columns, key)])
+
+
+def dimension_table(spark: SparkSession, path: str, key: str | None) -> KeyedTable:
+    return KeyedTable(spark, path, [key or DIMENSION_KEY], ["offset"])

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ENVELOPE = "key STRING, value STRING, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"
+FIELDS = ["key", "value", "topic", "partition", "offset", "timestamp"]
 
 
 def to_records(df: DataFrame, topic: Column | str, value: Column, key: Column | None = None) -> DataFrame:
@@ -18,6 +19,7 @@ def to_records(df: DataFrame, topic: Column | str, value: Column, key: Column |
 def read_topic(
     spark: SparkSession, topic: str, *, servers: str | None = None, folder: str | None = None,
     starting: str | int = "earliest", group_id: str | None = None, streaming: bool = True,
+    files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Records of a topic with text key and value.
 
@@ -33,7 +35,9 @@ def read_topic(
         return raw.withColumns({"key": F.col("key").cast("string"), "value": F.col("value").cast("string")})
     if not folder:
         raise ValueError("either servers or folder is needed")
-    records = reader.schema(ENVELOPE).json(folder).where(F.col("topic") == topic)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    records = reader.schema(ENVELOPE).json(folder).select(*FIELDS).where(F.col("topic") == topic)
     return records if starting == "earliest" else records.where(F.col("offset") >= int(starting))
 
 
@@ -46,5 +50,11 @@ def write_topic(records: DataFrame, *, servers: str | None = None, folder: str |
 
 
 def write_batch_once(records: DataFrame, folder: str, batch_id: int) -> None:
-    """Write a micro-batch to a folder of its own; a replayed batch replaces itself."""
-    records.write.mode("overwrite").json(f"{folder}/batch={batch_id}")
+    """Write a micro-batch to a folder of its own, split by topic; a replay replaces it.
+
+    Offsets are unique and grow from batch to batch.
+    """
+    offset = F.lit(batch_id).cast("bigint") * F.lit(2**48) + F.monotonically_increasing_id()
+    numbered = records.withColumns({
+        "partition": F.spark_partition_id(), "offset": offset, "timestamp": F.current_timestamp()})
+    numbered.write.mode("overwrite").partitionBy("topic").json(f"{folder}/batch={batch_id}")

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 from datetime import timedelta
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -33,9 +33,7 @@ def correct_new_flag(df: DataFrame, device: str, order: list[str], flag: str = "
     """
 
     def correct(key: tuple, batches: Batches, state: GroupState) -> Batches:
-        claimed = state.exists
-        if not claimed:
-            # Only the least claim of the batch is remembered before writing it out.
+        if not state.exists:
             rows = _ordered(batches, order)
             if rows is None:
                 return
@@ -53,66 +51,72 @@ def correct_new_flag(df: DataFrame, device: str, order: list[str], flag: str = "
     return decided.unionByName(others)
 
 
-def first_visits(df: DataFrame, device: str, time: str, entry, retention: str = "24 hours") -> DataFrame:
+def first_visits(
+    df: DataFrame, device: str, time: str, entry: Column, retention: str = "24 hours"
+) -> DataFrame:
     """First arriving entry page per device and day; state is dropped after ``retention``."""
     visits = df.where(entry).withColumn("visit_date", F.to_date(time))
     return visits.withWatermark(time, retention).dropDuplicatesWithinWatermark([device, "visit_date"])
 
 
 BOUNCE_STATE = (
-    "pending_at BIGINT, pending_id BIGINT, buffer_at ARRAY<BIGINT>, buffer_id ARRAY<BIGINT>,"
-    " buffer_entry ARRAY<BOOLEAN>"
+    "pending_at BIGINT, pending_id BIGINT, pending_payload STRING, buffer_at ARRAY<BIGINT>,"
+    " buffer_id ARRAY<BIGINT>, buffer_entry ARRAY<BOOLEAN>, buffer_payload ARRAY<STRING>"
 )
 
 
 def bounces(
-    df: DataFrame, device: str, time: str, row_id: str, entry, limit: timedelta, disorder: str
+    df: DataFrame, device: str, time: str, row_id: str, entry: Column, limit: timedelta, disorder: str,
+    payload: Column | None = None,
 ) -> DataFrame:
-    """Bounced entries ``(device, row_id, reason)`` of a stream.
+    """Bounced entries ``(device, row_id, reason, payload)`` of a stream.
 
     Rows wait in state until the watermark has passed them, so they are taken in event-time
     order across micro-batches. The entry waited on is decided by the next row, or by the
     watermark passing its limit. State holds rows of at most the allowed disorder.
     """
     width = span_micros(limit)
+    payload = F.lit(None).cast("string") if payload is None else payload
     rows = df.withWatermark(time, disorder).select(
-        device, time, micros(F.col(time)).alias("at"), F.col(row_id).alias("id"), entry.alias("entry"))
-    key_type = rows.schema[device].dataType
+        device, time, micros(F.col(time)).alias("at"), F.col(row_id).alias("id"), entry.alias("entry"),
+        payload.alias("payload"))
     out = T.StructType([
-        T.StructField(device, key_type), T.StructField(row_id, T.LongType()), T.StructField("reason", T.StringType())])
+        T.StructField(device, rows.schema[device].dataType), T.StructField(row_id, T.LongType()),
+        T.StructField("reason", T.StringType()), T.StructField("payload", T.StringType())])
 
     def watch(key: tuple, batches: Batches, state: GroupState) -> Batches:
-        pending_at = pending_id = None
-        buffer: list[tuple[int, int, bool]] = []
+        pending, buffer = None, []
         if state.exists:
-            pending_at, pending_id, at, ids, entries = state.get
-            buffer = list(zip(at, ids, entries))
+            at, row, text, *buffered = state.get
+            pending = None if at is None else (at, row, True, text)
+            buffer = list(zip(*buffered))
         for batch in batches:
-            buffer.extend(zip(batch["at"].tolist(), batch["id"].tolist(), batch["entry"].tolist()))
-        watermark = state.getCurrentWatermarkMs()
-        passed = sorted(r for r in buffer if r[0] <= watermark * 1000)
-        buffer = [r for r in buffer if r[0] > watermark * 1000]
-        found: list[tuple[int, str]] = []
-        for at, row, is_entry in passed:
-            if pending_at is not None:
-                if at - pending_at >= width:
-                    found.append((pending_id, "timeout"))
-                elif is_entry:
-                    found.append((pending_id, "reentry"))
-            pending_at, pending_id = (at, row) if is_entry else (None, None)
-        if pending_at is not None and pending_at + width <= watermark * 1000:
-            found.append((pending_id, "timeout"))
-            pending_at = pending_id = None
-        if pending_at is None and not buffer:
-            if state.exists:
-                state.remove()
-        else:
-            state.update((pending_at, pending_id, [r[0] for r in buffer], [r[1] for r in buffer],
-                          [bool(r[2]) for r in buffer]))
-            wake = [r[0] for r in buffer] + ([] if pending_at is None else [pending_at + width])
-            state.setTimeoutTimestamp(max(min(wake) // 1000, watermark + 1))
+            buffer.extend(zip(*[batch[c].tolist() for c in ("at", "id", "entry", "payload")]))
+        clock = state.getCurrentWatermarkMs()
+        passed = sorted((r for r in buffer if r[0] <= clock * 1000), key=lambda r: r[:2])
+        buffer = [r for r in buffer if r[0] > clock * 1000]
+        found = []
+        for row in passed:
+            if pending and row[0] - pending[0] >= width:
+                found.append((*pending, "timeout"))
+            elif pending and row[2]:
+                found.append((*pending, "reentry"))
+            pending = row if row[2] else None
+        if pending and pending[0] + width <= clock * 1000:
+            found.append((*pending, "timeout"))
+            pending = None
+        if pending or buffer:
+            at, row, _, text = pending or (None, None, None, None)
+            columns = [list(c) for c in zip(*buffer)] or [[], [], [], []]
+            state.update((at, row, text, *columns))
+            wake = min([r[0] for r in buffer] + ([at + width] if pending else []))
+            state.setTimeoutTimestamp(max(wake // 1000, clock + 1))
+        elif state.exists:
+            state.remove()
         if found:
-            yield pd.DataFrame({device: key[0], row_id: [f[0] for f in found], "reason": [f[1] for f in found]})
+            yield pd.DataFrame({
+                device: key[0], row_id: [f[1] for f in found], "reason": [f[4] for f in found],
+                "payload": [f[3] for f in found]})
 
     return rows.groupBy(device).applyInPandasWithState(
         watch, out, BOUNCE_STATE, "append", GroupStateTimeout.EventTimeTimeout)
