@@ -78,8 +78,8 @@ def bounces(
     width = span_micros(limit)
     payload = F.lit(None).cast("string") if payload is None else payload
     rows = df.withWatermark(time, disorder).select(
-        device, time, micros(F.col(time)).alias("at"), F.col(row_id).alias("id"), entry.alias("entry"),
-        payload.alias("payload"))
+        device, F.col(time).alias("_time"), micros(F.col(time)).alias("_at"), F.col(row_id).alias("_id"),
+        entry.alias("_entry"), payload.alias("_payload"))
     out = T.StructType([
         T.StructField(device, rows.schema[device].dataType), T.StructField(row_id, T.LongType()),
         T.StructField("reason", T.StringType()), T.StructField("payload", T.StringType())])
@@ -91,7 +91,7 @@ def bounces(
             pending = None if at is None else (at, row, True, text)
             buffer = list(zip(*buffered))
         for batch in batches:
-            buffer.extend(zip(*[batch[c].tolist() for c in ("at", "id", "entry", "payload")]))
+            buffer.extend(zip(*[batch[c].tolist() for c in ("_at", "_id", "_entry", "_payload")]))
         clock = state.getCurrentWatermarkMs()
         passed = sorted((r for r in buffer if r[0] <= clock * 1000), key=lambda r: r[:2])
         buffer = [r for r in buffer if r[0] > clock * 1000]
