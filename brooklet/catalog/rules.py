@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brooklet.catalog.registry import query
-from brooklet.functions.predicates import Attribute, EventColumns, EventSpec, event_predicate, json_attribute
+from brooklet.functions.predicates import (
+    Attribute, EventColumns, EventSpec, event_flag, event_ids, json_attribute,
+)
 from brooklet.functions.times import text
 from brooklet.operators import audience as people
 from brooklet.operators import rules as rule_ops
@@ -72,9 +74,8 @@ STEPS = [EventSpec("view"), EventSpec("click"), EventSpec("purchase")]
 
 
 def stepping(events: DataFrame) -> DataFrame:
-    hits = sequences.step_hits([event_predicate(s, COLUMNS) for s in STEPS])
-    rows = events.select("guid", F.col("ts").alias("match_time"), "event_pk", hits.alias("hits"))
-    return rows
+    hits = sequences.step_hits([event_flag(s, COLUMNS) for s in STEPS])
+    return events.select("guid", F.col("ts").alias("match_time"), "event_pk", hits.alias("hits"))
 
 
 def _walk(source: str, hit: str) -> str:
@@ -98,8 +99,8 @@ STEPPING_SQL = "SELECT * FROM events WHERE event_type IN ('view', 'click', 'purc
     SELECT user_id AS guid, step, n FROM walk
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY rn DESC) = 1""")
 def sequence_history(spark: SparkSession, sf: str) -> DataFrame:
-    rows = stepping(history(spark, sf)).where(F.exists("hits", lambda h: h))
-    return sequences.sequence_state(rows, ["guid"], ORDER, 3)
+    events = history(spark, sf).where(event_ids(STEPS, COLUMNS))
+    return sequences.sequence_state(stepping(events), ["guid"], ORDER, 3)
 
 
 @query("""
@@ -108,7 +109,7 @@ def sequence_history(spark: SparkSession, sf: str) -> DataFrame:
     FROM events WHERE event_type IN ('view', 'click', 'purchase')""")
 def matched_events(spark: SparkSession, sf: str) -> DataFrame:
     """Every user's matching events (any step), in order of time."""
-    events = history(spark, sf).where(F.col("event_type").isin("view", "click", "purchase"))
+    events = history(spark, sf).where(event_ids(STEPS, COLUMNS))
     listed = sequences.ordered_matches(events, ["guid"], ["ts", "event_pk"], ["event_type"])
     return listed.select("guid", F.col("event_pk").alias("event_id"), "event_type", "position")
 

@@ -35,10 +35,10 @@ def topic_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-    SELECT kind, strftime(ts, '%Y-%m-%d--%H') AS bucket, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids
+    SELECT kind, strftime(ts, '%Y-%m-%d') AS bucket, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids
     FROM events, (VALUES ('parquet'), ('text'), ('csv')) AS kinds(kind) GROUP BY 1, 2""")
 def bucketed_sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    rows = files.bucketed(load(spark, sf, "events").select("event_id", "ts"), F.col("ts"))
+    rows = files.bucketed(load(spark, sf, "events").select("event_id", "ts"), F.col("ts"), "yyyy-MM-dd")
     parts = []
     for kind in ("parquet", "text", "csv"):
         path = scratch_path(spark, kind)

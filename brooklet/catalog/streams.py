@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from brooklet.catalog import changes, joins, records, rules, visits, windows
 from brooklet.catalog.registry import ORACLES, query
-from brooklet.functions.predicates import event_predicate
+from brooklet.functions.predicates import event_flag
 from brooklet.functions.times import text
 from brooklet.operators import joins as join_ops
 from brooklet.operators import sequences, visits as visit_ops
@@ -167,10 +167,8 @@ def stream_bounce_detail(spark: SparkSession, sf: str) -> DataFrame:
 @query(ORACLES["late_side_output"])
 def stream_late_side_output(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "late")
-    events = event_stream(spark, sf).select(
-        "event_id", "user_id", "ts", (F.col("user_id") % 8).alias("source"),
-        (F.col("event_id") + F.col("event_id") * 37 % 50).alias("arrival"))
-    sink = late_row_batches(f"{path}/late", ["source"], ["arrival", "event_id"], "ts", windows.BOUND,
+    events = windows.disturbed(event_stream(spark, sf))
+    sink = late_row_batches(f"{path}/late", ["source"], windows.ARRIVAL, "ts", windows.BOUND,
                             "1 hour", windows.LATENESS)
     runner.start(events, sink, f"{path}/checkpoint").awaitTermination()
     rows = spark.read.parquet(f"{path}/late/rows")
@@ -180,7 +178,7 @@ def stream_late_side_output(spark: SparkSession, sf: str) -> DataFrame:
 @query(ORACLES["sequence_progress"])
 def stream_sequence_progress(spark: SparkSession, sf: str) -> DataFrame:
     events = event_stream(spark, sf).withColumnRenamed("user_id", "guid").withColumn("event_pk", F.col("event_id"))
-    hits = sequences.step_hits([event_predicate(s, rules.COLUMNS) for s in rules.STEPS])
+    hits = sequences.step_hits([event_flag(s, rules.COLUMNS) for s in rules.STEPS])
     rows = events.select("guid", F.col("ts").alias("match_time"), "event_pk", hits.alias("hits"))
     walked = stateful.sequence_progress(rows, ["guid"], ["match_time", "event_pk"])
     return runner.run_to_table(spark, walked.select(F.col("event_pk").alias("event_id"), "guid", "step", "n"), "steps")

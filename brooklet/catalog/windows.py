@@ -190,12 +190,18 @@ BOUND = timedelta(seconds=3)
 LATENESS = timedelta(hours=2)
 
 
-def progressed(spark: SparkSession, sf: str) -> DataFrame:
+def disturbed(events: DataFrame) -> DataFrame:
     """Events in a disturbed arrival order, from eight source partitions."""
-    events = load(spark, sf, "events").select(
+    return events.select(
         "event_id", "user_id", "ts", (F.col("user_id") % 8).alias("source"),
         (F.col("event_id") + F.col("event_id") * 37 % 50).alias("arrival"))
-    return lateness.watermark_progress(events, ["source"], ["arrival", "event_id"], "ts", BOUND)
+
+
+ARRIVAL = ["arrival", "event_id"]
+
+
+def progressed(spark: SparkSession, sf: str) -> DataFrame:
+    return lateness.watermark_progress(disturbed(load(spark, sf, "events")), ["source"], ARRIVAL, "ts", BOUND)
 
 
 PROGRESS = """
@@ -220,13 +226,10 @@ def watermark_progress(spark: SparkSession, sf: str) -> DataFrame:
                                         text(F.col("prior_watermark")).alias("prior_watermark"))
 
 
-def classified(spark: SparkSession, sf: str) -> DataFrame:
-    return lateness.classify_lateness(progressed(spark, sf), "ts", "1 hour", LATENESS)
-
-
 @query(f"WITH {PROGRESS} SELECT event_id, user_id, is_late, passed AND NOT is_late AS is_refire FROM classified")
 def late_side_output(spark: SparkSession, sf: str) -> DataFrame:
-    return classified(spark, sf).select("event_id", "user_id", "is_late", "is_refire")
+    classified = lateness.classify_lateness(progressed(spark, sf), "ts", "1 hour", LATENESS)
+    return classified.select("event_id", "user_id", "is_late", "is_refire")
 
 
 @query(f"""
@@ -237,5 +240,6 @@ def late_side_output(spark: SparkSession, sf: str) -> DataFrame:
     FROM accepted WHERE NOT passed GROUP BY user_id, w
     UNION ALL SELECT user_id, strftime(w, '%Y-%m-%d %H:%M:%S'), true, n FROM accepted WHERE passed""")
 def late_refire_log(spark: SparkSession, sf: str) -> DataFrame:
-    fired = lateness.emissions(classified(spark, sf), ["user_id"], ["arrival", "event_id"])
+    fired = lateness.late_window_counts(disturbed(load(spark, sf, "events")), ["source"], ["user_id"], ARRIVAL,
+                                        "ts", BOUND, "1 hour", LATENESS)
     return fired.select("user_id", text(F.col("window_start")).alias("window_start"), "is_refire", "n")

@@ -84,7 +84,8 @@ def json_attribute(column: str) -> Callable[[str], Column]:
 
 
 def event_predicate(spec: EventSpec, columns: EventColumns) -> Column:
-    """True where an event meets ``spec``; attribute values compare as text, missing ones fail."""
+    """True where an event meets ``spec``, else false or null: the form for filters, whose id
+    and time parts reach the scan. Attribute values compare as text, missing ones fail."""
     time = F.col(columns.time)
     tests = []
     if spec.event_id is not None:
@@ -96,7 +97,19 @@ def event_predicate(spec: EventSpec, columns: EventColumns) -> Column:
     for attribute in spec.attributes:
         actual = columns.attribute(attribute.name)
         tests.append(COMPARE[attribute.compare](actual, F.lit(attribute.value)))
-    return F.coalesce(all_of(tests), F.lit(False))
+    return all_of(tests)
+
+
+def event_flag(spec: EventSpec, columns: EventColumns) -> Column:
+    """The predicate as a value that is never null."""
+    return F.coalesce(event_predicate(spec, columns), F.lit(False))
+
+
+def event_ids(specs: list[EventSpec], columns: EventColumns) -> Column:
+    """Events whose id some of the specs name: a coarse filter that reaches the scan."""
+    ids = sorted({s.event_id for s in specs if s.event_id is not None})
+    everything = any(s.event_id is None for s in specs)
+    return F.lit(True) if everything else F.col(columns.event_id).isin(ids)
 
 
 def all_of(tests: list[Column]) -> Column:
@@ -129,7 +142,7 @@ def profile_predicate(conditions: list[dict], schema: T.StructType) -> Column:
         if tag not in schema.fieldNames():
             raise ValueError(f"unknown profile tag {tag!r}")
         tests.append(_profile_test(F.col(tag), schema[tag].dataType, compare, value))
-    return F.coalesce(all_of(tests), F.lit(False))
+    return all_of(tests)
 
 
 def _profile_test(tag: Column, kind: T.DataType, compare: str, value: str) -> Column:

@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brooklet.functions.times import span
-from brooklet.operators.ordered import BLOCK_ROWS, running, running_count, running_max
+from brooklet.operators.ordered import (
+    BLOCK_ROWS, Splits, find_splits, latest, running, running_count, running_max,
+)
 
 ONE_MILLI = timedelta(milliseconds=1)
 
@@ -45,34 +47,45 @@ def classify_lateness(
     A row is late when its window's last millisecond plus ``lateness`` is at or behind the
     watermark before it; it fires its window again when only the window has been passed.
     """
-    window = F.window(time, width)
     last = F.col("window_end") - span(ONE_MILLI)
     passed = F.coalesce(last <= F.col("prior_watermark"), F.lit(False))
     gone = F.coalesce(last + span(lateness) <= F.col("prior_watermark"), F.lit(False))
-    return (
-        df.withColumn("_window", window)
-        .withColumns({"window_start": F.col("_window.start"), "window_end": F.col("_window.end")})
-        .withColumns({"is_late": gone, "is_refire": passed & ~gone})
-        .drop("_window")
-    )
+    return window_columns(df, time, width).withColumns({"is_late": gone, "is_refire": passed & ~gone})
 
 
 def emissions(
-    classified: DataFrame, keys: list[str], arrival: list[str], block_rows: int = BLOCK_ROWS
+    classified: DataFrame, keys: list[str], arrival: list[str], *,
+    splits: Splits | None = None, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """The counts a keyed window emits: one when it closes, one more per accepted late row.
 
-    ``emission`` numbers them from 0 in the order of firing; the greatest is final.
+    Within a window all rows on time arrive before the late ones. So the running count of
+    the last row on time is the first result, and that of each later row one more. The
+    cut points may come from the rows before they were classified.
     """
-    accepted = classified.where(~F.col("is_late"))
     group = [*keys, "window_start", "window_end"]
-    on_time = (
-        accepted.where(~F.col("is_refire")).groupBy(*group)
-        .agg(F.count(F.lit(1)).alias("n")).withColumn("is_refire", F.lit(False))
-    )
-    counted = running(
-        accepted.select(*group, *arrival, "is_refire"), group, arrival, {"n": running_count()},
-        block_rows=block_rows,
+    rows = classified.where(~F.col("is_late")).select(*group, *arrival, "is_refire")
+    if splits is None:
+        splits = find_splits(rows, group, arrival, block_rows)
+    rows = running(rows, group, arrival, {"n": running_count()}, splits=splits)
+    on_time = F.when(~F.col("is_refire"), True)
+    rows = running(rows, group, arrival, {"_more": latest(on_time, inclusive=False)}, backwards=True, splits=splits)
+    return rows.where(F.col("is_refire") | F.col("_more").isNull()).select(*group, "n", "is_refire")
+
+
+def window_columns(df: DataFrame, time: str, width: str) -> DataFrame:
+    return (
+        df.withColumn("_window", F.window(time, width))
+        .withColumns({"window_start": F.col("_window.start"), "window_end": F.col("_window.end")}).drop("_window")
     )
-    again = counted.where("is_refire").select(*group, "n", "is_refire")
-    return on_time.unionByName(again)
+
+
+def late_window_counts(
+    df: DataFrame, source: list[str], keys: list[str], arrival: list[str], time: str, bound: timedelta,
+    width: str, lateness: timedelta, block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Keyed tumbling counts with allowed lateness, from raw rows to emissions."""
+    splits = find_splits(
+        window_columns(df, time, width), [*keys, "window_start", "window_end"], arrival, block_rows)
+    progress = watermark_progress(df, source, arrival, time, bound, block_rows)
+    return emissions(classify_lateness(progress, time, width, lateness), keys, arrival, splits=splits)

@@ -12,9 +12,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brooklet.functions.predicates import EventColumns, EventSpec, any_of, combine_results, event_predicate
-from brooklet.operators.ordered import BLOCK_ROWS, find_splits, running, running_count, running_sum
-from brooklet.operators.sequences import sequence_progress, sequence_state
+from brooklet.functions.predicates import EventColumns, EventSpec, any_of, combine_results, event_flag, event_ids
+from brooklet.operators.ordered import Splits, find_splits, running, running_count, running_sum
+from brooklet.operators.sequences import ARRAY_ROWS, MAX_ARRAY_BLOCKS, sequence_progress, sequence_state
+from brooklet.sources.changelog import current_state
 
 RULE_KEY = ["rule_id", "guid"]
 
@@ -114,20 +115,22 @@ def fan_out(events: DataFrame, rules: list[Rule], columns: EventColumns, order:
     """
 
     def flags(specs: tuple[EventSpec, ...]) -> Column:
-        tests = [event_predicate(s, columns) for s in specs]
+        tests = [event_flag(s, columns) for s in specs]
         return F.array(*tests) if tests else F.array().cast("array<boolean>")
 
     def row(rule: Rule) -> Column:
-        trigger = event_predicate(rule.trigger, columns) if rule.trigger else F.lit(True)
+        trigger = event_flag(rule.trigger, columns) if rule.trigger else F.lit(True)
         value = F.struct(
             F.lit(rule.rule_id).alias("rule_id"), flags(rule.counts).alias("hits"),
             flags(rule.sequence).alias("steps"), trigger.alias("is_trigger"),
         )
-        matters = [trigger, *[event_predicate(s, columns) for s in (*rule.counts, *rule.sequence)]]
+        matters = [trigger, *[event_flag(s, columns) for s in (*rule.counts, *rule.sequence)]]
         return F.when(any_of(matters), value)
 
+    # A rule without a trigger is decided at every event.
+    specs = [s for r in rules for s in (r.trigger or EventSpec(None), *r.counts, *r.sequence)]
     per_rule = F.filter(F.array(*[row(rule) for rule in rules]), lambda r: r.isNotNull())
-    spread = events.select("guid", F.col(columns.time).alias("match_time"), *order,
+    spread = events.where(event_ids(specs, columns)).select("guid", F.col(columns.time).alias("match_time"), *order,
                            F.explode(per_rule).alias("_rule"))
     return spread.select("*", "_rule.*").drop("_rule")
 
@@ -160,22 +163,27 @@ def baselines(
     )
 
 
+def rule_splits(rows: DataFrame, order: list[str], block_rows: int = ARRAY_ROWS) -> Splits:
+    return find_splits(rows, RULE_KEY, order, block_rows, MAX_ARRAY_BLOCKS)
+
+
 def _flag(array: str, index: int) -> Column:
     return F.coalesce(F.get(array, F.lit(index)), F.lit(False)).cast("bigint")
 
 
 def rule_progress(
     rows: DataFrame, rules: list[Rule], order: list[str], start: DataFrame | None = None,
-    block_rows: int = BLOCK_ROWS,
+    splits: Splits | None = None,
 ) -> DataFrame:
     """Fan-out rows with ``count_i`` per condition and ``sequences``, after each event.
 
     ``start`` is a table of baselines to count on from.
     """
+    splits = splits or rule_splits(rows, order)
     size = max((len(r.counts) for r in rules), default=0)
     longest = max((len(r.sequence) for r in rules), default=0)
     counters = {f"count_{i}": running_sum(_flag("hits", i)) for i in range(size)}
-    out = running(rows, RULE_KEY, order, counters, block_rows=block_rows) if size else rows
+    out = running(rows, RULE_KEY, order, counters, splits=splits) if size else rows
     if start is not None:
         out = out.join(start, RULE_KEY, "left").withColumns({
             f"count_{i}": F.col(f"count_{i}") + F.coalesce(F.get("base_counts", F.lit(i)), F.lit(0))
@@ -184,7 +192,7 @@ def rule_progress(
     if longest:
         state = ("base_step", "base_sequences") if start is not None else None
         walked = out.withColumnsRenamed({"hits": "_counts", "steps": "hits"})
-        walked = sequence_progress(walked, RULE_KEY, order, longest, state, min(block_rows, 100_000))
+        walked = sequence_progress(walked, RULE_KEY, order, longest, state, splits)
         out = walked.withColumnsRenamed({"hits": "steps", "_counts": "hits", "n": "sequences"}).drop("step")
     else:
         out = out.withColumn("sequences", F.lit(0).cast("bigint"))
@@ -205,12 +213,14 @@ def verdicts(progress: DataFrame, rules: list[Rule]) -> DataFrame:
     return rows.withColumn("_cap", cap).where(verdict).select(*kept, "_cap")
 
 
-def decide(progress: DataFrame, rules: list[Rule], order: list[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
+def decide(
+    progress: DataFrame, rules: list[Rule], order: list[str], splits: Splits | None = None
+) -> DataFrame:
     """Matches ``(rule_id, guid, match_time)``, up to each rule's cap per user."""
     matched = verdicts(progress, rules)
     if all(rule.max_matches is None for rule in rules):
         return matched.drop("_cap")
-    numbered = running(matched, RULE_KEY, order, {"_match": running_count()}, block_rows=block_rows)
+    numbered = running(matched, RULE_KEY, order, {"_match": running_count()}, splits=splits)
     return numbered.where(F.col("_cap").isNull() | (F.col("_match") <= F.col("_cap"))).drop("_cap", "_match")
 
 
@@ -232,16 +242,19 @@ def _verdict(rows: DataFrame, rule: Rule) -> tuple[DataFrame, Column]:
 
 def match_rules(
     events: DataFrame, rules: list[Rule], audience: DataFrame, columns: EventColumns, order: list[str],
-    start: DataFrame | None = None, block_rows: int = BLOCK_ROWS,
+    start: DataFrame | None = None, block_rows: int = ARRAY_ROWS,
 ) -> DataFrame:
-    """All rule matches of an event table: audience, counters, sequences, trigger, cap."""
+    """All rule matches of an event table: audience, counters, sequences, trigger, cap.
+
+    Large keys are looked for once, in the fan-out rows; counters, sequences and cap share
+    the cut points, as they share keys and order.
+    """
     rows = fan_out(events, rules, columns, order).join(audience, RULE_KEY, "left_semi")
-    return decide(rule_progress(rows, rules, order, start, block_rows), rules, order, block_rows)
+    splits = rule_splits(rows, order, block_rows)
+    return decide(rule_progress(rows, rules, order, start, splits), rules, order, splits)
 
 
 def live_rules(changes: DataFrame, order: list[str]) -> DataFrame:
     """Rules in force: before-images ignored, updates replace, deletes remove."""
-    from brooklet.sources.changelog import current_state
-
     images = changes.where(F.col("operation") != "UPDATE_BEFORE")
     return current_state(images, ["rule_id"], order)

@@ -22,7 +22,7 @@ from brooklet.operators.ordered import (
 )
 
 # Rows of a block are held as one array while they are walked.
-ARRAY_ROWS = 100_000
+ARRAY_ROWS = 1_000_000
 MAX_ARRAY_BLOCKS = 65_536
 
 
@@ -30,36 +30,43 @@ def step_hits(steps: list[Column]) -> Column:
     return F.array(*steps)
 
 
-def _walk(rows: Column, start: int) -> Column:
+def _mask() -> Column:
+    """``hits`` as a bit mask."""
+    one = F.lit(1).cast("bigint")
+    bits = F.transform("hits", lambda hit, i: F.when(hit, F.call_function("shiftleft", one, i)).otherwise(0))
+    return F.aggregate(bits, F.lit(0).cast("bigint"), lambda total, bit: total + bit)
+
+
+def _walk(rows: Column, last: Column, start: int) -> Column:
     state = F.struct(F.lit(start).alias("step"), F.lit(0).cast("bigint").alias("n"))
 
     def advance(state: Column, row: Column) -> Column:
-        done = state["step"] + 1 == F.size(row["hits"])
+        done = state["step"] == last
         moved = F.struct(
             F.when(done, 0).otherwise(state["step"] + 1).alias("step"),
             (state["n"] + done.cast("bigint")).alias("n"),
         )
-        return F.when(F.coalesce(F.get(row["hits"], state["step"]), F.lit(False)), moved).otherwise(state)
+        hit = F.call_function("shiftright", row["mask"], state["step"]).bitwiseAND(F.lit(1)) == 1
+        return F.when(hit, moved).otherwise(state)
 
     return F.aggregate(rows, state, advance)
 
 
 def _block_maps(df: DataFrame, keys: list[str], order: list[str], steps: int, splits: Splits) -> DataFrame:
     """Per key and block, ``map[s]``: state after the block when entering it at step ``s``."""
-    blocked = with_blocks(df, splits)
+    stepping = df.select(*keys, *order, _mask().alias("mask"), F.size("hits").alias("_steps"))
+    blocked = with_blocks(stepping.where(F.col("mask") != 0), splits)
     starts = range(steps if splits.rows else 1)
-    rows = F.sort_array(F.collect_list(F.struct(*order, "hits")))
-    walked = blocked.groupBy(*keys, BLOCK).agg(rows.alias("_rows"))
-    return walked.select(*keys, BLOCK, F.array(*[_walk(F.col("_rows"), s) for s in starts]).alias("map"))
+    rows = F.sort_array(F.collect_list(F.struct(*order, "mask")))
+    walked = blocked.groupBy(*keys, BLOCK).agg(rows.alias("_rows"), (F.max("_steps") - 1).alias("_last"))
+    return walked.select(*keys, BLOCK, F.array(
+        *[_walk(F.col("_rows"), F.col("_last"), s) for s in starts]).alias("map"))
 
 
 def sequence_state(
     df: DataFrame, keys: list[str], order: list[str], steps: int, array_rows: int = ARRAY_ROWS
 ) -> DataFrame:
-    """The final ``step`` and ``n`` of each key that has rows.
-
-    ``df`` should hold only rows that satisfy some step: others cannot change the state.
-    """
+    """The final ``step`` and ``n`` of each key with rows that satisfy some step."""
     splits = find_splits(df, keys, order, array_rows, MAX_ARRAY_BLOCKS)
     maps = _block_maps(df, keys, order, steps, splits)
     if not splits.rows:
@@ -82,7 +89,7 @@ def ordered_matches(df: DataFrame, keys: list[str], order: list[str], columns: l
 
 def sequence_progress(
     df: DataFrame, keys: list[str], order: list[str], steps: int,
-    start: tuple[str, str] | None = None, array_rows: int = ARRAY_ROWS,
+    start: tuple[str, str] | None = None, splits: Splits | None = None, array_rows: int = ARRAY_ROWS,
 ) -> DataFrame:
     """``df`` plus the ``step`` and ``n`` after each row. Keys must not be null.
 
@@ -94,7 +101,8 @@ def sequence_progress(
         "step": F.coalesce(start_step, F.lit(0)).cast("int"),
         "n": F.coalesce(start_n, F.lit(0)).cast("bigint"),
     })
-    splits = find_splits(df, keys, order, array_rows, MAX_ARRAY_BLOCKS)
+    if splits is None:
+        splits = find_splits(df, keys, order, array_rows, MAX_ARRAY_BLOCKS)
     group = list(keys)
     if splits.rows:
         group.append(BLOCK)
@@ -105,13 +113,8 @@ def sequence_progress(
             "n": F.col("n") + F.coalesce(F.get("_in_n", F.col("step")), F.lit(0)),
             "step": F.coalesce(F.get("_in_step", F.col("step")), F.col("step")),
         })
-    bit = F.lit(1).cast("bigint")
-    mask = F.aggregate(
-        F.transform("hits", lambda hit, i: F.when(hit, F.call_function("shiftleft", bit, i)).otherwise(0)),
-        F.lit(0).cast("bigint"), lambda total, value: total + value,
-    )
     rows = rows.select(*df.columns, "step", "n", *group[len(keys):],
-                       mask.alias("_mask"), (F.size("hits") - 1).alias("_last"))
+                       _mask().alias("_mask"), (F.size("hits") - 1).alias("_last"))
     rows = rows.repartition(*group).sortWithinPartitions(*group, *order)
     out = rows.select(*df.columns, "step", "n")
     return rows.mapInPandas(_walker(group, out.columns), out.schema)

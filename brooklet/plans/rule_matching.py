@@ -44,7 +44,7 @@ def _capped(path: str, order: list[str]) -> runner.Each:
         kept = counted.where(F.col("_cap").isNull() | (F.col("_match") <= F.col("_cap")))
         kept.drop("_cap", "_match").write.mode("overwrite").parquet(f"{path}/matches/batch={batch_id}")
 
-    return write
+    return runner.reused(write)
 
 
 def read_matches(spark: SparkSession, path: str) -> DataFrame:

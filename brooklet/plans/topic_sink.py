@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from brooklet.sources import topics
-from brooklet.streaming.runner import Each
+from brooklet.streaming.runner import Each, reused
 
 
 @dataclass(frozen=True)
@@ -38,11 +38,7 @@ def to_topics(broker: Broker, outputs: Callable[[DataFrame], dict[str, DataFrame
     """Compute one micro-batch once and write each of its outputs to the topic of its name."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            for topic, records in outputs(batch).items():
-                broker.write(records, topic, batch_id)
-        finally:
-            batch.unpersist()
-
-    return write
+        for topic, records in outputs(batch).items():
+            broker.write(records, topic, batch_id)
+
+    return reused(write)

@@ -18,9 +18,9 @@ def bucketed(df: DataFrame, time: Column, pattern: str = HOUR_BUCKET) -> DataFra
 
 
 def write_buckets(df: DataFrame, path: str, kind: str = "parquet", max_records: int | None = None) -> None:
-    """One folder per ``bucket``. Rows are brought together by bucket and a spread of each,
-    so that neither a hot bucket is one task nor every task writes to every bucket."""
-    writer = df.repartition("bucket", F.pmod(F.xxhash64(*df.columns), F.lit(8))).write.mode("overwrite")
+    """One folder per ``bucket``. Rows are rebalanced by bucket: small buckets share a task,
+    and a bucket beyond the advisory partition size is split over several."""
+    writer = df.hint("rebalance", F.col("bucket")).write.mode("overwrite")
     if max_records:
         writer = writer.option("maxRecordsPerFile", max_records)
     writer.partitionBy("bucket").format(kind).save(path)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from brooklet.functions.times import span
 from brooklet.operators.lateness import ONE_MILLI, classify_lateness, watermark_progress
-from brooklet.streaming.runner import Each
+from brooklet.streaming.runner import Each, reused
 
 
 def late_row_batches(
@@ -36,4 +36,4 @@ def late_row_batches(
         highest = batch.groupBy(*source).agg(F.max(time).alias("seen"))
         highest.write.mode("overwrite").parquet(f"{path}/seen/batch={batch_id}")
 
-    return write
+    return reused(write)

@@ -23,6 +23,19 @@ def start(
     )
 
 
+def reused(each: Each) -> Each:
+    """For sinks that read their micro-batch more than once: it is computed only once."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            each(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
 def parquet_batches(path: str) -> Each:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brooklet.catalog import rules as rule_queries
-from brooklet.functions.predicates import event_predicate
+from brooklet.functions.predicates import event_flag
 from brooklet.operators import joins, lateness, rules, sequences, visits, windows
 from brooklet.tables import load
 
@@ -95,7 +95,7 @@ def test_validity_closes_at_the_next_change(events):
 
 
 def stepping(events):
-    specs = [event_predicate(s, rule_queries.COLUMNS) for s in rule_queries.STEPS]
+    specs = [event_flag(s, rule_queries.COLUMNS) for s in rule_queries.STEPS]
     return events.select("user_id", *ORDER, sequences.step_hits(specs).alias("hits"))
 
 
@@ -129,7 +129,7 @@ def test_sequences_go_on_from_a_given_state(events):
     late = rows.where(F.col("ts") >= cut).join(early, "user_id", "left")
     whole = sequences.sequence_progress(rows, ["user_id"], ORDER, 3).where(F.col("ts") >= cut)
     for block in (NEVER, 12):
-        resumed = sequences.sequence_progress(late, ["user_id"], ORDER, 3, ("s0", "n0"), block)
+        resumed = sequences.sequence_progress(late, ["user_id"], ORDER, 3, ("s0", "n0"), array_rows=block)
         assert same(whole.select("event_id", "step", "n"), resumed) > 100
 
 
@@ -137,10 +137,9 @@ def test_late_rows_and_refires(events):
     def run(rows):
         arrived = events.select("event_id", "user_id", "ts", (F.col("user_id") % 2).alias("source"),
                                 (F.col("event_id") + F.col("event_id") * 37 % 50).alias("arrival"))
-        progress = lateness.watermark_progress(arrived, ["source"], ["arrival", "event_id"], "ts",
-                                               timedelta(seconds=3), rows)
-        classified = lateness.classify_lateness(progress, "ts", "1 day", timedelta(hours=12))
-        return lateness.emissions(classified, ["user_id"], ["arrival", "event_id"], rows)
+        return lateness.late_window_counts(
+            arrived, ["source"], ["user_id"], ["arrival", "event_id"], "ts", timedelta(seconds=3), "1 day",
+            timedelta(hours=12), rows)
 
     assert same(run(NEVER), run(10)) > 100
 
