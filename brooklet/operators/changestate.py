@@ -32,12 +32,13 @@ class KeyedTable:
 
     def read(self) -> DataFrame:
         rows = self._all()
-        base = rows.where(F.col("kind") == "base").agg(F.max("upto")).first()[0]
-        if base is None:
-            live = rows
-        else:
-            newer = F.col("upto") > base
-            live = rows.where(newer | ((F.col("kind") == "base") & (F.col("upto") == base)))
+        newest = dict(rows.groupBy("kind").agg(F.max("upto")).collect())
+        live = rows
+        if "base" in newest:
+            base = (F.col("kind") == "base") & (F.col("upto") == newest["base"])
+            if newest["delta"] <= newest["base"]:
+                return rows.where(base).drop("kind", "upto")
+            live = rows.where(base | (F.col("upto") > newest["base"]))
         # Between equal orders the later batch wins.
         return latest_per_key(live, self.keys, [*self.order, "upto"]).drop("kind", "upto")
 

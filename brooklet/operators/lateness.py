@@ -67,7 +67,7 @@ def emissions(
     rows = classified.where(~F.col("is_late")).select(*group, *arrival, "is_refire")
     if splits is None:
         splits = find_splits(rows, group, arrival, block_rows)
-    rows = running(rows, group, arrival, {"n": running_count()}, splits=splits)
+    rows = running(rows, group, arrival, {"n": running_count()}, splits=splits, keep_block=True)
     on_time = F.when(~F.col("is_refire"), True)
     rows = running(rows, group, arrival, {"_more": latest(on_time, inclusive=False)}, backwards=True, splits=splits)
     return rows.where(F.col("is_refire") | F.col("_more").isNull()).select(*group, "n", "is_refire")

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 BLOCK_ROWS = 4_000_000
 MAX_BLOCKS = 4_096
 SAMPLES_PER_BLOCK = 64
-SEARCH_STEP = 64
+GROUP_BLOCKS = 64
 
 BLOCK = "_block"
 
@@ -91,6 +91,12 @@ class Splits:
     def table(self, df: DataFrame) -> DataFrame:
         return df.sparkSession.createDataFrame(self.rows, self.schema)
 
+    def large_only(self, df: DataFrame) -> DataFrame:
+        """The rows of ``df`` that belong to large keys."""
+        if not self.keys:
+            return df
+        return df.join(F.broadcast(self.table(df).select(*self.keys)), self.keys, "left_semi")
+
 
 def find_splits(
     df: DataFrame,
@@ -130,26 +136,54 @@ def partitioned(columns: list[str]) -> WindowSpec:
     return Window.partitionBy(*columns) if columns else Window.partitionBy(F.lit(0))
 
 
-def _block_number(cuts: Column, order: list[str]) -> Column:
-    """How many cut points are at or below the row: every 64th is tried first."""
-    here = F.struct(*order)
-    coarse = F.filter(cuts, lambda c, i: (F.pmod(i, F.lit(SEARCH_STEP)) == 0) & (c <= here))
-    start = F.greatest(F.size(coarse) - 1, F.lit(0)) * SEARCH_STEP
-    near = F.slice(cuts, start + 1, F.lit(SEARCH_STEP))
-    number = start + F.size(F.filter(near, lambda c: c <= here))
-    return F.when(cuts.isNull(), F.lit(0)).otherwise(number)
+def _stretches(splits: Splits, df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """From-to ranges of all blocks, and of groups of ``GROUP_BLOCKS`` neighbouring blocks."""
+    cuts = F.col("_cuts")
+    open_end = F.array(F.lit(None).cast(splits.schema["_cuts"].dataType.elementType))
+    ends = F.arrays_zip(F.concat(open_end, cuts).alias("_from"), F.concat(cuts, open_end).alias("_to"))
+    blocks = splits.table(df).select(*splits.keys, F.posexplode(ends).alias(BLOCK, "_ends"))
+    blocks = blocks.select(
+        *splits.keys, BLOCK, F.floor(F.col(BLOCK) / GROUP_BLOCKS).alias("_group"),
+        F.col("_ends")["_from"].alias("_from"), F.col("_ends")["_to"].alias("_to"))
+    groups = blocks.groupBy(*splits.keys, "_group").agg(
+        F.min_by("_from", BLOCK).alias("_from"), F.max_by("_to", BLOCK).alias("_to"))
+    return blocks, groups
 
 
 def with_blocks(df: DataFrame, splits: Splits) -> DataFrame:
-    """``df`` with its block number; rows of keys without cut points are in block 0."""
+    """``df`` with its block number; rows of keys without cut points are in block 0.
+
+    Rows of large keys are placed in two steps, first in a group of blocks and then in one
+    of its blocks, so that a row is compared with a few ranges and not with all.
+    """
     if not splits.rows:
         return df.withColumn(BLOCK, F.lit(0))
-    points = splits.table(df)
+    here = F.struct(*splits.order)
+    blocks, groups = _stretches(splits, df)
+
+    def place(rows: DataFrame, ranges: DataFrame, keys: list[str]) -> DataFrame:
+        within = (F.col("_from").isNull() | (here >= F.col("_from"))) & (
+            F.col("_to").isNull() | (here < F.col("_to")))
+        renamed = ranges.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+        for key in keys:
+            within = (F.col(key) == F.col(f"_k_{key}")) & within
+        return rows.join(F.broadcast(renamed), within, "left").drop("_from", "_to", *[f"_k_{k}" for k in keys])
+
     if splits.keys:
-        placed = df.join(F.broadcast(points), splits.keys, "left")
+        grouped = place(df, groups, splits.keys)
     else:
-        placed = df.withColumn("_cuts", points.scalar())
-    return placed.withColumn(BLOCK, _block_number(F.col("_cuts"), splits.order)).drop("_cuts")
+        # The one list of group starts is short, so it can be looked through as a whole.
+        starts = groups.agg(F.collect_list("_from")).scalar()
+        number = F.size(F.filter("_starts", lambda start: start <= here)).cast("bigint")
+        grouped = df.withColumn("_starts", starts).withColumn("_group", number).drop("_starts")
+    placed = place(grouped, blocks, [*splits.keys, "_group"]).drop("_group")
+    return placed.withColumn(BLOCK, F.coalesce(BLOCK, F.lit(0)))
+
+
+def spread(df: DataFrame, splits: Splits) -> DataFrame:
+    """Rows moved together by key and block. The shuffle is asked for by name: rows already
+    hashed by key alone would otherwise count as placed, with a large key in one task."""
+    return df.repartition(*splits.keys, BLOCK)
 
 
 def running(
@@ -161,12 +195,14 @@ def running(
     backwards: bool = False,
     splits: Splits | None = None,
     block_rows: int = BLOCK_ROWS,
+    keep_block: bool = False,
 ) -> DataFrame:
     """``df`` plus one column per running value, over ``order`` within ``keys``.
 
     ``order`` must be unique within a key for results to be repeatable. ``backwards`` runs
     from the last row to the first, so that an exclusive ``latest`` is the following row.
-    Pass ``splits`` to reuse cut points found earlier for the same keys and order.
+    Pass ``splits`` to reuse cut points found earlier for the same keys and order; rows that
+    still carry their block from ``keep_block`` then stay where they are.
     """
     if splits is None:
         splits = find_splits(df, keys, order, block_rows)
@@ -176,26 +212,27 @@ def running(
         window = partitioned(keys).orderBy(*ordering)
         return df.withColumns({name: value.over(window) for name, value in values.items()})
 
-    blocked = with_blocks(df, splits)
+    placed = BLOCK in df.columns
+    blocked = df if placed else with_blocks(df, splits)
     window = partitioned([*keys, BLOCK]).orderBy(*ordering)
-    rows = blocked.withColumns({f"_here_{name}": value.over(window) for name, value in values.items()})
+    rows = blocked if placed else spread(blocked, splits)
+    rows = rows.withColumns({f"_here_{name}": value.over(window) for name, value in values.items()})
     before = _before_block(blocked, values, splits, backwards)
     joined = rows.join(F.broadcast(before), [*keys, BLOCK], "left").withColumns({
         name: value.combine(F.col(f"_before_{name}"), F.col(f"_here_{name}"))
         for name, value in values.items()
     })
-    return joined.select(*df.columns, *values)
+    columns = [c for c in df.columns if c != BLOCK]
+    return joined.select(*columns, *values, *([BLOCK] if keep_block else []))
 
 
 def _before_block(
     blocked: DataFrame, values: dict[str, Running], splits: Splits, backwards: bool
 ) -> DataFrame:
     """For each block of a large key, the combined value of all blocks ahead of it."""
-    keys, large = splits.keys, blocked
-    if keys:
-        large = blocked.join(F.broadcast(splits.table(blocked).select(*keys)), keys, "left_semi")
+    keys = splits.keys
     position = F.struct(*splits.order)
-    totals = large.groupBy(*keys, BLOCK).agg(
+    totals = splits.large_only(blocked).groupBy(*keys, BLOCK).agg(
         *[value.of_block(position, backwards).alias(f"_total_{name}") for name, value in values.items()]
     )
     # One row per block, so at most max_blocks rows per key.

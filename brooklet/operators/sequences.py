@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brooklet.operators.ordered import (
-    BLOCK, Splits, find_splits, running, running_count, with_blocks,
+    BLOCK, Splits, find_splits, running, running_count, spread, with_blocks,
 )
 
 # Rows of a block are held as one array while they are walked.
@@ -56,6 +56,8 @@ def _block_maps(df: DataFrame, keys: list[str], order: list[str], steps: int, sp
     """Per key and block, ``map[s]``: state after the block when entering it at step ``s``."""
     stepping = df.select(*keys, *order, _mask().alias("mask"), F.size("hits").alias("_steps"))
     blocked = with_blocks(stepping.where(F.col("mask") != 0), splits)
+    if splits.rows:
+        blocked = spread(blocked, splits)
     starts = range(steps if splits.rows else 1)
     rows = F.sort_array(F.collect_list(F.struct(*order, "mask")))
     walked = blocked.groupBy(*keys, BLOCK).agg(rows.alias("_rows"), (F.max("_steps") - 1).alias("_last"))
@@ -106,8 +108,7 @@ def sequence_progress(
     group = list(keys)
     if splits.rows:
         group.append(BLOCK)
-        large = df.join(F.broadcast(splits.table(df).select(*keys)), keys, "left_semi")
-        entering = _entering_states(_block_maps(large, keys, order, steps, splits), keys)
+        entering = _entering_states(_block_maps(splits.large_only(df), keys, order, steps, splits), keys)
         # One row per block of a large key, bounded like the cut points.
         rows = with_blocks(rows, splits).join(F.broadcast(entering), group, "left").withColumns({
             "n": F.col("n") + F.coalesce(F.get("_in_n", F.col("step")), F.lit(0)),

@@ -49,7 +49,7 @@ def session_windows(
     reaching = df.withColumn("_reach", F.col(time) + gap)
     splits = find_splits(df, keys, order, block_rows)
     furthest = running_max(F.col("_reach"), inclusive=False)
-    rows = running(reaching, keys, order, {"_furthest": furthest}, splits=splits)
+    rows = running(reaching, keys, order, {"_furthest": furthest}, splits=splits, keep_block=True)
     opens = F.col("_furthest").isNull() | (F.col(time) > F.col("_furthest"))
     opened = latest(F.when(opens, F.col(time)))
     rows = running(rows, keys, order, {"session_start": opened}, splits=splits)
