@@ -130,7 +130,7 @@ def stream_session_count_keyed(spark: SparkSession, sf: str) -> DataFrame:
     """Sessions closed by the watermark at the end of the stream; later ones are still open."""
     events = event_stream(spark, sf).withWatermark("ts", "1 second")
     sessions = stream_session_windows(events, ["user_id"], "ts", "6 hours", windows.counts())
-    return windows.session_rows(runner.run_to_table(spark, sessions, "sessions"))
+    return windows.session_rows(runner.run_to_table(spark, sessions, "sessions"), "user_id")
 
 
 @query("SELECT DISTINCT user_id, strftime(ts, '%Y-%m-%d') AS visit_date FROM events WHERE event_type = 'view'")

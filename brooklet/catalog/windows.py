@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from brooklet.catalog.registry import query
 from brooklet.functions.times import text
+from brooklet.functions.user import Aggregate, aggregate, map_batches
 from brooklet.operators import lateness, windows
 from brooklet.tables import load
 
@@ -64,6 +65,53 @@ def tumbling_count_global(spark: SparkSession, sf: str) -> DataFrame:
     return started(windows.time_windows(load(spark, sf, "events"), "ts", "1 hour", counts()))
 
 
+class Spread:
+    """Count and range of a key's values, kept as (rows, least cents, greatest cents)."""
+
+    @staticmethod
+    def add(state: tuple, rows) -> tuple:
+        cents = (rows["value"] * 100).round().astype("int64")
+        low, high = int(cents.min()), int(cents.max())
+        return Spread.merge(state, (len(rows), low, high))
+
+    @staticmethod
+    def merge(a: tuple, b: tuple) -> tuple:
+        return a[0] + b[0], min(a[1], b[1]), max(a[2], b[2])
+
+
+FAR = 2**62
+SPREAD = Aggregate(
+    create=lambda: (0, FAR, -FAR), add=Spread.add, merge=Spread.merge, result=lambda s: (s[0], s[2] - s[1]),
+    state="n BIGINT, low BIGINT, high BIGINT", output="n BIGINT, spread_cents BIGINT")
+
+
+@query("""
+    SELECT user_id, event_type, count(*) AS n,
+           max(CAST(round(value * 100) AS BIGINT)) - min(CAST(round(value * 100) AS BIGINT)) AS spread_cents
+    FROM events GROUP BY 1, 2""")
+def user_aggregate(spark: SparkSession, sf: str) -> DataFrame:
+    """A user-defined aggregate with create, add, merge and result."""
+    rows = load(spark, sf, "events").select("user_id", "event_type", "value")
+    return aggregate(rows, ["user_id", "event_type"], SPREAD)
+
+
+@query(f"""
+    SELECT user_id, event_id, upper(event_type) || '#' || i AS label
+    FROM events, (VALUES (1), (2)) AS copies(i) WHERE event_type <> 'signup' AND i <= event_id % 3""")
+def user_flat_map(spark: SparkSession, sf: str) -> DataFrame:
+    """Opaque code with none, one or two outputs per row."""
+
+    def label(rows):
+        kept = rows[rows["event_type"] != "signup"]
+        kept = kept.loc[kept.index.repeat(kept["event_id"] % 3)]
+        number = kept.groupby("event_id").cumcount() + 1
+        kept = kept.assign(label=kept["event_type"].str.upper() + "#" + number.astype(str))
+        return kept[["user_id", "event_id", "label"]]
+
+    rows = load(spark, sf, "events").select("user_id", "event_id", "event_type")
+    return map_batches(rows, label, "user_id BIGINT, event_id BIGINT, label STRING")
+
+
 # The start of the latest 6 hour stretch, and the three before it that also cover the row.
 SLIDES = """
     SELECT *, time_bucket(INTERVAL 6 HOUR, {time}) - s * INTERVAL 6 HOUR AS w
@@ -102,6 +150,14 @@ def arrival_window_count(spark: SparkSession, sf: str) -> DataFrame:
     return started(windows.time_windows(arrivals(spark, sf), "arrived", "6 hours", counts()))
 
 
+@query(f"""
+    SELECT user_id, strftime(time_bucket(INTERVAL 6 HOUR, {ARRIVED}), '%Y-%m-%d %H:%M:%S') AS window_start,
+           count(*) AS n, {CENTS} FROM events GROUP BY 1, 2""")
+def arrival_window_keyed(spark: SparkSession, sf: str) -> DataFrame:
+    counted = windows.time_windows(arrivals(spark, sf), "arrived", "6 hours", counts(), ["user_id"])
+    return started(counted, "user_id")
+
+
 @query(f"""
     SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n, {CENTS}
     FROM ({SLIDES.format(time=ARRIVED)}) GROUP BY 1""")
@@ -109,31 +165,37 @@ def arrival_sliding_count(spark: SparkSession, sf: str) -> DataFrame:
     return started(windows.time_windows(arrivals(spark, sf), "arrived", "1 day", counts(), slide="6 hours"))
 
 
-def _sessions(gap: str) -> str:
+def _sessions(gap: str, key: str = "user_id") -> str:
     return f"""
     WITH reach AS (SELECT *, ts + {gap} AS e FROM events),
-    furthest AS (SELECT *, max(e) OVER (PARTITION BY user_id ORDER BY ts, event_id
+    furthest AS (SELECT *, max(e) OVER (PARTITION BY {key or 'true'} ORDER BY ts, event_id
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS f FROM reach),
     numbered AS (SELECT *, sum(CASE WHEN f IS NULL OR ts > f THEN 1 ELSE 0 END) OVER (
-        PARTITION BY user_id ORDER BY ts, event_id) AS s FROM furthest)
-    SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS session_start,
+        PARTITION BY {key or 'true'} ORDER BY ts, event_id) AS s FROM furthest)
+    SELECT {key + ',' if key else ''} strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS session_start,
            strftime(max(e), '%Y-%m-%d %H:%M:%S') AS session_end, count(*) AS n, {CENTS}
-    FROM numbered GROUP BY user_id, s"""
+    FROM numbered GROUP BY {key + ',' if key else ''} s"""
 
 
 SESSION_KEYED = _sessions("INTERVAL 6 HOUR")
 
 
-def session_rows(sessions: DataFrame) -> DataFrame:
-    return sessions.select("user_id", text(F.col("session_start")).alias("session_start"),
+def session_rows(sessions: DataFrame, *keys: str) -> DataFrame:
+    return sessions.select(*keys, text(F.col("session_start")).alias("session_start"),
                            text(F.col("session_end")).alias("session_end"), "n", "cents")
 
 
+@query(_sessions("INTERVAL 5 MINUTE", ""))
+def session_count_global(spark: SparkSession, sf: str) -> DataFrame:
+    events, gap = load(spark, sf, "events"), F.lit(timedelta(minutes=5))
+    return session_rows(windows.session_windows(events, [], "ts", ORDER, gap, counts()))
+
+
 @query(SESSION_KEYED)
 def session_count_keyed(spark: SparkSession, sf: str) -> DataFrame:
     events = load(spark, sf, "events")
     gap = F.lit(timedelta(hours=6))
-    return session_rows(windows.session_windows(events, ["user_id"], "ts", ORDER, gap, counts()))
+    return session_rows(windows.session_windows(events, ["user_id"], "ts", ORDER, gap, counts()), "user_id")
 
 
 @query(_sessions("(CASE event_type WHEN 'error' THEN 1 WHEN 'purchase' THEN 12 ELSE 6 END) * INTERVAL 1 HOUR"))
@@ -142,7 +204,7 @@ def session_dynamic_gap(spark: SparkSession, sf: str) -> DataFrame:
     gap = (F.when(kind == "error", F.lit(timedelta(hours=1)))
            .when(kind == "purchase", F.lit(timedelta(hours=12))).otherwise(F.lit(timedelta(hours=6))))
     events = load(spark, sf, "events")
-    return session_rows(windows.session_windows(events, ["user_id"], "ts", ORDER, gap, counts()))
+    return session_rows(windows.session_windows(events, ["user_id"], "ts", ORDER, gap, counts()), "user_id")
 
 
 COUNT_WINDOW = """

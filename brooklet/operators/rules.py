@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brooklet.functions.predicates import EventColumns, EventSpec, any_of, combine_results, event_flag, event_ids
-from brooklet.operators.ordered import Splits, find_splits, running, running_count, running_sum
-from brooklet.operators.sequences import ARRAY_ROWS, MAX_ARRAY_BLOCKS, sequence_progress, sequence_state
+from brooklet.operators.ordered import BLOCK_ROWS, Splits, find_splits, running, running_count, running_sum
+from brooklet.operators.sequences import sequence_progress, sequence_state
 from brooklet.sources.changelog import current_state
 
 RULE_KEY = ["rule_id", "guid"]
@@ -163,10 +163,6 @@ def baselines(
     )
 
 
-def rule_splits(rows: DataFrame, order: list[str], block_rows: int = ARRAY_ROWS) -> Splits:
-    return find_splits(rows, RULE_KEY, order, block_rows, MAX_ARRAY_BLOCKS)
-
-
 def _flag(array: str, index: int) -> Column:
     return F.coalesce(F.get(array, F.lit(index)), F.lit(False)).cast("bigint")
 
@@ -175,11 +171,12 @@ def rule_progress(
     rows: DataFrame, rules: list[Rule], order: list[str], start: DataFrame | None = None,
     splits: Splits | None = None,
 ) -> DataFrame:
-    """Fan-out rows with ``count_i`` per condition and ``sequences``, after each event.
+    """Fan-out rows with ``count_i`` per condition and ``sequences``, after each event, in
+    place of the flags.
 
     ``start`` is a table of baselines to count on from.
     """
-    splits = splits or rule_splits(rows, order)
+    splits = splits or find_splits(rows, RULE_KEY, order)
     size = max((len(r.counts) for r in rules), default=0)
     longest = max((len(r.sequence) for r in rules), default=0)
     counters = {f"count_{i}": running_sum(_flag("hits", i)) for i in range(size)}
@@ -189,14 +186,14 @@ def rule_progress(
             f"count_{i}": F.col(f"count_{i}") + F.coalesce(F.get("base_counts", F.lit(i)), F.lit(0))
             for i in range(size)
         })
+    out = out.drop("hits", "base_counts")
     if longest:
         state = ("base_step", "base_sequences") if start is not None else None
-        walked = out.withColumnsRenamed({"hits": "_counts", "steps": "hits"})
-        walked = sequence_progress(walked, RULE_KEY, order, longest, state, splits)
-        out = walked.withColumnsRenamed({"hits": "steps", "_counts": "hits", "n": "sequences"}).drop("step")
+        walked = sequence_progress(out.withColumnRenamed("steps", "hits"), RULE_KEY, order, longest, state, splits)
+        out = walked.withColumnRenamed("n", "sequences").drop("step")
     else:
-        out = out.withColumn("sequences", F.lit(0).cast("bigint"))
-    return out.drop("base_counts", "base_step", "base_sequences")
+        out = out.drop("steps").withColumn("sequences", F.lit(0).cast("bigint"))
+    return out.drop("base_step", "base_sequences")
 
 
 def verdicts(progress: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -242,7 +239,7 @@ def _verdict(rows: DataFrame, rule: Rule) -> tuple[DataFrame, Column]:
 
 def match_rules(
     events: DataFrame, rules: list[Rule], audience: DataFrame, columns: EventColumns, order: list[str],
-    start: DataFrame | None = None, block_rows: int = ARRAY_ROWS,
+    start: DataFrame | None = None, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """All rule matches of an event table: audience, counters, sequences, trigger, cap.
 
@@ -250,7 +247,7 @@ def match_rules(
     the cut points, as they share keys and order.
     """
     rows = fan_out(events, rules, columns, order).join(audience, RULE_KEY, "left_semi")
-    splits = rule_splits(rows, order, block_rows)
+    splits = find_splits(rows, RULE_KEY, order, block_rows)
     return decide(rule_progress(rows, rules, order, start, splits), rules, order, splits)
 
 

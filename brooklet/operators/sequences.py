@@ -3,9 +3,11 @@
 The input has one boolean array per row, ``hits``: which steps the row satisfies. State is
 (step, n): the step waited for, and how often the sequence was completed.
 
-Walking through a run of rows maps each starting step to (final step, completions), and
-such maps chain. So a key with too many rows for one array is cut into blocks along its
-order, each block is walked alone from every step, and the block maps are chained.
+Rows are shuffled by key, sorted within partitions, and walked batch by batch, so memory
+holds one Arrow batch however many rows a key has. Going through a run of rows maps each
+starting step to (final step, completions), and such maps chain: a key with too many rows
+for one task is cut into blocks along its order, each block is walked alone from every
+step, and the block maps are chained.
 """
 
 from __future__ import annotations
@@ -16,14 +18,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from brooklet.operators.ordered import (
-    BLOCK, Splits, find_splits, running, running_count, spread, with_blocks,
+    BLOCK, BLOCK_ROWS, Splits, find_splits, running, running_count, with_blocks,
 )
 
-# Rows of a block are held as one array while they are walked.
-ARRAY_ROWS = 1_000_000
-MAX_ARRAY_BLOCKS = 65_536
+Batches = Iterator[pd.DataFrame]
 
 
 def step_hits(steps: list[Column]) -> Column:
@@ -37,51 +38,97 @@ def _mask() -> Column:
     return F.aggregate(bits, F.lit(0).cast("bigint"), lambda total, bit: total + bit)
 
 
-def _walk(rows: Column, last: Column, start: int) -> Column:
-    state = F.struct(F.lit(start).alias("step"), F.lit(0).cast("bigint").alias("n"))
+def _runs(batch: pd.DataFrame, group: list[str]) -> Iterator[tuple[tuple, int, int]]:
+    """Stretches of equal group columns in a sorted batch: group, first row, row after the last."""
+    columns = [batch[c].to_numpy() for c in group]
+    changed = np.ones(len(batch), dtype=bool)
+    changed[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    begins = np.flatnonzero(changed).tolist()
+    for begin, end in zip(begins, [*begins[1:], len(batch)]):
+        yield tuple(c[begin] for c in columns), begin, end
 
-    def advance(state: Column, row: Column) -> Column:
-        done = state["step"] == last
-        moved = F.struct(
-            F.when(done, 0).otherwise(state["step"] + 1).alias("step"),
-            (state["n"] + done.cast("bigint")).alias("n"),
-        )
-        hit = F.call_function("shiftright", row["mask"], state["step"]).bitwiseAND(F.lit(1)) == 1
-        return F.when(hit, moved).otherwise(state)
 
-    return F.aggregate(rows, state, advance)
+def _next_hits(batch: pd.DataFrame) -> list[list[int]]:
+    """Per step and row, the first row from there on that satisfies the step."""
+    mask, index = batch["_mask"].to_numpy(), np.arange(len(batch))
+    steps = range(int(batch["_last"].max()) + 1)
+    hits = [np.where(mask >> step & 1, index, len(batch)) for step in steps]
+    return [np.minimum.accumulate(h[::-1])[::-1].tolist() for h in hits]
+
+
+def _advance(next_hits, begin: int, end: int, last: int, state: tuple[int, int], log: list | None = None):
+    """State after rows ``begin`` to ``end``; each change of state is logged with its row."""
+    step, n = state
+    while begin < end and step <= last:
+        row = next_hits[step][begin]
+        if row >= end:
+            break
+        step, n = (0, n + 1) if step == last else (step + 1, n)
+        if log is not None:
+            log.append((row, step, n))
+        begin = row + 1
+    return step, n
+
+
+def _sorted_rows(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    return rows.repartition(*group).sortWithinPartitions(*group, *order)
 
 
 def _block_maps(df: DataFrame, keys: list[str], order: list[str], steps: int, splits: Splits) -> DataFrame:
-    """Per key and block, ``map[s]``: state after the block when entering it at step ``s``."""
-    stepping = df.select(*keys, *order, _mask().alias("mask"), F.size("hits").alias("_steps"))
-    blocked = with_blocks(stepping.where(F.col("mask") != 0), splits)
-    if splits.rows:
-        blocked = spread(blocked, splits)
-    starts = range(steps if splits.rows else 1)
-    rows = F.sort_array(F.collect_list(F.struct(*order, "mask")))
-    walked = blocked.groupBy(*keys, BLOCK).agg(rows.alias("_rows"), (F.max("_steps") - 1).alias("_last"))
-    return walked.select(*keys, BLOCK, F.array(
-        *[_walk(F.col("_rows"), F.col("_last"), s) for s in starts]).alias("map"))
+    """Per key and block, the state after it for each step it may be entered with."""
+    rows = df.select(*keys, *order, _mask().alias("_mask"), (F.size("hits") - 1).alias("_last"))
+    rows = with_blocks(rows.where(F.col("_mask") != 0), splits)
+    group, entered = [*keys, BLOCK], range(steps if splits.rows else 1)
+    out = T.StructType([
+        *rows.select(*group).schema.fields, T.StructField("to_step", T.ArrayType(T.IntegerType())),
+        T.StructField("to_n", T.ArrayType(T.LongType()))])
+
+    def walk(batches: Batches) -> Batches:
+        current, states = None, []
+        for batch in batches:
+            if batch.empty:
+                continue
+            next_hits, lasts, done = _next_hits(batch), batch["_last"].tolist(), []
+            for key, begin, end in _runs(batch, group):
+                if key != current:
+                    if current is not None:
+                        done.append((current, states))
+                    current, states = key, [(step, 0) for step in entered]
+                states = [_advance(next_hits, begin, end, lasts[begin], s) for s in states]
+            if done:
+                yield frame(done)
+        if current is not None:
+            yield frame([(current, states)])
+
+    def frame(done: list) -> pd.DataFrame:
+        columns = dict(zip(group, zip(*[key for key, _ in done])))
+        return pd.DataFrame({
+            **columns, "to_step": [[s[0] for s in states] for _, states in done],
+            "to_n": [[s[1] for s in states] for _, states in done]})
+
+    sorted_rows = _sorted_rows(rows, group if splits.rows else keys, order)
+    return sorted_rows.mapInPandas(walk, out)
 
 
 def sequence_state(
-    df: DataFrame, keys: list[str], order: list[str], steps: int, array_rows: int = ARRAY_ROWS
+    df: DataFrame, keys: list[str], order: list[str], steps: int, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """The final ``step`` and ``n`` of each key with rows that satisfy some step."""
-    splits = find_splits(df, keys, order, array_rows, MAX_ARRAY_BLOCKS)
+    splits = find_splits(df, keys, order, block_rows)
     maps = _block_maps(df, keys, order, steps, splits)
     if not splits.rows:
-        return maps.select(*keys, F.col("map")[0]["step"].alias("step"), F.col("map")[0]["n"].alias("n"))
-    chained = maps.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(BLOCK, "map"))).alias("_maps"))
+        return maps.select(*keys, F.col("to_step")[0].alias("step"), F.col("to_n")[0].alias("n"))
+    # At most max_blocks maps per key.
+    listed = F.sort_array(F.collect_list(F.struct(BLOCK, "to_step", "to_n")))
+    chained = maps.groupBy(*keys).agg(listed.alias("_maps"))
 
     def chain(state: Column, block: Column) -> Column:
-        after = F.get(block["map"], state["step"])
-        return F.struct(after["step"].alias("step"), (state["n"] + after["n"]).alias("n"))
+        step, n = F.get(block["to_step"], state["step"]), F.get(block["to_n"], state["step"])
+        return F.struct(step.alias("step"), (state["n"] + n).alias("n"))
 
     start = F.struct(F.lit(0).alias("step"), F.lit(0).cast("bigint").alias("n"))
-    final = F.aggregate(F.col("_maps"), start, chain)
-    return chained.select(*keys, final.alias("_final")).select(*keys, "_final.step", "_final.n")
+    return chained.select(*keys, F.aggregate("_maps", start, chain).alias("_final")).select(
+        *keys, "_final.step", "_final.n")
 
 
 def ordered_matches(df: DataFrame, keys: list[str], order: list[str], columns: list[str]) -> DataFrame:
@@ -91,12 +138,12 @@ def ordered_matches(df: DataFrame, keys: list[str], order: list[str], columns: l
 
 def sequence_progress(
     df: DataFrame, keys: list[str], order: list[str], steps: int,
-    start: tuple[str, str] | None = None, splits: Splits | None = None, array_rows: int = ARRAY_ROWS,
+    start: tuple[str, str] | None = None, splits: Splits | None = None, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """``df`` plus the ``step`` and ``n`` after each row. Keys must not be null.
+    """``df`` with the ``step`` and ``n`` after each row in place of ``hits``. Keys must not be
+    null. Keep ``df`` narrow, as its columns pass through Python.
 
-    ``start`` names columns with the state of the key before its first row. Rows are sorted
-    within partitions and walked batch by batch, so memory holds one Arrow batch.
+    ``start`` names columns with the state of the key before its first row.
     """
     start_step, start_n = (F.col(c) for c in start) if start else (F.lit(0), F.lit(0))
     rows = df.withColumns({
@@ -104,60 +151,54 @@ def sequence_progress(
         "n": F.coalesce(start_n, F.lit(0)).cast("bigint"),
     })
     if splits is None:
-        splits = find_splits(df, keys, order, array_rows, MAX_ARRAY_BLOCKS)
+        splits = find_splits(df, keys, order, block_rows)
     group = list(keys)
     if splits.rows:
         group.append(BLOCK)
         entering = _entering_states(_block_maps(splits.large_only(df), keys, order, steps, splits), keys)
         # One row per block of a large key, bounded like the cut points.
         rows = with_blocks(rows, splits).join(F.broadcast(entering), group, "left").withColumns({
-            "n": F.col("n") + F.coalesce(F.get("_in_n", F.col("step")), F.lit(0)),
-            "step": F.coalesce(F.get("_in_step", F.col("step")), F.col("step")),
+            "n": F.col("n") + F.coalesce(F.get("to_n", F.col("step")), F.lit(0)),
+            "step": F.coalesce(F.get("to_step", F.col("step")), F.col("step")),
         })
-    rows = rows.select(*df.columns, "step", "n", *group[len(keys):],
+    columns = [c for c in rows.columns if c in df.columns and c != "hits"] + ["step", "n"]
+    rows = rows.select(*columns, *group[len(keys):],
                        _mask().alias("_mask"), (F.size("hits") - 1).alias("_last"))
-    rows = rows.repartition(*group).sortWithinPartitions(*group, *order)
-    out = rows.select(*df.columns, "step", "n")
-    return rows.mapInPandas(_walker(group, out.columns), out.schema)
+    out = rows.select(*columns)
+
+    def walk(batches: Batches) -> Batches:
+        current, state = None, (0, 0)
+        for batch in batches:
+            if batch.empty:
+                continue
+            next_hits, lasts = _next_hits(batch), batch["_last"].tolist()
+            first_step, first_n = batch["step"].tolist(), batch["n"].tolist()
+            log: list[tuple[int, int, int]] = []
+            for key, begin, end in _runs(batch, group):
+                if key != current:
+                    current, state = key, (first_step[begin], first_n[begin])
+                log.append((begin, *state))
+                state = _advance(next_hits, begin, end, lasts[begin], state, log)
+            at, step, n = (np.array(c) for c in zip(*log))
+            # Each row has the state of the last change at or before it.
+            latest = np.searchsorted(at, np.arange(len(batch)), side="right") - 1
+            yield batch.assign(step=step[latest], n=n[latest])[columns]
+
+    return _sorted_rows(rows, group, order).mapInPandas(walk, out.schema)
 
 
 def _entering_states(maps: DataFrame, keys: list[str]) -> DataFrame:
-    """For each block the state it is entered with, per starting step of the key."""
-    flat = maps.select(*keys, BLOCK, F.col("map.step").alias("_in_step"), F.col("map.n").alias("_in_n"))
+    """The block maps chained: for each block the state on entering it, per first step of the key."""
 
     def chain(blocks: pd.DataFrame) -> pd.DataFrame:
         blocks = blocks.sort_values(BLOCK)
-        entered_step, entered_n = [], []
-        step = n = None
-        for block_step, block_n in zip(blocks["_in_step"], blocks["_in_n"]):
-            block_step, block_n = np.asarray(block_step), np.asarray(block_n)
-            if step is None:
-                step, n = np.arange(len(block_step)), np.zeros(len(block_step), dtype="int64")
-            entered_step.append(step)
-            entered_n.append(n)
-            step, n = block_step[step], n + block_n[step]
-        return blocks.assign(_in_step=entered_step, _in_n=entered_n)
-
-    return flat.groupBy(*keys).applyInPandas(chain, flat.schema)
-
-
-def _walker(group: list[str], columns: list[str]):
-    """Walks sorted rows, carrying the state of the current group from batch to batch."""
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, step, n = None, 0, 0
-        for batch in batches:
-            groups = zip(*[batch[c].tolist() for c in group])
-            rows = zip(groups, batch["_mask"].tolist(), batch["_last"].tolist(),
-                       batch["step"].tolist(), batch["n"].tolist())
-            steps, counts = [], []
-            for key, mask, last, first_step, first_n in rows:
-                if key != current:
-                    current, step, n = key, first_step, first_n
-                if last >= 0 and mask >> step & 1:
-                    step, n = (0, n + 1) if step == last else (step + 1, n)
-                steps.append(step)
-                counts.append(n)
-            yield batch.assign(step=steps, n=counts)[columns]
-
-    return walk
+        steps, counts = [], []
+        step = np.arange(len(blocks["to_step"].iloc[0]))
+        n = np.zeros(len(step), dtype="int64")
+        for to_step, to_n in zip(blocks["to_step"], blocks["to_n"]):
+            steps.append(step)
+            counts.append(n)
+            step, n = np.asarray(to_step)[step], n + np.asarray(to_n)[step]
+        return blocks.assign(to_step=steps, to_n=counts)
+
+    return maps.groupBy(*keys).applyInPandas(chain, maps.schema)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 HOUR_BUCKET = "yyyy-MM-dd--HH"
 MINUTE_BUCKET = "yyyy-MM-dd--HH-mm"
 
-# The row sink rolls after 5 MB or 10 seconds.
-ROLL_BYTES = 5 * 1024 * 1024
+# Fixed value: the row sink starts new files after 10 seconds.
 ROLL_INTERVAL = "10 seconds"
 
 
@@ -26,12 +26,17 @@ def write_buckets(df: DataFrame, path: str, kind: str = "parquet", max_records:
     writer.partitionBy("bucket").format(kind).save(path)
 
 
-def stream_buckets(df: DataFrame, path: str, checkpoint: str, kind: str = "parquet"):
-    """The streaming sink: files are committed once per micro-batch."""
-    return (
-        df.writeStream.partitionBy("bucket").format(kind)
-        .option("checkpointLocation", checkpoint).option("path", path)
-    )
+def stream_buckets(
+    df: DataFrame, path: str, checkpoint: str, kind: str = "parquet", max_records: int | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """The streaming sink. A micro-batch commits its files together, so files roll with the
+    trigger, and with ``max_records`` also by size."""
+    writer = df.writeStream.partitionBy("bucket").format(kind)
+    if max_records:
+        writer = writer.option("maxRecordsPerFile", max_records)
+    trigger = trigger or {"processingTime": ROLL_INTERVAL}
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start(path)
 
 
 def read_lines(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:

@@ -252,7 +252,7 @@ def test_streaming_bucket_sink(spark, sf, tmp_path):
     rows = files.bucketed(source.select("event_id", "ts"), F.col("ts"), files.HOUR_BUCKET)
     out = str(tmp_path / "out")
     for _ in range(2):
-        files.stream_buckets(rows, out, str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+        files.stream_buckets(rows, out, str(tmp_path / "cp"), trigger={"availableNow": True}).awaitTermination()
     back = spark.read.parquet(out)
     assert back.count() == 1000
     wrong = back.where(F.col("bucket") != F.date_format("ts", files.HOUR_BUCKET)).count()

@@ -115,9 +115,9 @@ def brute_force(rows):
 def test_sequences_match_brute_force(events, block):
     rows = stepping(events)
     state, progress = brute_force(rows.collect())
-    walked = sequences.sequence_progress(rows, ["user_id"], ORDER, 3, array_rows=block)
+    walked = sequences.sequence_progress(rows, ["user_id"], ORDER, 3, block_rows=block)
     assert sorted((r.event_id, r.step, r.n) for r in walked.collect()) == progress
-    final = sequences.sequence_state(rows, ["user_id"], ORDER, 3, array_rows=block)
+    final = sequences.sequence_state(rows, ["user_id"], ORDER, 3, block_rows=block)
     assert {r.user_id: (r.step, r.n) for r in final.collect()} == state
 
 
@@ -129,7 +129,7 @@ def test_sequences_go_on_from_a_given_state(events):
     late = rows.where(F.col("ts") >= cut).join(early, "user_id", "left")
     whole = sequences.sequence_progress(rows, ["user_id"], ORDER, 3).where(F.col("ts") >= cut)
     for block in (NEVER, 12):
-        resumed = sequences.sequence_progress(late, ["user_id"], ORDER, 3, ("s0", "n0"), array_rows=block)
+        resumed = sequences.sequence_progress(late, ["user_id"], ORDER, 3, ("s0", "n0"), block_rows=block)
         assert same(whole.select("event_id", "step", "n"), resumed) > 100
 
 
