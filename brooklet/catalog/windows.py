@@ -65,23 +65,13 @@ def tumbling_count_global(spark: SparkSession, sf: str) -> DataFrame:
     return started(windows.time_windows(load(spark, sf, "events"), "ts", "1 hour", counts()))
 
 
-class Spread:
-    """Count and range of a key's values, kept as (rows, least cents, greatest cents)."""
-
-    @staticmethod
-    def add(state: tuple, rows) -> tuple:
-        cents = (rows["value"] * 100).round().astype("int64")
-        low, high = int(cents.min()), int(cents.max())
-        return Spread.merge(state, (len(rows), low, high))
-
-    @staticmethod
-    def merge(a: tuple, b: tuple) -> tuple:
-        return a[0] + b[0], min(a[1], b[1]), max(a[2], b[2])
-
-
-FAR = 2**62
+# Rows, least and greatest value in cents.
+NOTHING = (0, 2**62, -(2**62))
 SPREAD = Aggregate(
-    create=lambda: (0, FAR, -FAR), add=Spread.add, merge=Spread.merge, result=lambda s: (s[0], s[2] - s[1]),
+    create=lambda: NOTHING,
+    add=lambda state, value: (state[0] + 1, min(state[1], round(value * 100)), max(state[2], round(value * 100))),
+    merge=lambda a, b: (a[0] + b[0], min(a[1], b[1]), max(a[2], b[2])),
+    result=lambda state: (state[0], state[2] - state[1]),
     state="n BIGINT, low BIGINT, high BIGINT", output="n BIGINT, spread_cents BIGINT")
 
 
@@ -91,11 +81,10 @@ SPREAD = Aggregate(
     FROM events GROUP BY 1, 2""")
 def user_aggregate(spark: SparkSession, sf: str) -> DataFrame:
     """A user-defined aggregate with create, add, merge and result."""
-    rows = load(spark, sf, "events").select("user_id", "event_type", "value")
-    return aggregate(rows, ["user_id", "event_type"], SPREAD)
+    return aggregate(load(spark, sf, "events"), ["user_id", "event_type"], ["value"], SPREAD)
 
 
-@query(f"""
+@query("""
     SELECT user_id, event_id, upper(event_type) || '#' || i AS label
     FROM events, (VALUES (1), (2)) AS copies(i) WHERE event_type <> 'signup' AND i <= event_id % 3""")
 def user_flat_map(spark: SparkSession, sf: str) -> DataFrame:

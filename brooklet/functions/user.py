@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -28,48 +27,62 @@ def map_batches(df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame],
 class Aggregate:
     """An incremental aggregate. The accumulator is a tuple in the order of ``state``.
 
-    ``add`` takes the accumulator and the rows of one key in a batch, ``merge`` two
-    accumulators, ``result`` turns one into output values.
+    ``add`` takes the accumulator and the values of one row, ``merge`` two accumulators;
+    ``result`` turns one into output values.
     """
 
     create: Callable[[], tuple]
-    add: Callable[[tuple, pd.DataFrame], tuple]
+    add: Callable[..., tuple]
     merge: Callable[[tuple, tuple], tuple]
     result: Callable[[tuple], tuple]
     state: str
     output: str
 
 
-def aggregate(df: DataFrame, keys: list[str], user: Aggregate) -> DataFrame:
+def aggregate(df: DataFrame, keys: list[str], values: list[str], user: Aggregate) -> DataFrame:
     """One row per key. Each task reduces its own rows to one accumulator per key before the
-    shuffle, so a busy key arrives as one row per task and not with all its rows."""
-    fields = T.StructType.fromDDL(user.state).fields
-    names = [f"_state_{f.name}" for f in fields]
+    shuffle, so a busy key arrives as one row per task and not with all its rows. The
+    accumulators are then merged in key order, batch by batch."""
     key_fields = df.select(*keys).schema.fields
-    partial_schema = T.StructType([*key_fields, *[T.StructField(n, f.dataType) for n, f in zip(names, fields)]])
-    output_fields = T.StructType.fromDDL(user.output).fields
-    outputs = [f.name for f in output_fields]
+    states = [T.StructField(f"_{f.name}", f.dataType) for f in T.StructType.fromDDL(user.state)]
+    outputs = T.StructType.fromDDL(user.output).fields
+    state_names, output_names = [f.name for f in states], [f.name for f in outputs]
 
-    def frame(found: dict[tuple, tuple], columns: list[str]) -> pd.DataFrame:
-        rows: list[tuple[Any, ...]] = [(*key, *values) for key, values in found.items()]
-        return pd.DataFrame(rows, columns=[*keys, *columns])
+    def frame(found: list[tuple], columns: list[str]) -> pd.DataFrame:
+        return pd.DataFrame([(*key, *value) for key, value in found], columns=[*keys, *columns])
+
+    def pairs(batch: pd.DataFrame, columns: list[str]) -> Iterator[tuple[tuple, tuple]]:
+        def rows(names: list[str]):
+            return zip(*[batch[c].tolist() for c in names])
+
+        return zip(rows(keys), rows(columns))
 
     def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[tuple, tuple] = {}
         for batch in batches:
-            for key, rows in batch.groupby(keys, sort=False, dropna=False):
-                held[key] = user.add(held.get(key) or user.create(), rows)
+            for key, row in pairs(batch, values):
+                held[key] = user.add(held[key] if key in held else user.create(), *row)
             if len(held) > HELD_KEYS:
-                yield frame(held, names)
+                yield frame(list(held.items()), state_names)
                 held = {}
         if held:
-            yield frame(held, names)
+            yield frame(list(held.items()), state_names)
 
-    def combine(key: tuple, partials: pd.DataFrame) -> pd.DataFrame:
-        total = user.create()
-        for state in partials[names].itertuples(index=False, name=None):
-            total = user.merge(total, state)
-        return frame({key: user.result(total)}, outputs)
-
-    partials = df.mapInPandas(reduce, partial_schema)
-    return partials.groupBy(*keys).applyInPandas(combine, T.StructType([*key_fields, *output_fields]))
+    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, total = None, None
+        for batch in batches:
+            done = []
+            for key, state in pairs(batch, state_names):
+                if key == current:
+                    total = user.merge(total, state)
+                    continue
+                if current is not None:
+                    done.append((current, user.result(total)))
+                current, total = key, state
+            yield frame(done, output_names)
+        if current is not None:
+            yield frame([(current, user.result(total))], output_names)
+
+    partials = df.select(*keys, *values).mapInPandas(reduce, T.StructType([*key_fields, *states]))
+    placed = partials.repartition(*keys).sortWithinPartitions(*keys)
+    return placed.mapInPandas(combine, T.StructType([*key_fields, *outputs]))
