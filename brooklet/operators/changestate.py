@@ -11,6 +11,12 @@ from pyspark.sql import types as T
 from brooklet.sources.changelog import latest_per_key
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists, on whichever file system it is."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 class KeyedTable:
     """An upsert table in a shared folder: base and delta folders, merged when read.
 
@@ -23,6 +29,9 @@ class KeyedTable:
     def __init__(self, spark: SparkSession, path: str, keys: list[str], order: list[str]):
         self.spark, self.path, self.keys, self.order = spark, path, keys, order
 
+    def exists(self) -> bool:
+        return has_files(self.spark, self.path)
+
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         last = latest_per_key(batch, self.keys, self.order)
         last.write.mode("overwrite").parquet(f"{self.path}/kind=delta/upto={batch_id}")
@@ -30,13 +39,16 @@ class KeyedTable:
     def _all(self) -> DataFrame:
         return self.spark.read.option("basePath", self.path).parquet(self.path)
 
-    def read(self) -> DataFrame:
+    def read(self, before: int | None = None) -> DataFrame:
+        """The current rows; with ``before``, as they were ahead of that micro-batch."""
         rows = self._all()
+        if before is not None:
+            rows = rows.where(F.col("upto") < before)
         newest = dict(rows.groupBy("kind").agg(F.max("upto")).collect())
         live = rows
         if "base" in newest:
             base = (F.col("kind") == "base") & (F.col("upto") == newest["base"])
-            if newest["delta"] <= newest["base"]:
+            if newest.get("delta", newest["base"]) <= newest["base"]:
                 return rows.where(base).drop("kind", "upto")
             live = rows.where(base | (F.col("upto") > newest["base"]))
         # Between equal orders the later batch wins.

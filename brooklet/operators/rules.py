@@ -171,8 +171,8 @@ def rule_progress(
     rows: DataFrame, rules: list[Rule], order: list[str], start: DataFrame | None = None,
     splits: Splits | None = None,
 ) -> DataFrame:
-    """Fan-out rows with ``count_i`` per condition and ``sequences``, after each event, in
-    place of the flags.
+    """Fan-out rows with ``count_i`` per condition, ``step`` and ``sequences``, after each
+    event, in place of the flags.
 
     ``start`` is a table of baselines to count on from.
     """
@@ -190,12 +190,22 @@ def rule_progress(
     if longest:
         state = ("base_step", "base_sequences") if start is not None else None
         walked = sequence_progress(out.withColumnRenamed("steps", "hits"), RULE_KEY, order, longest, state, splits)
-        out = walked.withColumnRenamed("n", "sequences").drop("step")
+        out = walked.withColumnRenamed("n", "sequences")
     else:
-        out = out.drop("steps").withColumn("sequences", F.lit(0).cast("bigint"))
+        out = out.drop("steps").withColumns({"step": F.lit(0), "sequences": F.lit(0).cast("bigint")})
     return out.drop("base_step", "base_sequences")
 
 
+def last_state(progress: DataFrame, order: list[str]) -> DataFrame:
+    """The state of each (rule, user) after its last event, in the form of a baseline."""
+    counters = sorted((c for c in progress.columns if c.startswith("count_")), key=lambda c: int(c[6:]))
+    state = F.struct(
+        F.array(*counters).cast("array<bigint>").alias("base_counts"), F.col("step").alias("base_step"),
+        F.col("sequences").alias("base_sequences"))
+    last = F.max_by(state, F.struct(*order)).alias("_state")
+    return progress.groupBy(*RULE_KEY).agg(last).select(*RULE_KEY, "_state.*")
+
+
 def verdicts(progress: DataFrame, rules: list[Rule]) -> DataFrame:
     """Trigger rows that meet their rule, with the rule's cap per user as ``_cap``."""
     rows, verdict, cap = progress.where("is_trigger"), None, None
@@ -205,7 +215,7 @@ def verdicts(progress: DataFrame, rules: list[Rule]) -> DataFrame:
         verdict = F.when(mine, test) if verdict is None else verdict.when(mine, test)
         limit = F.lit(rule.max_matches).cast("bigint")
         cap = F.when(mine, limit) if cap is None else cap.when(mine, limit)
-    working = {"hits", "steps", "is_trigger", "sequences", "base_counts", "base_step", "base_sequences"}
+    working = {"hits", "steps", "is_trigger", "step", "sequences", "base_counts", "base_step", "base_sequences"}
     kept = [c for c in progress.columns if c not in working and not c.startswith("count_")]
     return rows.withColumn("_cap", cap).where(verdict).select(*kept, "_cap")
 

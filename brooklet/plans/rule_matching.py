@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from brooklet.functions.predicates import EventColumns
+from brooklet.operators.changestate import KeyedTable, has_files
 from brooklet.operators.ordered import running, running_count
-from brooklet.operators.rules import RULE_KEY, Rule, fan_out, verdicts
+from brooklet.operators.rules import (
+    RULE_KEY, Rule, fan_out, last_state, live_rules, rule_progress, verdicts,
+)
+from brooklet.sources.changelog import latest_per_key
 from brooklet.streaming import runner, stateful
 
 
@@ -30,21 +36,66 @@ def start(
     size = max((len(r.counts) for r in rules), default=0)
     progress = stateful.rule_progress(rows, RULE_KEY, ["match_time", *order], size, start_columns)
     matched = verdicts(progress, rules)
-    return runner.start(matched, _capped(path, order), f"{path}/checkpoint", trigger=trigger)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _keep_capped(batch, path, order, batch_id)
+
+    return runner.start(matched, runner.reused(write), f"{path}/checkpoint", trigger=trigger)
+
+
+def _keep_capped(matched: DataFrame, path: str, order: list[str], batch_id: int) -> None:
+    """Write matches of a micro-batch, as far as their cap leaves room after earlier ones."""
+    counted = running(matched, RULE_KEY, ["match_time", *order], {"_match": running_count()})
+    spark = matched.sparkSession
+    if has_files(spark, f"{path}/matches"):
+        earlier = read_matches(spark, path).where(F.col("batch") < batch_id)
+        before = earlier.groupBy(*RULE_KEY).agg(F.count(F.lit(1)).alias("_before"))
+        counted = counted.join(before, RULE_KEY, "left").withColumn(
+            "_match", F.col("_match") + F.coalesce("_before", F.lit(0))).drop("_before")
+    kept = counted.where(F.col("_cap").isNull() | (F.col("_match") <= F.col("_cap")))
+    kept.drop("_cap", "_match").write.mode("overwrite").parquet(f"{path}/matches/batch={batch_id}")
+
 
+def start_following(
+    events: DataFrame, current: Callable[[SparkSession], tuple[list[Rule], DataFrame]], columns: EventColumns,
+    order: list[str], path: str, baselines: DataFrame | None = None, trigger: dict | None = None,
+) -> StreamingQuery:
+    """Live matching that follows changes of the rules while it runs.
+
+    ``current`` gives the rules in force and their audience ``(rule_id, guid)``; it is asked
+    before every micro-batch, for instance from the state of a rule changelog. The counters
+    then live in an upsert table instead of the state store, and a micro-batch is matched by
+    the batch operators, which also split large users. Compact ``state`` from time to time.
+    """
 
-def _capped(path: str, order: list[str]) -> runner.Each:
     def write(batch: DataFrame, batch_id: int) -> None:
-        counted = running(batch, RULE_KEY, ["match_time", *order], {"_match": running_count()})
-        if batch_id > 0:
-            earlier = read_matches(batch.sparkSession, path).where(F.col("batch") < batch_id)
-            before = earlier.groupBy(*RULE_KEY).agg(F.count(F.lit(1)).alias("_before"))
-            counted = counted.join(before, RULE_KEY, "left").withColumn(
-                "_match", F.col("_match") + F.coalesce("_before", F.lit(0))).drop("_before")
-        kept = counted.where(F.col("_cap").isNull() | (F.col("_match") <= F.col("_cap")))
-        kept.drop("_cap", "_match").write.mode("overwrite").parquet(f"{path}/matches/batch={batch_id}")
-
-    return runner.reused(write)
+        spark = batch.sparkSession
+        rules, audience = current(spark)
+        if not rules:
+            return
+        table = KeyedTable(spark, f"{path}/state", RULE_KEY, ["since"])
+        known = [] if baselines is None else [baselines.withColumn("since", F.lit(-1))]
+        if table.exists():
+            known.append(table.read(before=batch_id))
+        start_state = None
+        if known:
+            both = known[0] if len(known) == 1 else known[0].unionByName(known[1])
+            start_state = latest_per_key(both, RULE_KEY, ["since"]).drop("since")
+        rows = fan_out(batch, rules, columns, order).join(audience, RULE_KEY, "left_semi")
+        progress = rule_progress(rows, rules, ["match_time", *order], start_state).persist()
+        try:
+            _keep_capped(verdicts(progress, rules), path, order, batch_id)
+            state = last_state(progress, ["match_time", *order])
+            table.upsert(state.withColumn("since", F.lit(batch_id)), batch_id)
+        finally:
+            progress.unpersist()
+
+    return runner.start(events, runner.reused(write), f"{path}/checkpoint", trigger=trigger)
+
+
+def rules_in_force(changes: DataFrame, order: list[str]) -> list[Rule]:
+    """Rules of a changelog with their JSON in ``rule_define_json``; as many rows as rules."""
+    rows = live_rules(changes, order).select("rule_define_json").collect()
+    return [Rule.parse(row[0]) for row in rows]
 
 
 def read_matches(spark: SparkSession, path: str) -> DataFrame:

@@ -216,6 +216,49 @@ def test_published_rules_go_on_live(spark, sf, tmp_path):
     assert found == sorted(expected) and len(found) > 20
 
 
+def test_rules_may_change_while_matching(spark, sf, tmp_path):
+    """One rule runs throughout, the other only while its changelog has it."""
+    events = load(spark, sf, "events").withColumnRenamed("user_id", "guid").withColumn("event_pk", F.col("event_id"))
+    events = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    source, changes, path = (str(tmp_path / n) for n in ("events", "changes", "live"))
+    order = ["event_pk"]
+    everyone = events.select("guid").distinct()
+
+    def change(operation, text, at):
+        rule_id = json.loads(text)["ruleId"]
+        spark.createDataFrame([(operation, rule_id, text, at)], "operation STRING, rule_id STRING,"
+                              " rule_define_json STRING, at INT").write.mode("append").parquet(changes)
+
+    def current(session):
+        live = rule_matching.rules_in_force(session.read.parquet(changes), ["at"])
+        return live, everyone.select("guid", F.explode(F.array(*[F.lit(r.rule_id) for r in live])).alias("rule_id"))
+
+    def run(low, high):
+        day = F.dayofmonth("ts")
+        events.where((day >= low) & (day < high)).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        rule_matching.start_following(stream, current, rule_queries.COLUMNS, order, path).awaitTermination()
+
+    change("INSERT", rule_queries.RULE_2, 1)
+    run(1, 12)
+    change("INSERT", rule_queries.RULE_1, 2)
+    run(12, 22)
+    change("DELETE", rule_queries.RULE_1, 3)
+    run(22, 32)
+    found = sorted((r.rule_id, r.event_pk) for r in rule_matching.read_matches(spark, path).collect())
+
+    one, two = rule_queries.rules()
+
+    def expected(rule, rows):
+        audience = everyone.select(F.lit(rule.rule_id).alias("rule_id"), "guid")
+        got = match_rules(rows, [rule], audience, rule_queries.COLUMNS, order)
+        return [(r.rule_id, r.event_pk) for r in got.collect()]
+
+    middle = events.where(F.dayofmonth("ts").between(12, 21))
+    assert found == sorted(expected(two, events) + expected(one, middle))
+    assert {r for r, _ in found} == {"M1-R1", "M2-R1"}
+
+
 def test_keyed_table_replay_and_compaction(spark, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "t"), ["k"], ["at"])
 
