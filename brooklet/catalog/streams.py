@@ -11,6 +11,7 @@ from brooklet.catalog import changes, joins, records, rules, visits, windows
 from brooklet.catalog.registry import ORACLES, query
 from brooklet.functions.predicates import event_flag
 from brooklet.functions.times import text
+from brooklet.functions.user import Aggregate
 from brooklet.operators import joins as join_ops
 from brooklet.operators import sequences, visits as visit_ops
 from brooklet.operators.windows import stream_session_windows, time_windows
@@ -164,6 +165,40 @@ def stream_bounce_detail(spark: SparkSession, sf: str) -> DataFrame:
     return runner.run_to_table(spark, left, "bounces").select("event_id", "user_id", "reason")
 
 
+def timed(events: DataFrame) -> DataFrame:
+    return events.select("user_id", "event_type", "ts", "event_id", "value")
+
+
+@query(ORACLES["rolling_min_by"])
+def stream_rolling_min_by(spark: SparkSession, sf: str) -> DataFrame:
+    rolled = stateful.running_argmin(timed(event_stream(spark, sf)), ["user_id", "event_type"], windows.ORDER, "value")
+    rows = rolled.select("event_id", "user_id", "event_type", "least_event_id", "least_value")
+    return runner.run_to_table(spark, rows, "argmin")
+
+
+TOTALS = Aggregate(
+    create=lambda: (0, 0, 2**62),
+    add=lambda s, event_id, value: (s[0] + 1, s[1] + round(value * 100), min(s[2], event_id)),
+    merge=lambda a, b: (a[0] + b[0], a[1] + b[1], min(a[2], b[2])), result=lambda s: s,
+    state="n BIGINT, cents BIGINT, first BIGINT", output="n BIGINT, cents BIGINT, first_event_id BIGINT")
+
+
+@query(ORACLES["count_window_keyed"])
+def stream_count_window_keyed(spark: SparkSession, sf: str) -> DataFrame:
+    fired = stateful.count_windows(timed(event_stream(spark, sf)), ["user_id"], windows.ORDER,
+                                   ["event_id", "value"], 10, TOTALS)
+    rows = fired.withColumn("window_no", (F.col("rows_seen") / 10).cast("bigint") - 1).drop("rows_seen")
+    return runner.run_to_table(spark, rows, "count")
+
+
+@query(ORACLES["count_slide_keyed"])
+def stream_count_slide_keyed(spark: SparkSession, sf: str) -> DataFrame:
+    fired = stateful.count_windows(timed(event_stream(spark, sf)), ["user_id"], windows.ORDER,
+                                   ["event_id", "value"], 10, TOTALS, 2)
+    rows = fired.select("user_id", F.col("rows_seen").alias("window_no"), "n", "cents")
+    return runner.run_to_table(spark, rows, "count_slide")
+
+
 @query(ORACLES["late_side_output"])
 def stream_late_side_output(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "late")

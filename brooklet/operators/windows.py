@@ -37,6 +37,11 @@ def time_windows(
     )
 
 
+def with_arrival(df: DataFrame, into: str = "arrived") -> DataFrame:
+    """Processing time: the moment a row was read, to be captured once and then kept."""
+    return df.withColumn(into, F.current_timestamp())
+
+
 def session_windows(
     df: DataFrame, keys: list[str], time: str, order: list[str], gap: Column,
     aggregates: dict[str, Column], block_rows: int = BLOCK_ROWS,

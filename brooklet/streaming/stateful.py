@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from brooklet.functions.times import micros, span_micros
+from brooklet.functions.user import Aggregate
 
 Batches = Iterator[pd.DataFrame]
 
@@ -187,3 +188,73 @@ def sequence_progress(df: DataFrame, keys: list[str], order: list[str]) -> DataF
 
     return df.groupBy(*keys).applyInPandasWithState(
         advance, out, "step INT, n BIGINT", "append", GroupStateTimeout.NoTimeout)
+
+
+def running_argmin(df: DataFrame, keys: list[str], order: list[str], by: str) -> DataFrame:
+    """``df`` with the row of its key with the least ``by`` so far in ``least_`` columns; ties
+    keep the first row."""
+    tracked = [c for c in df.columns if c not in keys]
+    fields = [df.schema[c] for c in tracked]
+    names = [f"least_{c}" for c in tracked]
+    state_schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, fields)])
+    out = T.StructType([*df.schema.fields, *state_schema.fields])
+    position = tracked.index(by)
+
+    def advance(key: tuple, batches: Batches, state: GroupState) -> Batches:
+        batch = _ordered(batches, order)
+        if batch is None:
+            return
+        least = state.get if state.exists else None
+        seen = []
+        for row in zip(*[batch[c].tolist() for c in tracked]):
+            if least is None or row[position] < least[position]:
+                least = row
+            seen.append(least)
+        state.update(tuple(least))
+        yield batch.assign(**{n: [s[i] for s in seen] for i, n in enumerate(names)})
+
+    return df.groupBy(*keys).applyInPandasWithState(
+        advance, out, state_schema, "append", GroupStateTimeout.NoTimeout)
+
+
+def count_windows(
+    df: DataFrame, keys: list[str], order: list[str], values: list[str], size: int, user: Aggregate,
+    slide: int | None = None,
+) -> DataFrame:
+    """After every ``slide`` rows of a key, a user aggregate over its last ``size`` rows or fewer.
+
+    Without ``slide`` windows do not overlap and fire only when full. ``rows_seen`` is the
+    number of the last row. State holds fewer than ``size`` rows per key.
+    """
+    slide = slide or size
+    key_fields = [df.schema[k] for k in keys]
+    outputs = T.StructType.fromDDL(user.output).fields
+    out = T.StructType([*key_fields, T.StructField("rows_seen", T.LongType()), *outputs])
+    state_schema = T.StructType([
+        T.StructField("seen", T.LongType()), *[T.StructField(v, T.ArrayType(df.schema[v].dataType)) for v in values]])
+
+    def advance(key: tuple, batches: Batches, state: GroupState) -> Batches:
+        batch = _ordered(batches, order)
+        if batch is None:
+            return
+        seen, held = 0, []
+        if state.exists:
+            seen, *columns = state.get
+            held = list(zip(*columns))
+        fired = []
+        for row in zip(*[batch[v].tolist() for v in values]):
+            held.append(row)
+            held, seen = held[-size:], seen + 1
+            if seen % slide == 0:
+                total = user.create()
+                for kept in held:
+                    total = user.add(total, *kept)
+                fired.append((*key, seen, *user.result(total)))
+        kept = held[1 - size:] if size > 1 else []
+        state.update((seen, *([list(c) for c in zip(*kept)] or [[] for _ in values])))
+        if fired:
+            yield pd.DataFrame(fired, columns=out.fieldNames())
+
+    rows = df.select(*dict.fromkeys([*keys, *order, *values]))
+    return rows.groupBy(*keys).applyInPandasWithState(
+        advance, out, state_schema, "append", GroupStateTimeout.NoTimeout)
