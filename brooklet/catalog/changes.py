@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brooklet.catalog.registry import query
-from brooklet.operators import joins
 from brooklet.plans.change_routing import routed_as_of, route_changes
 from brooklet.sources import changelog
 from brooklet.tables import load

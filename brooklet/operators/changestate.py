@@ -22,12 +22,15 @@ class KeyedTable:
 
     A micro-batch writes one delta, its last row per key, to a folder named after the batch,
     so its cost follows the batch and not the table. A replayed batch replaces its own folder,
-    which makes the sink exactly-once. ``compact`` folds the deltas into a new base; readers
-    use the newest base and the deltas after it.
+    which makes the sink exactly-once. After every ``compact_every`` micro-batches the deltas
+    are folded into a new base; readers use the newest base and the deltas after it.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], order: list[str]):
+    def __init__(
+        self, spark: SparkSession, path: str, keys: list[str], order: list[str], compact_every: int = 100
+    ):
         self.spark, self.path, self.keys, self.order = spark, path, keys, order
+        self.compact_every = compact_every
 
     def exists(self) -> bool:
         return has_files(self.spark, self.path)
@@ -35,6 +38,8 @@ class KeyedTable:
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         last = latest_per_key(batch, self.keys, self.order)
         last.write.mode("overwrite").parquet(f"{self.path}/kind=delta/upto={batch_id}")
+        if batch_id % self.compact_every == self.compact_every - 1:
+            self.compact()
 
     def _all(self) -> DataFrame:
         return self.spark.read.option("basePath", self.path).parquet(self.path)

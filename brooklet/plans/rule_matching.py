@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from brooklet.functions.predicates import EventColumns
-from brooklet.operators.changestate import KeyedTable, has_files
+from brooklet.operators.changestate import KeyedTable
 from brooklet.operators.ordered import running, running_count
 from brooklet.operators.rules import (
     RULE_KEY, Rule, fan_out, last_state, live_rules, rule_progress, verdicts,
@@ -44,15 +44,20 @@ def start(
 
 def _keep_capped(matched: DataFrame, path: str, order: list[str], batch_id: int) -> None:
     """Write matches of a micro-batch, as far as their cap leaves room after earlier ones."""
-    counted = running(matched, RULE_KEY, ["match_time", *order], {"_match": running_count()})
     spark = matched.sparkSession
-    if has_files(spark, f"{path}/matches"):
-        earlier = read_matches(spark, path).where(F.col("batch") < batch_id)
-        before = earlier.groupBy(*RULE_KEY).agg(F.count(F.lit(1)).alias("_before"))
+    counts = KeyedTable(spark, f"{path}/match_counts", RULE_KEY, ["n"])
+    counted = running(matched, RULE_KEY, ["match_time", *order], {"_match": running_count()})
+    if counts.exists():
+        before = counts.read(before=batch_id).withColumnRenamed("n", "_before")
         counted = counted.join(before, RULE_KEY, "left").withColumn(
             "_match", F.col("_match") + F.coalesce("_before", F.lit(0))).drop("_before")
-    kept = counted.where(F.col("_cap").isNull() | (F.col("_match") <= F.col("_cap")))
-    kept.drop("_cap", "_match").write.mode("overwrite").parquet(f"{path}/matches/batch={batch_id}")
+    kept = counted.where(F.col("_cap").isNull() | (F.col("_match") <= F.col("_cap"))).persist()
+    try:
+        kept.drop("_cap", "_match").write.mode("overwrite").parquet(f"{path}/matches/batch={batch_id}")
+        capped = kept.where(F.col("_cap").isNotNull())
+        counts.upsert(capped.select(*RULE_KEY, F.col("_match").alias("n")), batch_id)
+    finally:
+        kept.unpersist()
 
 
 def start_following(
@@ -64,7 +69,7 @@ def start_following(
     ``current`` gives the rules in force and their audience ``(rule_id, guid)``; it is asked
     before every micro-batch, for instance from the state of a rule changelog. The counters
     then live in an upsert table instead of the state store, and a micro-batch is matched by
-    the batch operators, which also split large users. Compact ``state`` from time to time.
+    the batch operators, which also split large users.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -1,7 +1,7 @@
 """Late rows of a stream, told apart exactly.
 
-The greatest time seen per source partition is kept as one small row set per micro-batch.
-Inside a micro-batch the batch operators apply; the stored values stand for all earlier ones.
+The greatest time seen so far is kept per source partition, one small row set per micro-batch.
+Inside a micro-batch the batch operators apply; the last stored values stand for all earlier ones.
 """
 
 from __future__ import annotations
@@ -24,16 +24,15 @@ def late_row_batches(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = watermark_progress(batch, source, arrival, time, bound)
+        highest = batch.groupBy(*source).agg(F.max(time).alias("seen"))
         if batch_id > 0:
-            # One row per source partition and earlier micro-batch.
-            seen = spark.read.option("basePath", f"{path}/seen").parquet(f"{path}/seen")
-            seen = seen.where(F.col("batch") < batch_id).groupBy(*source).agg(F.max("seen").alias("_before"))
+            before = spark.read.parquet(f"{path}/seen/batch={batch_id - 1}")
             lag = span(bound + ONE_MILLI)
-            rows = rows.join(seen, source, "left").withColumns({
-                name: F.greatest(F.col(name), F.col("_before") - lag) for name in ("watermark", "prior_watermark")
-            }).drop("_before")
+            rows = rows.join(before, source, "left").withColumns({
+                name: F.greatest(F.col(name), F.col("seen") - lag) for name in ("watermark", "prior_watermark")
+            }).drop("seen")
+            highest = highest.unionByName(before).groupBy(*source).agg(F.max("seen").alias("seen"))
         classify_lateness(rows, time, width, lateness).write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
-        highest = batch.groupBy(*source).agg(F.max(time).alias("seen"))
         highest.write.mode("overwrite").parquet(f"{path}/seen/batch={batch_id}")
 
     return reused(write)
