@@ -212,12 +212,12 @@ def running(
         window = partitioned(keys).orderBy(*ordering)
         return df.withColumns({name: value.over(window) for name, value in values.items()})
 
-    placed = BLOCK in df.columns
-    blocked = df if placed else with_blocks(df, splits)
+    rows, large = df, splits.large_only(df)
+    if BLOCK not in df.columns:
+        rows, large = spread(with_blocks(df, splits), splits), with_blocks(large, splits)
     window = partitioned([*keys, BLOCK]).orderBy(*ordering)
-    rows = blocked if placed else spread(blocked, splits)
     rows = rows.withColumns({f"_here_{name}": value.over(window) for name, value in values.items()})
-    before = _before_block(blocked, values, splits, backwards)
+    before = _before_block(large, values, splits, backwards)
     joined = rows.join(F.broadcast(before), [*keys, BLOCK], "left").withColumns({
         name: value.combine(F.col(f"_before_{name}"), F.col(f"_here_{name}"))
         for name, value in values.items()
@@ -227,12 +227,12 @@ def running(
 
 
 def _before_block(
-    blocked: DataFrame, values: dict[str, Running], splits: Splits, backwards: bool
+    large: DataFrame, values: dict[str, Running], splits: Splits, backwards: bool
 ) -> DataFrame:
     """For each block of a large key, the combined value of all blocks ahead of it."""
     keys = splits.keys
     position = F.struct(*splits.order)
-    totals = splits.large_only(blocked).groupBy(*keys, BLOCK).agg(
+    totals = large.groupBy(*keys, BLOCK).agg(
         *[value.of_block(position, backwards).alias(f"_total_{name}") for name, value in values.items()]
     )
     # One row per block, so at most max_blocks rows per key.
