@@ -18,7 +18,7 @@ from brooklet.operators.windows import stream_session_windows, time_windows
 from brooklet.plans import rule_matching
 from brooklet.session import scratch_path
 from brooklet.streaming import runner, stateful
-from brooklet.streaming.lateness import late_row_batches
+from brooklet.streaming.lateness import late_row_batches, window_count_batches
 from brooklet.tables import EVENTS_SCHEMA, LINEITEM_SCHEMA, ORDERS_SCHEMA, load, stream
 
 
@@ -210,6 +210,28 @@ def stream_late_side_output(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("event_id", "user_id", "is_late", "is_refire")
 
 
+@query(f"""
+    WITH {windows.PROGRESS},
+    clock AS (SELECT source, max(ts) - INTERVAL 3001 MILLISECOND AS c FROM progress GROUP BY 1),
+    accepted AS (
+        SELECT source, user_id, w, passed,
+               row_number() OVER (PARTITION BY user_id, w ORDER BY arrival, event_id) AS n
+        FROM classified WHERE NOT is_late)
+    SELECT user_id, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, false AS is_refire, count(*) AS n
+    FROM accepted JOIN clock USING (source)
+    WHERE NOT passed AND w + INTERVAL 3599999 MILLISECOND <= c GROUP BY user_id, w
+    UNION ALL SELECT user_id, strftime(w, '%Y-%m-%d %H:%M:%S'), true, n FROM accepted WHERE passed""")
+def stream_late_refire_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Window results up to the watermark at the end of the stream."""
+    path = scratch_path(spark, "fired")
+    sink = window_count_batches(f"{path}/out", ["source"], ["user_id"], windows.ARRIVAL, "ts", windows.BOUND,
+                                "1 hour", windows.LATENESS)
+    events = windows.disturbed(event_stream(spark, sf))
+    runner.start(events, sink, f"{path}/checkpoint").awaitTermination()
+    fired = spark.read.parquet(f"{path}/out/fired")
+    return fired.select("user_id", text(F.col("window_start")).alias("window_start"), "is_refire", "n")
+
+
 @query(ORACLES["sequence_progress"])
 def stream_sequence_progress(spark: SparkSession, sf: str) -> DataFrame:
     events = event_stream(spark, sf).withColumnRenamed("user_id", "guid").withColumn("event_pk", F.col("event_id"))

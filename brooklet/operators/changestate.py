@@ -23,14 +23,16 @@ class KeyedTable:
     A micro-batch writes one delta, its last row per key, to a folder named after the batch,
     so its cost follows the batch and not the table. A replayed batch replaces its own folder,
     which makes the sink exactly-once. After every ``compact_every`` micro-batches the deltas
-    are folded into a new base; readers use the newest base and the deltas after it.
+    are folded into a new base; readers use the newest base and the deltas after it. A key
+    whose last row has the boolean column ``dropped`` set is gone, from the next base on for good.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, keys: list[str], order: list[str], compact_every: int = 100
+        self, spark: SparkSession, path: str, keys: list[str], order: list[str],
+        compact_every: int = 100, dropped: str | None = None,
     ):
         self.spark, self.path, self.keys, self.order = spark, path, keys, order
-        self.compact_every = compact_every
+        self.compact_every, self.dropped = compact_every, dropped
 
     def exists(self) -> bool:
         return has_files(self.spark, self.path)
@@ -57,7 +59,8 @@ class KeyedTable:
                 return rows.where(base).drop("kind", "upto")
             live = rows.where(base | (F.col("upto") > newest["base"]))
         # Between equal orders the later batch wins.
-        return latest_per_key(live, self.keys, [*self.order, "upto"]).drop("kind", "upto")
+        latest = latest_per_key(live, self.keys, [*self.order, "upto"]).drop("kind", "upto")
+        return latest.where(~F.col(self.dropped)) if self.dropped else latest
 
     def compact(self) -> None:
         upto = self._all().agg(F.max("upto")).first()[0]

@@ -72,6 +72,36 @@ def test_first_visits_keep_one_row_per_day(spark, events, arriving):
     same(spark, first, whole, "user_id", "visit_date")
 
 
+def test_windows_fire_again_across_micro_batches(spark, events, tmp_path):
+    from datetime import timedelta
+
+    from brooklet.catalog.windows import ARRIVAL, disturbed
+    from brooklet.operators.lateness import ONE_MILLI, late_window_counts
+    from brooklet.functions.times import span
+    from brooklet.streaming.lateness import window_count_batches
+
+    # Every third row arrives much later than its time.
+    delay = F.when(F.col("event_id") % 3 == 0, 40).otherwise(0)
+    rows = disturbed(events).withColumns({"arrival": F.col("event_id") + delay, "user_id": F.col("source")})
+    source = str(tmp_path / "in")
+    for part in range(4):
+        rows.where(F.floor(F.col("arrival") / 270) == part).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    bound, late = timedelta(seconds=3), timedelta(hours=20)
+    args = (["source"], ["user_id"], ARRIVAL, "ts", bound, "12 hours", late)
+    path = str(tmp_path / "out")
+    for _ in range(2):
+        runner.start(stream, window_count_batches(path, *args), str(tmp_path / "cp")).awaitTermination()
+    names = ["user_id", "window_start", "is_refire", "n"]
+    got = sorted(map(str, spark.read.parquet(f"{path}/fired").select(*names).collect()))
+
+    clock = rows.groupBy("user_id").agg((F.max("ts") - span(bound + ONE_MILLI)).alias("clock"))
+    whole = late_window_counts(rows, *args).join(clock, "user_id")
+    closed = F.col("window_end") - span(ONE_MILLI) <= F.col("clock")
+    assert got == sorted(map(str, whole.where(F.col("is_refire") | closed).select(*names).collect()))
+    assert sum("is_refire=True" in g for g in got) > 20 and sum("is_refire=False" in g for g in got) > 100
+
+
 def test_processing_time_windows(spark, arriving, tmp_path):
     counted = windows.time_windows(windows.with_arrival(arriving), "arrived", "1 hour", {"n": F.count(F.lit(1))})
     table = runner.run_to_keyed(spark, counted, "arrival", ["window_start"], ["n"])
