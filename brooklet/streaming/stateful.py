@@ -24,7 +24,10 @@ Batches = Iterator[pd.DataFrame]
 
 def _ordered(batches: Batches, order: list[str]) -> pd.DataFrame | None:
     frames = [b for b in batches if len(b)]
-    return pd.concat(frames, ignore_index=True).sort_values(order) if frames else None
+    if not frames:
+        return None
+    rows = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+    return rows.sort_values(order)
 
 
 def correct_new_flag(df: DataFrame, device: str, order: list[str], flag: str = "is_new") -> DataFrame:
