@@ -4,8 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
-
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+from brooklet.catalog import ORACLES, QUERIES
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
@@ -36,5 +35,10 @@ def test_query_equals_sql(spark, sf, database, name):
     assert plain(rows, df.columns) == plain(cursor.fetchall(), columns)
 
 
+def test_entry_points_register_every_query():
+    assert QUERIES.keys() <= entry_points.queries().keys()
+    assert ORACLES.keys() <= entry_points.oracle_sql().keys()
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
