@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.llm import sharding
+from brooklet.llm import packing, sharding
 from brooklet.llm.common import text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,3 +43,20 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign_shards(docs, "doc_id", SHARDS, "shard", grown="grown_shard")
     slots = sharding.number_slots(placed, "shard", ["doc_id", "text_crc32", "size"])
     return slots.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+SEQUENCE, END_ID = 2048, 1
+
+
+def tokenizer_definition(path: str | None = None) -> str:
+    """The JSON text of the tokenizer at a path of the driver's; tasks get the text itself."""
+    with open(path or public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        return file.read()
+
+
+@query()
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of 2048 ids."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_definition(), SEQUENCE, END_ID)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
