@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.llm import packing, sharding
-from brooklet.llm.common import text_or_empty
+from brooklet.llm import exact_dedup, line_dedup, packing, sharding
+from brooklet.llm.common import digest, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,3 +60,32 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_definition(), SEQUENCE, END_ID)
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("""
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS chars,
+                  regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS body FROM documents),
+     g AS (SELECT *, first_value(doc_id) OVER (PARTITION BY body ORDER BY chars DESC, doc_id) AS keep_id,
+                  count(*) OVER (PARTITION BY body) AS group_size FROM d)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(body) AS text_sha256 FROM g
+""")
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that are equal but for white space, and the one that stays."""
+    return exact_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+@query("""
+WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+     e AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM s),
+     k AS (SELECT *, translate(regexp_replace(regexp_replace(line, '^[\\x20\\x09-\\x0D]+', ''), '[\\x20\\x09-\\x0D]+$', ''),
+                               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM e),
+     c AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+     m AS (SELECT k.*, c.key IS NOT NULL AND k.doc_id <> c.last AS gone FROM k LEFT JOIN c USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+""")
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the long lines that five documents share."""
+    kept = line_dedup.drop_shared_lines(table(spark, sf_dir, "documents"), min_chars=40, min_docs=5)
+    return kept.select("doc_id", "n_lines", "n_dropped", digest(F.col("text")).alias("kept_sha256"))
