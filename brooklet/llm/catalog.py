@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.llm import exact_dedup, line_dedup, packing, sharding
+from brooklet.llm import exact_dedup, line_dedup, mixing, packing, sharding
 from brooklet.llm.common import digest, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +89,12 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the long lines that five documents share."""
     kept = line_dedup.drop_shared_lines(table(spark, sf_dir, "documents"), min_chars=40, min_docs=5)
     return kept.select("doc_id", "n_lines", "n_dropped", digest(F.col("text")).alias("kept_sha256"))
+
+
+@query()
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    documents, taken = mixing.mix(table(spark, sf_dir, "documents"))
+    words = taken.groupBy(F.col("row").alias("of")).agg(F.sum("words").alias("words"))
+    return documents.join(words, F.col("row") == F.col("of"), "left").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken"))
