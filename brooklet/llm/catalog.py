@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.llm import exact_dedup, line_dedup, mixing, packing, sharding
+from brooklet.llm import exact_dedup, line_dedup, mixing, packing, secret_scan, sharding
 from brooklet.llm.common import digest, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +98,15 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = taken.groupBy(F.col("row").alias("of")).agg(F.sum("words").alias("words"))
     return documents.join(words, F.col("row") == F.col("of"), "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken"))
+
+
+@query()
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of every document, by the fixed patterns and by the Markov models."""
+    docs = table(spark, sf_dir, "documents")
+    spans = F.col("spans")
+    found = secret_scan.scan(docs, secret_scan.train(docs))
+    base = secret_scan.of_kind(spans, *secret_scan.PATTERNS)
+    return found.select(
+        "doc_id", *[F.size(secret_scan.of_kind(spans, k)).cast("long").alias(f"n_{k}") for k in secret_scan.PATTERNS],
+        digest(secret_scan.joined(base)).alias("base_sha256"), secret_scan.joined(spans).alias("spans"))
