@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.llm import exact_dedup, line_dedup, mixing, packing, secret_scan, sharding
+from brooklet.llm import exact_dedup, html_text, line_dedup, mixing, packing, secret_scan, sharding
 from brooklet.llm.common import digest, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,3 +110,9 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *[F.size(secret_scan.of_kind(spans, k)).cast("long").alias(f"n_{k}") for k in secret_scan.PATTERNS],
         digest(secret_scan.joined(base)).alias("base_sha256"), secret_scan.joined(spans).alias("spans"))
+
+
+@query()
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
