@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.llm import exact_dedup, html_text, line_dedup, mixing, packing, secret_scan, sharding
+from brooklet.llm import exact_dedup, html_text, line_dedup, mixing, packing, quality, secret_scan, sharding
 from brooklet.llm.common import digest, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,3 +116,18 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def held_out(doc_id: Column) -> Column:
+    """Documents whose labels nothing is learnt from."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
+
+
+@query()
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document, learnt from the labels that are not held out."""
+    scored = quality.score(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn_from=~held_out(F.col("doc_id")))
+    return scored.select(
+        "doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
