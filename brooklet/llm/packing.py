@@ -8,68 +8,109 @@ it gives are pieces of documents, a document that crosses a boundary giving one
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from brooklet.llm.common import small_batches, text_or_empty, written
 
-#: Words that a Python worker remembers, twice at most; only speed depends on it.
-REMEMBERED_WORDS = 250_000
+#: Parts that a task remembers, twice at most, and those that it looks up in one go; only speed
+#: depends on them.
+REMEMBERED_PARTS, LOOK_UP = 300_000, 4_000
+BATCH_TEXTS = 1024
 
 TOKENS = "doc_id long, part long, place long, tokens long, ids binary"
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, at long"
 
 
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
 class WordTokenizer:
-    """Ids of texts by way of their words, as bytes of little-endian unsigned integers.
+    """Ids of texts by way of the parts of their words.
 
-    The tokenizers that fit drop white space and never join what stands on its two sides, so a
-    text's ids are those of its words one after the other, and a word that comes again needs no
-    second look. Words are cut at ASCII white space only. ``width`` bytes hold an id.
+    The tokenizers that fit drop white space, and cut what is left into letters and marks before
+    they look anything up. So a text's ids are those of its words one after the other, those of
+    a word of letters and ASCII marks after them are the letters' and the marks', and a part that
+    comes again needs no second look. Words are cut at ASCII white space only; words of any other
+    make are parts as a whole. ``width`` bytes hold an id.
     """
 
     def __init__(self, definition: str) -> None:
+        import numpy as np
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True  # Their strings in a text are ordinary text.
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.recent: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-
-    def learn(self, words: list[bytes]) -> None:
-        """Look up words in one go: their ids come in order, each with its place in the line."""
+        self.kind = np.dtype(f"<u{self.width}")
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.ends[number] = bool(suffix) and token.endswith(suffix)
+        self.recent: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
+
+    def look_up(self, parts: list[str]) -> None:
+        """Ids of parts, found in one go: one text of all of them, cut after their last ids."""
         import numpy as np
 
-        texts = [w.decode() for w in words]
-        found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        ids = np.array(found.ids, dtype=f"<u{self.width}")
-        places = np.array([begin for begin, _ in found.offsets], dtype=np.int64)
-        ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
-        cuts = np.searchsorted(places, ends)
+        found = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
+        ids = np.array(found.ids, dtype=self.kind)
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(parts):  # Some are cut further: go by their places.
+            places = np.array([begin for begin, _ in found.offsets], dtype=np.int64)
+            cuts = np.searchsorted(places, np.cumsum(np.fromiter((len(t) + 1 for t in parts), np.int64, len(parts))))
         raw, begin = ids.tobytes(), 0
-        for word, cut in zip(words, cuts.tolist(), strict=True):
-            self.recent[word] = raw[begin * self.width:cut * self.width]
+        for part, cut in zip(parts, (cuts * self.width).tolist(), strict=True):
+            self.recent[part] = raw[begin:cut]
             begin = cut
 
-    def ids(self, texts: list[bytes]) -> Iterator[bytes]:
-        for text in texts:
-            words = text.split()
-            new = []
-            if len(self.recent) > REMEMBERED_WORDS:
-                self.recent, self.older = {}, self.recent
-            recent, older = self.recent, self.older
-            for word in set(words).difference(recent):
-                if (known := older.get(word)) is not None:
-                    recent[word] = known
+    def known(self, parts: list[str]) -> list[bytes]:
+        """The parts' ids; the new ones are looked up."""
+        if len(self.recent) > REMEMBERED_PARTS:
+            self.recent, self.older = {"": b""}, self.recent
+        plain, odd, older, recent = [], [], self.older, self.recent
+        for part in parts:
+            if part not in recent:
+                if (ids := older.get(part)) is not None:
+                    recent[part] = ids
                 else:
-                    new.append(word)
-            if new:
-                self.learn(new)
-            yield b"".join(map(recent.__getitem__, words))
+                    (plain if part.isalpha() or not part.strip(MARKS) else odd).append(part)
+        for group in (plain, odd):
+            for begin in range(0, len(group), LOOK_UP):
+                self.look_up(group[begin:begin + LOOK_UP])
+        return [recent[part] for part in parts]
+
+    def ids(self, texts):
+        """Ids of an Arrow array of texts: all of them, and where each text's end."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        words = lists.flatten().dictionary_encode()
+        distinct, codes = words.dictionary, words.indices.to_numpy(zero_copy_only=False)
+        letters = pc.ascii_rtrim(distinct, MARKS)
+        plain = pc.or_(pc.utf8_is_alpha(letters), pc.equal(pc.binary_length(letters), 0))
+        # Every word as two strings of the same bytes: letters and marks, or the whole and nothing.
+        ends = np.frombuffer(distinct.buffers()[1], np.int64, len(distinct) + 1, 8 * distinct.offset)
+        cut = ends[:-1] + pc.binary_length(pc.if_else(plain, letters, distinct)).to_numpy(zero_copy_only=False)
+        bounds = np.append(np.stack([ends[:-1], cut], 1).ravel(), ends[-1:])
+        halves = pa.LargeStringArray.from_buffers(2 * len(distinct), pa.py_buffer(bounds), distinct.buffers()[2])
+        lower = pc.and_(pc.string_is_ascii(halves), pa.array(np.repeat(plain.to_numpy(zero_copy_only=False), 2)))
+        pairs = pc.if_else(lower, pc.ascii_lower(halves), halves).dictionary_encode()
+        parts = self.known(pairs.dictionary.to_pylist())
+        pool = np.frombuffer(b"".join(parts), self.kind)
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // self.width
+        starts = np.cumsum(lengths) - lengths
+        both = pairs.indices.to_numpy(zero_copy_only=False).reshape(-1, 2)[codes].ravel()
+        sizes = lengths[both]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = pool[np.repeat(starts[both] - ends + sizes, sizes) + np.arange(total)]
+        offsets = lists.offsets.to_numpy()
+        return ids, np.concatenate([[0], ends])[2 * (offsets[1:] - offsets[0])]
 
 
 def tokenize(docs: DataFrame, definition: str, end_id: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -80,7 +121,7 @@ def tokenize(docs: DataFrame, definition: str, end_id: int, id_column: str = "do
     batch of texts at a time.
     """
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, BATCH_TEXTS)
     shared = spark.sparkContext.broadcast(definition)
 
     def run(batches):
@@ -91,8 +132,11 @@ def tokenize(docs: DataFrame, definition: str, end_id: int, id_column: str = "do
         tokenizer = WordTokenizer(shared.value)
         end = end_id.to_bytes(tokenizer.width, "little")
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            ids = [i + end for i in tokenizer.ids(texts)]
+            found, ends = tokenizer.ids(batch.column(1))
+            ids, begin = [], 0
+            for cut in ends.tolist():
+                ids.append(found[begin:cut].tobytes() + end)
+                begin = cut
             counts = [len(i) // tokenizer.width for i in ids]
             places = []
             for n in counts:
@@ -121,7 +165,7 @@ def cut_stream(tokens: DataFrame, length: int, width: int) -> DataFrame:
     """
     if length < 1:
         raise ValueError("sequences need room for one id")
-    small_batches(tokens.sparkSession)
+    small_batches(tokens.sparkSession, BATCH_TEXTS)
     totals = tokens.groupBy("part").agg(F.sum("tokens").alias("total"))
     before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("before"))
