@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import WHITE_CHARS, lower_ascii, text_or_empty
+from brooklet.llm.common import WHITE_CHARS, lower_ascii, text_or_empty, written
 
 
 def line_key(line: Column) -> Column:
@@ -51,11 +51,12 @@ def drop_shared_lines(
     here = docs.select(
         F.col(f"`{id_column}`").alias("id"), text_or_empty(F.col(f"`{text_column}`")).alias("text"))
     lines = _long_lines(here, min_chars)
-    shared = (
+    # Written down, so that the join may send it to all tasks, or else split its largest keys.
+    shared = written(
         lines.groupBy("h", "g", "id").agg(F.lit(1).alias("one"))
         .groupBy("h", "g").agg(F.count("one").alias("docs"), F.max("id").alias("last"))
-        .filter(F.col("docs") >= min_docs).select(F.col("h").alias("sh"), F.col("g").alias("sg"), "last")
-    )
+        .filter(F.col("docs") >= min_docs).select(F.col("h").alias("sh"), F.col("g").alias("sg"), "last"),
+        "shared-lines")
     gone = (
         lines.join(shared, (F.col("h") == F.col("sh")) & (F.col("g") == F.col("sg")) & ~F.col("id").eqNullSafe(F.col("last")))
         .groupBy(F.col("id").alias("of")).agg(F.collect_set("place").alias("gone"))
