@@ -141,8 +141,9 @@ def dedup(
     named = rows.join(names, "row")
     first = F.struct(
         (-F.col("chars")).alias("chars"), F.col("doc_id").isNull().alias("without"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
-    groups = named.groupBy(F.col("level").alias("gl"), F.col("name").alias("gn")).agg(
-        F.min(first).alias("first"), F.count(F.lit(1)).alias("group_size"))
+    # Written down, so that the join may send it to all tasks, or else split the largest groups.
+    groups = written(named.groupBy(F.col("level").alias("gl"), F.col("name").alias("gn")).agg(
+        F.min(first).alias("first"), F.count(F.lit(1)).alias("group_size")), "groups")
     return named.join(groups, (F.col("level") == F.col("gl")) & (F.col("name") == F.col("gn"))).select(
         "doc_id", F.col("first.id").alias("keep_id"), "group_size", (F.col("row") == F.col("first.row")).alias("kept"),
         F.col("sha").alias("text_sha256"),
