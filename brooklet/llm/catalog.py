@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.llm import exact_dedup, html_text, line_dedup, mixing, packing, quality, secret_scan, sharding
+from brooklet.llm import exact_dedup, html_text, line_dedup, mixing, near_dedup, packing, quality, secret_scan, sharding
 from brooklet.llm.common import digest, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,3 +131,21 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("""
+WITH RECURSIVE w AS (
+       SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+     s AS (SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+             ELSE list_distinct([words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] FOR i IN range(1, len(words) - 1)]) END) AS shingle FROM w),
+     n AS (SELECT doc_id, count(shingle) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY doc_id),
+     p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+     l AS (SELECT u, v FROM p JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * c >= 85 * (a.n + b.n - c)),
+     r AS (SELECT doc_id AS u, doc_id AS v FROM n UNION SELECT r.u, l.v FROM r JOIN l ON l.u = r.v)
+SELECT n.doc_id, n.n AS n_shingles, min(r.v) AS component_id, n.doc_id = min(r.v) AS kept
+FROM n JOIN r ON r.u = n.doc_id GROUP BY n.doc_id, n.n
+""")
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's near-duplicate component, and whether it stays."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=3, part=85, whole=100, rows=3)
