@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.llm import exact_dedup, html_text, line_dedup, mixing, near_dedup, packing, quality, secret_scan, sharding
+from brooklet.llm import exact_dedup, html_text, line_dedup, metric_tree, mixing, near_dedup, packing, quality, secret_scan, sharding
 from brooklet.llm.common import digest, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,4 +148,19 @@ FROM n JOIN r ON r.u = n.doc_id GROUP BY n.doc_id, n.n
 """)
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's near-duplicate component, and whether it stays."""
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=3, part=85, whole=100, rows=3)
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=3, part=85, whole=100, rows=3)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x::DOUBLE[], c.x::DOUBLE[])::BIGINT AS score
+           FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+""")
+def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty nearest vectors of every twentieth vector, by inner product."""
+    return metric_tree.top_k(table(spark, sf_dir, "embeddings"), k=20, every=20, factor=64)

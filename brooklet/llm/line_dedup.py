@@ -7,6 +7,8 @@ them; what is left is put together by place.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,9 +36,10 @@ def _long_lines(docs: DataFrame, min_chars: int) -> DataFrame:
 
 def drop_shared_lines(
     docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_column: str = "doc_id", text_column: str = "text",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``text`` (the lines that stay, joined by newlines),
-    ``n_lines`` (before) and ``n_dropped``.
+    ``n_lines`` (before), ``n_dropped``, and the columns ``carry`` as they are.
 
     Texts are split at newlines; null and empty texts are one empty line. Keys (``line_key``) of
     at least ``min_chars`` code points that are found in at least ``min_docs`` documents lose all
@@ -49,7 +52,9 @@ def drop_shared_lines(
     that adaptive execution can split. Texts are moved once at most, to meet their places.
     """
     here = docs.select(
-        F.col(f"`{id_column}`").alias("id"), text_or_empty(F.col(f"`{text_column}`")).alias("text"))
+        F.col(f"`{id_column}`").alias("id"), text_or_empty(F.col(f"`{text_column}`")).alias("text"),
+        *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(carry)])
+    carried = [f"_{i}" for i in range(len(carry))]
     lines = _long_lines(here, min_chars)
     # Written down, so that the join may send it to all tasks, or else split its largest keys.
     shared = written(
@@ -64,11 +69,12 @@ def drop_shared_lines(
     parts = F.split("text", "\n", -1)
     none = F.array().cast("array<int>")
     kept = here.join(gone, F.col("id").eqNullSafe(F.col("of")), "left").select(
-        "id", "text", parts.alias("parts"), F.coalesce("gone", none).alias("gone"),
+        "id", *carried, "text", parts.alias("parts"), F.coalesce("gone", none).alias("gone"),
     ).withColumn("stay", F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), "gone"))
     text = F.when(F.size("gone") == 0, F.col("text")).otherwise(
         F.array_join(F.transform("stay", lambda i: F.get("parts", i)), "\n"))
     return kept.select(
         F.col("id").alias("doc_id"), text.alias("text"), F.size("parts").cast("long").alias("n_lines"),
         (F.size("parts") - F.size("stay")).cast("long").alias("n_dropped"),
+        *[F.col(a).alias(c) for a, c in zip(carried, carry, strict=True)],
     )

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import WORD, written
+from brooklet.llm.common import WHITE, WORD, written
 
 # Fixed value: the fractional part of the golden ratio.
 GOLDEN = (math.sqrt(5) - 1) / 2
@@ -119,15 +119,46 @@ def schedule(plan: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
         "slot", "source", "rank", first.alias("first"), F.least(F.lit(block_words), F.col("quota") - first).cast("long").alias("words"))
 
 
+def shuffle_key(doc_id: Column, text: Column, seed: int = 0) -> Column:
+    """What the documents of a source are ordered by."""
+    return F.xxhash64(F.lit(seed), doc_id, text)
+
+
+def first_words(text: Column, n: Column) -> Column:
+    """The text up to its ``n``-th word, white space as it is."""
+    words = F.split(text, rf"(?<=[^{WHITE}])(?=[{WHITE}])", -1)
+    return F.array_join(F.slice(words, F.lit(1), n.cast("int")), "")
+
+
+def mixed_documents(docs: DataFrame, seed: int = 0, id_column: str = "doc_id", text_column: str = "text", **parameters) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, in the order of its slots.
+
+    A document that an epoch takes in part has its first words only: the mix goes through a
+    source from its start, so only the last document before the end is cut. Parameters are those of
+    ``mix``. Rows equal in id and text share what is taken of them all.
+    """
+    key = shuffle_key(F.col(f"`{id_column}`"), F.col(f"`{text_column}`"), seed)
+    documents, taken = mix(docs, seed=seed, id_column=id_column, text_column=text_column, **parameters)
+    turns = taken.groupBy("row", "doc_id", "shuffle", "epoch").agg(F.min("slot").alias("slot"), F.min("at").alias("at"), F.sum("words").alias("words"))
+    sizes = documents.select(F.col("row").alias("of"), "size")
+    turns = turns.join(sizes, F.col("row") == F.col("of")).select("slot", "at", "doc_id", "shuffle", "words", (F.col("words") < F.col("size")).alias("cut"))
+    texts = docs.select(F.struct("*").alias("doc"), F.col(f"`{id_column}`").alias("id"), key.alias("key")).dropDuplicates(["id", "key"])
+    met = turns.join(texts, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("shuffle") == F.col("key"))).orderBy("slot", "at", "doc_id")
+    text = F.col(f"doc.`{text_column}`")
+    return met.select(*[
+        F.when(F.col("cut"), first_words(text, F.col("words"))).otherwise(text).alias(c) if c == text_column else F.col(f"doc.`{c}`")
+        for c in docs.columns])
+
+
 def mix(
     docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeats: int = MAX_REPEATS, block_words: int = BLOCK_WORDS,
     seed: int = 0, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
 ) -> tuple[DataFrame, DataFrame]:
     """The mix of ``docs``: a table of documents, and a table of what each slot takes of them.
 
-    Documents: ``row``, ``doc_id``, ``source``, ``size``, ``source_size``, ``target``. Pieces: ``slot``,
-    ``row``, ``doc_id``, ``epoch``, ``begin`` and ``words``: words ``begin`` to ``begin + words`` of the
-    document, the slot's pieces being in ascending order of ``at``.
+    Documents: ``row``, ``doc_id``, ``shuffle`` (``shuffle_key``), ``source``, ``size``, ``source_size``,
+    ``target``. Pieces: ``slot``, ``row``, ``doc_id``, ``shuffle``, ``epoch``, ``begin`` and ``words``: words
+    ``begin`` to ``begin + words`` of the document, the slot's pieces being in ascending order of ``at``.
 
     Null ids and sources are values of their own; null texts have no words, are never drawn and
     still count as documents; rows that repeat are drawn each for itself. Other columns play no
@@ -138,13 +169,13 @@ def mix(
     rows = written(docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(f"`{id_column}`").alias("doc_id"),
         F.col(f"`{source_column}`").alias("source"), word_count(text).alias("size"),
-        F.xxhash64(F.lit(seed), F.col(f"`{id_column}`"), text).alias("shuffle"),
+        shuffle_key(F.col(f"`{id_column}`"), text, seed).alias("shuffle"),
     ), "mix-sizes")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = written(targets(sizes, weights, max_repeats), "mix-plan")
     sourced = plan.select(F.col("source").alias("of"), "source_size", "target")
     documents = rows.join(sourced, F.col("source").eqNullSafe(F.col("of"))).select(
-        "row", "doc_id", "source", "size", "source_size", "target")
+        "row", "doc_id", "shuffle", "source", "size", "source_size", "target")
 
     buckets = max(1, -(-rows.count() // ROWS_PER_BUCKET))
     # Buckets are stretches of the hash, so that their order is that of the shuffle.
@@ -152,11 +183,11 @@ def mix(
     stream = _before(rows.filter("size > 0").withColumn("bucket", bucket), "source", "bucket", ["shuffle", "doc_id", "row"], "size", "start")
     # Blocks of an epoch: a document lies in each block that it has words in.
     pieces = stream.select(
-        "row", "doc_id", "source", "size", "start",
+        "row", "doc_id", "shuffle", "source", "size", "start",
         F.explode(F.sequence(F.floor(F.col("start") / block_words), F.floor((F.col("start") + F.col("size") - 1) / block_words))).alias("block"))
     begin = F.greatest(F.col("block") * block_words, F.col("start"))
     pieces = pieces.select(
-        "row", "doc_id", F.col("source").alias("of"), "block", begin.alias("word"), (begin - F.col("start")).alias("begin"),
+        "row", "doc_id", "shuffle", F.col("source").alias("of"), "block", begin.alias("word"), (begin - F.col("start")).alias("begin"),
         (F.least((F.col("block") + 1) * block_words, F.col("start") + F.col("size")) - begin).alias("length"))
     # A slot's words may end one epoch and begin the next, so they may lie in several blocks.
     slots = schedule(plan, block_words).join(sourced.select("of", "source_size"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
@@ -170,6 +201,6 @@ def mix(
     low = F.greatest("low", "word")
     high = F.least(F.col("high"), F.col("word") + F.col("length"))
     taken = met.filter(high > low).select(
-        "slot", "row", "doc_id", "epoch", (F.col("base") + low).alias("at"), (F.col("begin") + low - F.col("word")).alias("begin"),
+        "slot", "row", "doc_id", "shuffle", "epoch", (F.col("base") + low).alias("at"), (F.col("begin") + low - F.col("word")).alias("begin"),
         (high - low).alias("words"))
     return documents, taken

@@ -16,7 +16,7 @@ import hashlib
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brooklet.llm.common import small_batches, text_or_empty, written
@@ -76,7 +76,7 @@ def bands_for(threshold: float, rows: int, miss: float) -> int:
 
 
 def _signatures(docs: DataFrame, size: int, rows: int, bands: int) -> DataFrame:
-    """``row``, ``doc_id``, ``h``, ``g`` (a digest of the words), ``n`` (shingles) and ``bands``, both
+    """``row``, ``doc_id``, ``text_key``, ``h``, ``g`` (a digest of the words), ``n`` (shingles) and ``bands``, both
     collections one after the other, for each document."""
     functions = 2 * bands * rows
 
@@ -107,11 +107,11 @@ def _signatures(docs: DataFrame, size: int, rows: int, bands: int) -> DataFrame:
             offsets = pa.array(np.arange(0, found.size + 1, 2 * bands, dtype=np.int32))
             halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(counts),
+                batch.column(0), batch.column(1), batch.column(3), pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(counts),
                 pa.ListArray.from_arrays(offsets, flat),
-            ], names=["row", "doc_id", "h", "g", "n", "bands"])
+            ], names=["row", "doc_id", "text_key", "h", "g", "n", "bands"])
 
-    return docs.mapInArrow(run, "row long, doc_id long, h long, g long, n long, bands array<long>")
+    return docs.mapInArrow(run, "row long, doc_id long, text_key long, h long, g long, n long, bands array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -249,11 +249,17 @@ def _links(classes: DataFrame, sets: DataFrame, keys: DataFrame, part: int, whol
     return written(first.unionAll(more), "links")
 
 
+def text_key(text: Column) -> Column:
+    """Tells rows with one id but different texts apart."""
+    return F.xxhash64(F.lit(13), text_or_empty(text))
+
+
 def near_duplicates(
     docs: DataFrame, words: int = 5, part: int = 80, whole: int = 100, rows: int = 2, miss: float = 2e-4,
     id_column: str = "doc_id", text_column: str = "text",
 ) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``n_shingles``, ``component_id`` and ``kept``.
+    """One row per row of ``docs``: ``doc_id``, ``text_key`` (``text_key`` of its text), ``n_shingles``,
+    ``component_id`` and ``kept``.
 
     Words are what stands between ASCII white space, A to Z lower-cased; a text's set has its
     distinct runs of ``words`` words, or all its words as one run if they are fewer. Texts are linked
@@ -275,7 +281,7 @@ def near_duplicates(
     bands = bands_for(part / whole, rows, miss)
     here = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(f"`{id_column}`").cast("long").alias("doc_id"),
-        text_or_empty(F.col(f"`{text_column}`")).alias("text"))
+        text_or_empty(F.col(f"`{text_column}`")).alias("text"), text_key(F.col(f"`{text_column}`")).alias("text_key"))
     signed = written(_signatures(here, words, rows, bands), "signatures")
     classes = written(signed.filter("n > 0").groupBy("h", "g").agg(
         F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("bands").alias("bands"),
@@ -297,9 +303,9 @@ def near_duplicates(
         "component", F.coalesce("component", "cid"))
     smallest = whole_.groupBy("component").agg(F.min("first").alias("component_id"))
     placed = written(whole_.join(smallest, "component").select(F.col("h").alias("ch"), F.col("g").alias("cg"), "component", "component_id"), "components")
-    joined = signed.select("row", "doc_id", "h", "g", "n").join(placed, (F.col("h") == F.col("ch")) & (F.col("g") == F.col("cg")), "left").select(
-        "row", "doc_id", F.col("n").alias("n_shingles"), "component", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    joined = signed.select("row", "doc_id", "text_key", "h", "g", "n").join(placed, (F.col("h") == F.col("ch")) & (F.col("g") == F.col("cg")), "left").select(
+        "row", "doc_id", "text_key", F.col("n").alias("n_shingles"), "component", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
     at_head = F.col("doc_id").eqNullSafe(F.col("component_id"))
     heads = joined.filter(at_head & (F.col("n_shingles") > 0)).groupBy(F.col("component").alias("of")).agg(F.min("row").alias("head"))
     return joined.join(heads, F.col("component") == F.col("of"), "left").select(
-        "doc_id", "n_shingles", "component_id", F.when(F.col("n_shingles") > 0, F.col("row") == F.col("head")).otherwise(F.lit(True)).alias("kept"))
+        "doc_id", "text_key", "n_shingles", "component_id", F.when(F.col("n_shingles") > 0, F.col("row") == F.col("head")).otherwise(F.lit(True)).alias("kept"))

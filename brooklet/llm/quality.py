@@ -9,7 +9,7 @@ fitted on others of them makes the scores probabilities.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -206,7 +206,7 @@ def fit(x: np.ndarray, y: np.ndarray, seed: int = 3) -> Network:
     return net
 
 
-def _pooled(docs: DataFrame, vectors: np.ndarray) -> Iterator:
+def _pooled(docs: DataFrame, vectors: np.ndarray) -> DataFrame:
     """``doc_id`` and ``pooled`` of rows with a binary ``text``."""
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
@@ -243,8 +243,12 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, label: str =
     return fit(x, np.array([chosen[i] for i, _ in found]))
 
 
-def score(docs: DataFrame, labels: DataFrame, label: str = "quality", learn_from: Column | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per row of ``docs``: ``doc_id`` and ``score``, 0 to 1, higher where label 1 is likelier.
+def score(
+    docs: DataFrame, labels: DataFrame, label: str = "quality", learn_from: Column | None = None,
+    id_column: str = "doc_id", text_column: str = "text", carry: Sequence[str] = (),
+) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id``, ``score``, 0 to 1, higher where label 1 is likelier,
+    and the columns ``carry`` as they are.
 
     Word vectors come from all texts, the labels only from documents for which ``learn_from``, an
     expression over ``doc_id``, holds. Nothing but the text enters a score. Null texts count as
@@ -266,6 +270,12 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "quality", learn_from
         for batch in batches:
             pooled = [pool(reader.rows(t), vectors) for t in batch.column(1).cast(pa.binary()).to_pylist()]
             scores = network.scores(np.stack(pooled)) if network and pooled else np.full(len(pooled), 0.5)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
-
-    return here.mapInArrow(run, "doc_id long, score double")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(scores, pa.float64()), *batch.columns[2:]], names=["doc_id", "score", *batch.schema.names[2:]])
+
+    kinds = dict(docs.dtypes)
+    rows = docs.select(
+        F.col(f"`{id_column}`").cast("long").alias("doc_id"), text_or_empty(F.col(f"`{text_column}`")).alias("text"),
+        *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(carry)])
+    schema = ", ".join(["doc_id long, score double", *(f"_{i} {kinds[c]}" for i, c in enumerate(carry))])
+    return rows.mapInArrow(run, schema).select("doc_id", "score", *[F.col(f"_{i}").alias(c) for i, c in enumerate(carry)])
