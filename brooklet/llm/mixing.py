@@ -25,7 +25,7 @@ BLOCK_WORDS = 256
 MAX_REPEATS = 3
 #: Slots ranked together, and documents summed up together, in one task.
 STRETCH = 1 << 16
-ROWS_PER_BUCKET = 200_000
+ROWS_PER_BUCKET = 16_384
 
 
 def word_count(text: Column) -> Column:
