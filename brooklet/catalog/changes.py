@@ -37,7 +37,7 @@ def flat_rows(changes: DataFrame) -> DataFrame:
     return changes.select(
         "database", "table", "operation", F.coalesce(key("after"), key("before")).cast("bigint").alias("order_id"),
         F.size("before").alias("before_fields"), F.size("after").alias("after_fields"),
-        F.try_element_at(F.col("after"), F.lit("o_orderpriority")).alias("priority"))
+        F.try_element_at(F.col("after"), F.lit("o_orderpriority")).cast("string").alias("priority"))
 
 
 CDC_FLATTEN = f"""
@@ -111,8 +111,8 @@ CONFIG_ROUTE = """
            CASE o_orderstatus WHEN 'O' THEN 'dwd_order_info' ELSE 'dim_order' END AS sink_table,
            CASE o_orderstatus WHEN 'O' THEN 'kafka' ELSE 'hbase' END AS sink_type,
            CASE o_orderstatus
-               WHEN 'O' THEN '{"o_orderkey":"' || o_orderkey || '","o_custkey":"' || o_custkey || '"}'
-               ELSE '{"o_orderkey":"' || o_orderkey || '","o_orderpriority":"' || o_orderpriority || '"}'
+               WHEN 'O' THEN '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || '}'
+               ELSE '{"o_orderkey":' || o_orderkey || ',"o_orderpriority":"' || o_orderpriority || '"}'
            END AS payload
     FROM orders WHERE o_orderstatus <> 'F'"""
 
@@ -152,10 +152,12 @@ def changelog_sql(spark: SparkSession, sf: str) -> DataFrame:
     orders = load(spark, sf, "orders")
     image = F.from_json(F.to_json(F.struct("o_custkey", "o_orderkey", "o_orderdate")), changelog.IMAGE)
     changes = orders.select(operation().alias("operation"), image.alias("after"))
-    typed = changelog.changelog_view(changes, "order_changelog", {
+    changelog.changelog_view(changes, "order_changelog", {
         "o_custkey": "bigint", "o_orderkey": "bigint", "o_orderdate": "timestamp"})
-    live = changelog.current_state(typed, ["o_custkey"], ORDER)
-    return spark.sql(
-        "SELECT c_mktsegment AS segment, count(*) AS n, min(o_orderkey) AS least_order"
-        " FROM {live} JOIN {customer} ON o_custkey = c_custkey GROUP BY c_mktsegment",
-        live=live, customer=load(spark, sf, "customer"))
+    return spark.sql("""
+        WITH live AS (
+            SELECT o_custkey, max_by(struct(o_orderkey, operation), struct(o_orderdate, o_orderkey)) AS last
+            FROM order_changelog GROUP BY o_custkey)
+        SELECT c_mktsegment AS segment, count(*) AS n, min(last.o_orderkey) AS least_order
+        FROM live JOIN {customer} ON o_custkey = c_custkey
+        WHERE last.operation <> 'DELETE' GROUP BY c_mktsegment""", customer=load(spark, sf, "customer"))

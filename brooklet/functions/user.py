@@ -6,11 +6,14 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Partial results are handed on once a task holds this many keys.
 HELD_KEYS = 50_000
+NAN = float("nan")
 
 
 def map_batches(df: DataFrame, function: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
@@ -42,33 +45,40 @@ class Aggregate:
 def aggregate(df: DataFrame, keys: list[str], values: list[str], user: Aggregate) -> DataFrame:
     """One row per key. Each task reduces its own rows to one accumulator per key before the
     shuffle, so a busy key arrives as one row per task and not with all its rows. The
-    accumulators are then merged in key order, batch by batch."""
+    accumulators are then merged in key order, batch by batch. Nulls come as ``None``, also in
+    keys, where they are one key."""
     key_fields = df.select(*keys).schema.fields
     states = [T.StructField(f"_{f.name}", f.dataType) for f in T.StructType.fromDDL(user.state)]
     outputs = T.StructType.fromDDL(user.output).fields
-    state_names, output_names = [f.name for f in states], [f.name for f in outputs]
+    state_names = [f.name for f in states]
 
-    def frame(found: list[tuple], columns: list[str]) -> pd.DataFrame:
-        return pd.DataFrame([(*key, *value) for key, value in found], columns=[*keys, *columns])
+    partial_schema, result_schema = T.StructType([*key_fields, *states]), T.StructType([*key_fields, *outputs])
 
-    def pairs(batch: pd.DataFrame, columns: list[str]) -> Iterator[tuple[tuple, tuple]]:
+    def frame(found: list[tuple], schema: T.StructType) -> pa.RecordBatch:
+        fields = to_arrow_schema(schema)
+        columns = list(zip(*[(*key, *value) for key, value in found])) or [[] for _ in fields]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields)], schema=fields)
+
+    def pairs(batch: pa.RecordBatch, columns: list[str]) -> Iterator[tuple[tuple, tuple]]:
         def rows(names: list[str]):
-            return zip(*[batch[c].tolist() for c in names])
+            return zip(*[batch.column(c).to_pylist() for c in names])
 
-        return zip(rows(keys), rows(columns))
+        # A NaN differs from itself, so one stands for all.
+        known = (tuple(NAN if v != v else v for v in key) for key in rows(keys))
+        return zip(known, rows(columns))
 
-    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, tuple] = {}
         for batch in batches:
             for key, row in pairs(batch, values):
                 held[key] = user.add(held[key] if key in held else user.create(), *row)
             if len(held) > HELD_KEYS:
-                yield frame(list(held.items()), state_names)
+                yield frame(list(held.items()), partial_schema)
                 held = {}
         if held:
-            yield frame(list(held.items()), state_names)
+            yield frame(list(held.items()), partial_schema)
 
-    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, total = None, None
         for batch in batches:
             done = []
@@ -79,10 +89,10 @@ def aggregate(df: DataFrame, keys: list[str], values: list[str], user: Aggregate
                 if current is not None:
                     done.append((current, user.result(total)))
                 current, total = key, state
-            yield frame(done, output_names)
+            yield frame(done, result_schema)
         if current is not None:
-            yield frame([(current, user.result(total))], output_names)
+            yield frame([(current, user.result(total))], result_schema)
 
-    partials = df.select(*keys, *values).mapInPandas(reduce, T.StructType([*key_fields, *states]))
+    partials = df.select(*keys, *values).mapInArrow(reduce, partial_schema)
     placed = partials.repartition(*keys).sortWithinPartitions(*keys)
-    return placed.mapInPandas(combine, T.StructType([*key_fields, *outputs]))
+    return placed.mapInArrow(combine, result_schema)

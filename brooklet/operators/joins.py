@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -88,16 +89,22 @@ def asof_join(
 ) -> DataFrame:
     """Left join of each row with the version of its key known at that moment.
 
-    Both orders are (time, unique whole number); a version of the same time is already
+    Null keys and times match nothing, on either side. Both orders are (time, unique whole number); a version of the same time is already
     known. Few versions are broadcast as validity intervals, so the left side does not
     move. Otherwise both sides are merged in time order and the last version is carried
     along. Version columns must not repeat names of the left side.
     """
+    placed = [*keys, version_order[0]]
+    versions = versions.where(_all_set(placed))
     if keys and is_small(versions, small_rows):
         return _asof_broadcast(left, versions, keys, left_order[0], version_order)
     return _asof_carried(left, versions, keys, left_order, version_order, block_rows)
 
 
+def _all_set(columns: list[str]) -> Column:
+    return reduce(Column.__and__, [F.col(c).isNotNull() for c in columns], F.lit(True))
+
+
 def _asof_broadcast(left, versions, keys, time, version_order) -> DataFrame:
     at, tie = version_order
     # Few rows, as checked by the caller: one window per key is enough.
@@ -117,7 +124,8 @@ def _asof_carried(left, versions, keys, left_order, version_order, block_rows) -
     key_columns = [F.col(k) for k in keys]
     kinds = {"version": versions.select(version.alias("v")).schema["v"].dataType,
              "row": left.select(F.struct("*").alias("r")).schema["r"].dataType}
-    rows = left.select(
+    matchable = _all_set([*keys, left_order[0]])
+    rows = left.where(matchable).select(
         *key_columns, F.col(left_order[0]).alias("_at"), F.lit(1).alias("_side"),
         F.col(left_order[1]).cast("bigint").alias("_tie"),
         F.struct("*").alias("_row"), F.lit(None).cast(kinds["version"]).alias("_version"),
@@ -131,7 +139,9 @@ def _asof_carried(left, versions, keys, left_order, version_order, block_rows) -
         rows.unionByName(changes), keys, ["_at", "_side", "_tie"],
         {"_known": latest(F.col("_version"))}, block_rows=block_rows,
     )
-    return merged.where(F.col("_side") == 1).select("_row.*", "_known.*")
+    found = merged.where(F.col("_side") == 1).select("_row.*", "_known.*")
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in kinds["version"].fields]
+    return found.unionByName(left.where(~matchable).select("*", *missing))
 
 
 def lookup(facts: DataFrame, dimension: DataFrame, fact_key: str, dimension_key: str) -> DataFrame:

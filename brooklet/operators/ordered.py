@@ -7,9 +7,10 @@ show up in it often enough are cut into blocks along their order; all others sta
 Each block is then one window partition, block totals (a map-side combined aggregate) are
 prefix-combined per key, and the small result is added back to the rows of the block.
 
-The number of cut points is at most ``rows / block_rows`` and at most ``max_blocks`` per
-key, which bounds both the collected list and what is broadcast. The sample only places
-the cuts: every row takes part in the result.
+There are at most ``rows / block_rows`` cut points, a few hundred thousand for 10**12 rows. They are
+collected, so their number is known before anything of their size is broadcast: beyond
+``HINTED_BLOCKS`` no hint is given. The sample only places the cuts: every row takes part in
+the result. A null key is a key like any other.
 """
 
 from __future__ import annotations
@@ -22,9 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLOCK_ROWS = 4_000_000
-MAX_BLOCKS = 4_096
-SAMPLES_PER_BLOCK = 64
+SAMPLES_PER_BLOCK = 16
 GROUP_BLOCKS = 64
+HINTED_BLOCKS = 200_000
 
 BLOCK = "_block"
 
@@ -91,11 +92,26 @@ class Splits:
     def table(self, df: DataFrame) -> DataFrame:
         return df.sparkSession.createDataFrame(self.rows, self.schema)
 
+    def hinted(self, per_block: DataFrame) -> DataFrame:
+        """A table of at most one row per block, to be broadcast if there are few enough."""
+        blocks = sum(len(row["_cuts"]) + 1 for row in self.rows)
+        return F.broadcast(per_block) if blocks <= HINTED_BLOCKS else per_block
+
     def large_only(self, df: DataFrame) -> DataFrame:
         """The rows of ``df`` that belong to large keys."""
         if not self.keys:
             return df
-        return df.join(F.broadcast(self.table(df).select(*self.keys)), self.keys, "left_semi")
+        return join_small(df, self.hinted(self.table(df).select(*self.keys)), self.keys, "left_semi")
+
+
+def join_small(df: DataFrame, small: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on equal keys, null being equal to null; the right side's keys are dropped."""
+    renamed = small.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = F.lit(True)
+    for key in keys:
+        same = F.col(key).eqNullSafe(F.col(f"_k_{key}")) & same
+    joined = df.join(renamed, same, how)
+    return joined if how == "left_semi" else joined.drop(*[f"_k_{k}" for k in keys])
 
 
 def find_splits(
@@ -103,7 +119,6 @@ def find_splits(
     keys: list[str],
     order: list[str],
     block_rows: int = BLOCK_ROWS,
-    max_blocks: int = MAX_BLOCKS,
 ) -> Splits:
     """Cut points for the keys of ``df`` that hold more than about ``block_rows`` rows.
 
@@ -121,11 +136,9 @@ def find_splits(
     ranked = sample.select(
         *keys, "_pos",
         F.row_number().over(group.orderBy("_pos")).alias("_rank"),
-        F.count(F.lit(1)).over(group).alias("_samples"),
     )
-    step = F.greatest(F.lit(per_block), F.ceil(F.col("_samples") / F.lit(max_blocks)))
     cuts = (
-        ranked.where(F.pmod(F.col("_rank"), step) == 0)
+        ranked.where(F.pmod(F.col("_rank"), F.lit(per_block)) == 0)
         .groupBy(*keys).agg(F.sort_array(F.collect_list("_pos")).alias("_cuts"))
         .where(F.size("_cuts") > 0)
     )
@@ -166,8 +179,8 @@ def with_blocks(df: DataFrame, splits: Splits) -> DataFrame:
             F.col("_to").isNull() | (here < F.col("_to")))
         renamed = ranges.withColumnsRenamed({k: f"_k_{k}" for k in keys})
         for key in keys:
-            within = (F.col(key) == F.col(f"_k_{key}")) & within
-        return rows.join(F.broadcast(renamed), within, "left").drop("_from", "_to", *[f"_k_{k}" for k in keys])
+            within = F.col(key).eqNullSafe(F.col(f"_k_{key}")) & within
+        return rows.join(splits.hinted(renamed), within, "left").drop("_from", "_to", *[f"_k_{k}" for k in keys])
 
     if splits.keys:
         grouped = place(df, groups, splits.keys)
@@ -218,7 +231,7 @@ def running(
     window = partitioned([*keys, BLOCK]).orderBy(*ordering)
     rows = rows.withColumns({f"_here_{name}": value.over(window) for name, value in values.items()})
     before = _before_block(large, values, splits, backwards)
-    joined = rows.join(F.broadcast(before), [*keys, BLOCK], "left").withColumns({
+    joined = join_small(rows, splits.hinted(before), [*keys, BLOCK], "left").withColumns({
         name: value.combine(F.col(f"_before_{name}"), F.col(f"_here_{name}"))
         for name, value in values.items()
     })
@@ -235,7 +248,7 @@ def _before_block(
     totals = large.groupBy(*keys, BLOCK).agg(
         *[value.of_block(position, backwards).alias(f"_total_{name}") for name, value in values.items()]
     )
-    # One row per block, so at most max_blocks rows per key.
+    # One row per block.
     number = F.col(BLOCK).desc() if backwards else F.col(BLOCK).asc()
     ahead = partitioned(keys).orderBy(number).rowsBetween(Window.unboundedPreceding, -1)
     return totals.select(*keys, BLOCK, *[

@@ -114,6 +114,26 @@ def connect(*sides: tuple[DataFrame, dict[str, Column]]) -> DataFrame:
 
 
 def prune_map(image: Column, allowed: Column) -> Column:
-    """Only the map entries named in a comma list."""
-    names = F.split(allowed, ",")
-    return F.map_filter(image, lambda key, value: F.array_contains(names, key))
+    """Only the map entries with the allowed names."""
+    return F.map_filter(image, lambda key, value: F.array_contains(allowed, key))
+
+
+# JSON objects of unknown fields --------------------------------------------------------
+
+OBJECT = "map<string,variant>"
+
+
+def is_object(text: Column) -> Column:
+    """Whether text is a JSON object, whatever its fields."""
+    return F.coalesce(F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), F.lit(False))
+
+
+def json_object(text: Column) -> Column:
+    """A JSON object as a map, which keeps every field with its type."""
+    return F.from_json(text, OBJECT)
+
+
+def put(entries: Column, name: str, value: Column) -> Column:
+    """A map of variants with one field set to the value of some JSON text."""
+    others = F.map_filter(entries, lambda key, _: key != name)
+    return F.map_concat(others, F.create_map(F.lit(name), F.parse_json(value)))

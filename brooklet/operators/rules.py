@@ -57,6 +57,11 @@ class Rule:
         )
 
 
+def in_time(order: list[str]) -> list[str]:
+    """Rows of fan-out are ordered by time first, whatever else makes the order unique."""
+    return ["match_time", *[c for c in order if c != "match_time"]]
+
+
 # Fan-out ------------------------------------------------------------------------------
 
 
@@ -130,8 +135,9 @@ def fan_out(events: DataFrame, rules: list[Rule], columns: EventColumns, order:
     # A rule without a trigger is decided at every event.
     specs = [s for r in rules for s in (r.trigger or EventSpec(None), *r.counts, *r.sequence)]
     per_rule = F.filter(F.array(*[row(rule) for rule in rules]), lambda r: r.isNotNull())
-    spread = events.where(event_ids(specs, columns)).select("guid", F.col(columns.time).alias("match_time"), *order,
-                           F.explode(per_rule).alias("_rule"))
+    unique = [c for c in order if c != "match_time"]
+    spread = events.where(event_ids(specs, columns)).select(
+        "guid", F.col(columns.time).alias("match_time"), *unique, F.explode(per_rule).alias("_rule"))
     return spread.select("*", "_rule.*").drop("_rule")
 
 
@@ -146,6 +152,7 @@ def baselines(
     ``audience`` holds (rule_id, guid).
     """
     rows = fan_out(history, rules, columns, order).join(audience, RULE_KEY, "left_semi")
+    order = in_time(order)
     size = max((len(r.counts) for r in rules), default=0)
     counted = rows.groupBy(*RULE_KEY).agg(F.array(*[
         F.sum(_flag("hits", i)) for i in range(size)
@@ -176,6 +183,7 @@ def rule_progress(
 
     ``start`` is a table of baselines to count on from.
     """
+    order = in_time(order)
     splits = splits or find_splits(rows, RULE_KEY, order)
     size = max((len(r.counts) for r in rules), default=0)
     longest = max((len(r.sequence) for r in rules), default=0)
@@ -202,7 +210,7 @@ def last_state(progress: DataFrame, order: list[str]) -> DataFrame:
     state = F.struct(
         F.array(*counters).cast("array<bigint>").alias("base_counts"), F.col("step").alias("base_step"),
         F.col("sequences").alias("base_sequences"))
-    last = F.max_by(state, F.struct(*order)).alias("_state")
+    last = F.max_by(state, F.struct(*in_time(order))).alias("_state")
     return progress.groupBy(*RULE_KEY).agg(last).select(*RULE_KEY, "_state.*")
 
 
@@ -227,7 +235,7 @@ def decide(
     matched = verdicts(progress, rules)
     if all(rule.max_matches is None for rule in rules):
         return matched.drop("_cap")
-    numbered = running(matched, RULE_KEY, order, {"_match": running_count()}, splits=splits)
+    numbered = running(matched, RULE_KEY, in_time(order), {"_match": running_count()}, splits=splits)
     return numbered.where(F.col("_cap").isNull() | (F.col("_match") <= F.col("_cap"))).drop("_cap", "_match")
 
 
@@ -257,6 +265,7 @@ def match_rules(
     the cut points, as they share keys and order.
     """
     rows = fan_out(events, rules, columns, order).join(audience, RULE_KEY, "left_semi")
+    order = in_time(order)
     splits = find_splits(rows, RULE_KEY, order, block_rows)
     return decide(rule_progress(rows, rules, order, start, splits), rules, order, splits)
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brooklet.operators.ordered import (
-    BLOCK, BLOCK_ROWS, Splits, find_splits, running, running_count, with_blocks,
+    BLOCK, BLOCK_ROWS, Splits, find_splits, join_small, running, running_count, with_blocks,
 )
 
 Batches = Iterator[pd.DataFrame]
@@ -31,11 +31,9 @@ def step_hits(steps: list[Column]) -> Column:
     return F.array(*steps)
 
 
-def _mask() -> Column:
-    """``hits`` as a bit mask."""
-    one = F.lit(1).cast("bigint")
-    bits = F.transform("hits", lambda hit, i: F.when(hit, F.call_function("shiftleft", one, i)).otherwise(0))
-    return F.aggregate(bits, F.lit(0).cast("bigint"), lambda total, bit: total + bit)
+def _satisfied() -> Column:
+    """The numbers of the steps that ``hits`` flags; any number of steps."""
+    return F.array_compact(F.transform("hits", lambda hit, i: F.when(hit, i)))
 
 
 def _runs(batch: pd.DataFrame, group: list[str]) -> Iterator[tuple[tuple, int, int]]:
@@ -50,10 +48,16 @@ def _runs(batch: pd.DataFrame, group: list[str]) -> Iterator[tuple[tuple, int, i
 
 def _next_hits(batch: pd.DataFrame) -> list[list[int]]:
     """Per step and row, the first row from there on that satisfies the step."""
-    mask, index = batch["_mask"].to_numpy(), np.arange(len(batch))
-    steps = range(int(batch["_last"].max()) + 1)
-    hits = [np.where(mask >> step & 1, index, len(batch)) for step in steps]
-    return [np.minimum.accumulate(h[::-1])[::-1].tolist() for h in hits]
+    satisfied = batch["_steps"].tolist()
+    rows = np.repeat(np.arange(len(batch)), [len(s) for s in satisfied])
+    which = np.concatenate(satisfied).astype(int)
+    out = []
+    for step in range(int(batch["_last"].max()) + 1):
+        hits = np.full(len(batch), len(batch))
+        mine = rows[which == step]
+        hits[mine] = mine
+        out.append(np.minimum.accumulate(hits[::-1])[::-1].tolist())
+    return out
 
 
 def _advance(next_hits, begin: int, end: int, last: int, state: tuple[int, int], log: list | None = None):
@@ -76,8 +80,8 @@ def _sorted_rows(rows: DataFrame, group: list[str], order: list[str]) -> DataFra
 
 def _block_maps(df: DataFrame, keys: list[str], order: list[str], steps: int, splits: Splits) -> DataFrame:
     """Per key and block, the state after it for each step it may be entered with."""
-    rows = df.select(*keys, *order, _mask().alias("_mask"), (F.size("hits") - 1).alias("_last"))
-    rows = with_blocks(rows.where(F.col("_mask") != 0), splits)
+    rows = df.select(*keys, *order, _satisfied().alias("_steps"), (F.size("hits") - 1).alias("_last"))
+    rows = with_blocks(rows.where(F.size("_steps") > 0), splits)
     group, entered = [*keys, BLOCK], range(steps if splits.rows else 1)
     out = T.StructType([
         *rows.select(*group).schema.fields, T.StructField("to_step", T.ArrayType(T.IntegerType())),
@@ -118,7 +122,7 @@ def sequence_state(
     maps = _block_maps(df, keys, order, steps, splits)
     if not splits.rows:
         return maps.select(*keys, F.col("to_step")[0].alias("step"), F.col("to_n")[0].alias("n"))
-    # At most max_blocks maps per key.
+    # One map per block.
     listed = F.sort_array(F.collect_list(F.struct(BLOCK, "to_step", "to_n")))
     chained = maps.groupBy(*keys).agg(listed.alias("_maps"))
 
@@ -157,13 +161,13 @@ def sequence_progress(
         group.append(BLOCK)
         entering = _entering_states(_block_maps(splits.large_only(df), keys, order, steps, splits), keys)
         # One row per block of a large key, bounded like the cut points.
-        rows = with_blocks(rows, splits).join(F.broadcast(entering), group, "left").withColumns({
+        rows = join_small(with_blocks(rows, splits), splits.hinted(entering), group, "left").withColumns({
             "n": F.col("n") + F.coalesce(F.get("to_n", F.col("step")), F.lit(0)),
             "step": F.coalesce(F.get("to_step", F.col("step")), F.col("step")),
         })
     columns = [c for c in rows.columns if c in df.columns and c != "hits"] + ["step", "n"]
     rows = rows.select(*columns, *group[len(keys):],
-                       _mask().alias("_mask"), (F.size("hits") - 1).alias("_last"))
+                       _satisfied().alias("_steps"), (F.size("hits") - 1).alias("_last"))
     out = rows.select(*columns)
 
     def walk(batches: Batches) -> Batches:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,12 +24,14 @@ def correct_new_flag(df: DataFrame, device: str, order: list[str], flag: str = "
 
     First claims come from a combined aggregate and are matched back on the whole row
     identity (device and unique order), so a busy device spreads over its own rows. Rows
-    without a claim do not move.
+    without a claim do not move. The null device is a device, and a null time comes first.
     """
     claims = df.where(F.col(flag) == "1")
     first = claims.groupBy(device).agg(F.min(F.struct(*order)).alias("_first"))
-    first = first.select(device, "_first.*", F.lit(True).alias("_is_first"))
-    decided = claims.join(first, [device, *order], "left").withColumn(
+    row = [device, *order]
+    first = first.select(device, "_first.*").select(*[F.col(c).alias(f"_f_{c}") for c in row], F.lit(True).alias("_is_first"))
+    same = [F.col(c).eqNullSafe(F.col(f"_f_{c}")) for c in row]
+    decided = claims.join(first, reduce(Column.__and__, same), "left").withColumn(
         flag, F.when(F.col("_is_first"), "1").otherwise("0")
     )
     others = df.where(F.coalesce(F.col(flag) != "1", F.lit(True)))

@@ -91,9 +91,10 @@ def sliding_count_windows(
 ) -> DataFrame:
     """After every ``slide`` rows, an aggregate over the last ``size`` rows or fewer.
 
-    Rows are numbered, then cut into stretches of ``stretch_rows``. The last ``size - 1``
-    rows of a stretch are repeated in the next one, so each stretch can be slid over alone.
+    Rows are numbered, then cut into stretches of ``stretch_rows``, ``size`` at least. The last
+    ``size - 1`` rows of a stretch are repeated in the next one, so each can be slid over alone.
     """
+    stretch_rows = max(stretch_rows, size)
     rows = running(df, keys, order, {"window_no": running_count()}, block_rows=block_rows)
     index = F.col("window_no") - 1
     own = F.floor(index / stretch_rows).cast("bigint")
@@ -112,17 +113,20 @@ def sliding_count_windows(
 def running_argmin(
     df: DataFrame, keys: list[str], order: list[str], by: str, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """After each row, the row of its key with the least ``by`` so far; ties keep the first.
+    """After each row, the row of its key with the least ``by`` so far; ties keep the first,
+    and a null ``by`` is greater than any value.
 
     The least row is in the struct column ``least``.
     """
     rest = [c for c in df.columns if c not in (by, *order)]
-    least = running_min(F.struct(by, *order, *rest))
-    return running(df, keys, order, {"least": least}, block_rows=block_rows)
+    least = running_min(F.struct(F.col(by).isNull().alias("_missing"), by, *order, *rest))
+    rows = running(df, keys, order, {"least": least}, block_rows=block_rows)
+    return rows.withColumn("least", F.col("least").dropFields("_missing"))
 
 
 def argmin(df: DataFrame, keys: list[str], order: list[str], by: str) -> DataFrame:
-    """The row of each key with the least ``by``, combined before the shuffle."""
+    """The row of each key with the least ``by``, combined before the shuffle; a null ``by`` is
+    greater than any value."""
     rest = [c for c in df.columns if c not in keys]
-    best = F.min_by(F.struct(*rest), F.struct(by, *order))
+    best = F.min_by(F.struct(*rest), F.struct(F.col(by).isNull(), by, *order))
     return df.groupBy(*keys).agg(best.alias("_best")).select(*keys, "_best.*")

@@ -12,28 +12,37 @@ from brooklet.operators.changestate import KeyedTable, text_schema
 from brooklet.operators.joins import asof_join, is_small
 from brooklet.operators.routing import prune_map
 from brooklet.plans.topic_sink import Broker
-from brooklet.sources.changelog import DELETE
+from brooklet.sources.changelog import DELETE, IMAGE
 from brooklet.sources.topics import to_records
 from brooklet.streaming import runner
 
 # Sink types of the routing config.
 SINK_TOPIC, SINK_TABLE, SINK_COLUMN_STORE = "kafka", "hbase", "clickhouse"
 
+SPREAD = 64
+
 
 def route_changes(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Changes without deletes, with sink columns and only the configured fields of ``after``.
 
-    ``config`` holds the configuration in force, one row per table and operation. It is
-    broadcast after a check of its size. Unconfigured changes keep a null ``sink_table``, so
-    that they can go to a side output instead of being lost.
+    ``config`` holds the configuration in force, one row per table and operation. Up to
+    ``SMALL_ROWS`` rows of it are broadcast; beyond, each of them is repeated for ``SPREAD`` parts
+    of the changes, so that a busy table does not meet its config in one task. Unconfigured
+    changes keep a null ``sink_table``, so that they can go to a side output instead of being lost.
     """
     live = changes.where(F.col("operation") != DELETE)
-    keyed = config.withColumnsRenamed({"source_table": "table", "operate_type": "operation"})
+    keyed = config.withColumnsRenamed({"source_table": "table", "operate_type": "operation"}).withColumn(
+        "sink_columns", F.split("sink_columns", ","))
+    on = ["table", "operation"]
     if is_small(keyed):
-        keyed = F.broadcast(keyed)
-    routed = live.join(keyed, ["table", "operation"], "left")
+        routed = live.join(F.broadcast(keyed), on, "left")
+    else:
+        parts = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
+        salted = live.withColumn("_part", F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("int"))
+        routed = salted.join(keyed.withColumn("_part", parts), [*on, "_part"], "left").drop("_part")
     pruned = F.when(F.col("sink_columns").isNotNull(), prune_map(F.col("after"), F.col("sink_columns")))
-    return routed.withColumn("after", F.coalesce(pruned, F.col("after")))
+    return routed.withColumns({
+        "after": F.coalesce(pruned, F.col("after")), "sink_columns": F.array_join("sink_columns", ",")})
 
 
 def split_by_sink(routed: DataFrame) -> dict[str, DataFrame]:
@@ -64,7 +73,7 @@ def routed_as_of(
 # Input topic, and the schema of its envelopes.
 TOPIC_CHANGES = "ods_base_db"
 ENVELOPE = (
-    "database STRING, `table` STRING, operation STRING, before MAP<STRING, STRING>, after MAP<STRING, STRING>"
+    f"database STRING, `table` STRING, operation STRING, before {IMAGE}, after {IMAGE}"
 )
 DIMENSION_KEY = "id"
 
@@ -109,7 +118,7 @@ def start(
 def dimension_rows(rows: DataFrame, columns: str, key: str | None) -> DataFrame:
     """The configured text columns of routed dimension records, with their ``offset``."""
     def field(name: str) -> Column:
-        return F.try_element_at(F.col("after"), F.lit(name)).alias(name)
+        return F.try_element_at(F.col("after"), F.lit(name)).cast("string").alias(name)
 
     return rows.select("offset", *[field(f.name) for f in text_schema(columns, key)])
 

@@ -3,12 +3,12 @@ start, page and display records to topics of their own."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from brooklet.operators import visits
-from brooklet.operators.routing import LOG_SCHEMA, mark_malformed, route_logs
+from brooklet.operators.routing import OBJECT, is_object, json_object, put
 from brooklet.plans.topic_sink import Broker, to_topics
 from brooklet.sources.topics import to_records
 from brooklet.streaming import runner, stateful
@@ -22,24 +22,38 @@ ORDER = ["ts", "offset"]
 
 
 def parsed(records: DataFrame) -> DataFrame:
-    """Lines with the fields that state needs; a malformed line has no ``mid``."""
-    marked = mark_malformed(records.select("offset", "value"), "value", LOG_SCHEMA, "log")
-    return marked.select(
-        "offset", "value", "is_dirty", F.col("log.common.mid").alias("mid"),
-        F.col("log.common.is_new").alias("is_new"), F.col("log.ts").alias("ts"))
+    """Lines with the fields that state needs. A line that is no JSON object is dirty; one with
+    unexpected fields or types is not."""
+    log = F.try_parse_json("value")
+
+    def field(path: str, kind: str) -> Column:
+        return F.try_variant_get(log, path, kind)
+
+    return records.select(
+        "offset", "value", (~is_object(F.col("value"))).alias("is_dirty"), field("$.common.mid", "string").alias("mid"),
+        field("$.common.is_new", "string").alias("is_new"), field("$.ts", "bigint").alias("ts"))
 
 
 def outputs(flagged: DataFrame) -> dict[str, DataFrame]:
-    """Records per topic, from lines whose flag has been corrected."""
-    logs = flagged.where(~F.col("is_dirty")).select(
-        F.from_json("value", LOG_SCHEMA).alias("log"), "is_new")
-    common = F.when(F.col("log.common").isNotNull(), F.col("log.common").withField("is_new", F.col("is_new")))
-    logs = logs.withColumn("log", F.col("log").withField("common", common)).select("log.*")
-    routed = route_logs(logs)
-    out = {}
-    for route, rows in routed.items():
-        body = F.to_json("display") if route == "display" else F.to_json(F.struct(*rows.columns))
-        out[TOPICS[route]] = to_records(rows, TOPICS[route], body)
+    """Records per topic, from lines whose flag has been corrected: each log as it came but for
+    the flag, and each display with the id of its page."""
+    log = json_object(F.col("value"))
+    common = F.try_element_at(log, F.lit("common"))
+    corrected = put(json_object(F.to_json(common)), "is_new", F.to_json(F.col("is_new").cast("variant")))
+    patched = F.when(F.col("is_new").isNotNull(), put(log, "common", F.to_json(corrected))).otherwise(log)
+    logs = flagged.where(~F.col("is_dirty")).select(patched.alias("log"))
+    is_start = F.coalesce(F.schema_of_variant(F.try_element_at("log", F.lit("start"))) != "VOID", F.lit(False))
+    pages = logs.where(~is_start)
+    page_id = F.to_json(F.try_variant_get(F.try_element_at("log", F.lit("page")), "$.page_id", "variant"))
+    displays = pages.select(page_id.alias("page_id"), F.explode(
+        F.from_json(F.to_json(F.try_element_at("log", F.lit("displays"))), f"array<{OBJECT}>")).alias("display"))
+    display = F.when(F.col("page_id").isNotNull(), put(F.col("display"), "page_id", F.col("page_id"))).otherwise(F.col("display"))
+    bodies = {
+        "start": logs.where(is_start).select(F.to_json("log").alias("body")),
+        "page": pages.select(F.to_json("log").alias("body")),
+        "display": displays.select(F.to_json(display).alias("body")),
+    }
+    out = {TOPICS[route]: to_records(rows, TOPICS[route], F.col("body")) for route, rows in bodies.items()}
     out[TOPIC_DIRTY] = to_records(flagged.where("is_dirty"), TOPIC_DIRTY, F.col("value"))
     return out
 

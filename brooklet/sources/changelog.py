@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 # Operations of a change record.
 READ, CREATE, UPDATE, DELETE, TRUNCATE = "READ", "CREATE", "UPDATE", "DELETE", "TRUNCATE"
 
-IMAGE = "map<string,string>"
+# Row images keep the types of their JSON values.
+IMAGE = "map<string,variant>"
 
 
 def flatten(df: DataFrame, topic: Column, operation: Column, before: Column, after: Column) -> DataFrame:

@@ -23,8 +23,9 @@ def read_topic(
 ) -> DataFrame:
     """Records of a topic with text key and value.
 
-    ``starting`` is ``earliest``, ``latest`` (Kafka only), or for file topics the first
-    offset to read. ``folder`` reads the file form, ``servers`` the Kafka form.
+    ``starting`` is ``earliest``, ``latest``, or for file topics the first offset to read.
+    ``latest`` of a file topic is what comes after the records that are there when this is
+    called. ``folder`` reads the file form, ``servers`` the Kafka form.
     """
     reader = spark.readStream if streaming else spark.read
     if servers:
@@ -38,6 +39,9 @@ def read_topic(
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     records = reader.schema(ENVELOPE).json(folder).select(*FIELDS).where(F.col("topic") == topic)
+    if starting == "latest":
+        there = spark.read.schema(ENVELOPE).json(folder).where(F.col("topic") == topic)
+        starting = (there.agg(F.max("offset")).first()[0] or -1) + 1 if not there.isEmpty() else 0
     return records if starting == "earliest" else records.where(F.col("offset") >= int(starting))
 
 

@@ -56,11 +56,32 @@ def correct_new_flag(df: DataFrame, device: str, order: list[str], flag: str = "
 
 
 def first_visits(
-    df: DataFrame, device: str, time: str, entry: Column, retention: str = "24 hours"
+    df: DataFrame, device: str, time: str, entry: Column, days_kept: int = 7
 ) -> DataFrame:
-    """First arriving entry page per device and day; state is dropped after ``retention``."""
+    """First arriving entry page per device and day, the earliest of its micro-batch.
+
+    A device's state is the days it has been seen on, as far as they are at most ``days_kept``
+    behind its newest one. No row is dropped for being late: a day further back counts as new.
+    Of a device's rows only the first of each day are held.
+    """
     visits = df.where(entry).withColumn("visit_date", F.to_date(time))
-    return visits.withWatermark(time, retention).dropDuplicatesWithinWatermark([device, "visit_date"])
+
+    def first(key: tuple, batches: Batches, state: GroupState) -> Batches:
+        frames = [b.sort_values(time).drop_duplicates("visit_date") for b in batches if len(b)]
+        if not frames:
+            return
+        rows = pd.concat(frames, ignore_index=True).sort_values(time).drop_duplicates("visit_date")
+        seen = set(state.get[0]) if state.exists else set()
+        numbers = [-1 if d is None or d != d else d.toordinal() for d in rows["visit_date"]]
+        new = [n not in seen for n in numbers]
+        seen.update(numbers)
+        newest = max(seen)
+        state.update((sorted(n for n in seen if n < 0 or n >= newest - days_kept),))
+        if any(new):
+            yield rows[new]
+
+    return visits.groupBy(device).applyInPandasWithState(
+        first, visits.schema, "days ARRAY<INT>", "append", GroupStateTimeout.NoTimeout)
 
 
 BOUNCE_STATE = (
@@ -147,19 +168,21 @@ def rule_progress(
         if batch is None:
             return
         if state.exists:
+            # Rules may have other conditions and steps than when the state was kept.
             counts, step, sequences = state.get
-            counts = list(counts)
+            counts = [*counts, *[0] * conditions][:conditions]
         else:
             counts, step, sequences = [0] * conditions, 0, 0
             if start:
                 first = batch.iloc[0]
                 base = first[start[0]]
                 if base is not None:
-                    counts = [int(c) for c in base] + [0] * (conditions - len(base))
+                    counts = [*[int(c) for c in base], *[0] * conditions][:conditions]
                     step, sequences = int(first[start[1]]), int(first[start[2]])
         seen, completed = [], []
         for hits, steps in zip(batch["hits"], batch["steps"]):
             counts = [c + bool(i < len(hits) and hits[i]) for i, c in enumerate(counts)]
+            step = step if step < len(steps) else 0
             if len(steps) and steps[step]:
                 step, sequences = (0, sequences + 1) if step == len(steps) - 1 else (step + 1, sequences)
             seen.append(tuple(counts))
@@ -195,7 +218,7 @@ def sequence_progress(df: DataFrame, keys: list[str], order: list[str]) -> DataF
 
 def running_argmin(df: DataFrame, keys: list[str], order: list[str], by: str) -> DataFrame:
     """``df`` with the row of its key with the least ``by`` so far in ``least_`` columns; ties
-    keep the first row."""
+    keep the first row, and a null ``by`` is greater than any value."""
     tracked = [c for c in df.columns if c not in keys]
     fields = [df.schema[c] for c in tracked]
     names = [f"least_{c}" for c in tracked]
@@ -203,6 +226,10 @@ def running_argmin(df: DataFrame, keys: list[str], order: list[str], by: str) ->
     out = T.StructType([*df.schema.fields, *state_schema.fields])
     position = tracked.index(by)
 
+    def ranked(row: tuple) -> tuple:
+        value = row[position]
+        return (1, 0) if value is None or value != value else (0, value)
+
     def advance(key: tuple, batches: Batches, state: GroupState) -> Batches:
         batch = _ordered(batches, order)
         if batch is None:
@@ -210,7 +237,7 @@ def running_argmin(df: DataFrame, keys: list[str], order: list[str], by: str) ->
         least = state.get if state.exists else None
         seen = []
         for row in zip(*[batch[c].tolist() for c in tracked]):
-            if least is None or row[position] < least[position]:
+            if least is None or ranked(row) < ranked(least):
                 least = row
             seen.append(least)
         state.update(tuple(least))

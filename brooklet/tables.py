@@ -42,11 +42,11 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stream(spark: SparkSession, sf_dir: str, name: str, schema: T.StructType) -> DataFrame:
-    """The same table as a file stream."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .option("maxFilesPerTrigger", 1)
-        .parquet(sf_dir)
-    )
+def stream(
+    spark: SparkSession, sf_dir: str, name: str, schema: T.StructType, files_per_trigger: int | None = None
+) -> DataFrame:
+    """The same table as a file stream. The pattern matches a file as well as a folder of files."""
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(f"{sf_dir}/{name}.parque[t]")

@@ -44,10 +44,15 @@ def test_blocks_follow_the_order_and_stay_small(spark, sf):
     assert all(a.hi < b.lo for a, b in zip(blocks, blocks[1:]))
 
 
-def test_block_count_is_capped_per_key(spark, sf):
-    events = load(spark, sf, "events").withColumn("k", F.lit("all"))
-    splits = find_splits(events, ["k"], ["ts", "event_id"], 1, max_blocks=10)
-    assert len(splits.rows) == 1 and len(splits.rows[0]["_cuts"]) == 10
+def test_null_keys_are_cut_like_others(spark, sf):
+    events = load(spark, sf, "events").withColumn("k", F.when(F.col("event_id") % 2 == 0, 7))
+    splits = find_splits(events, ["k"], ["ts", "event_id"], 20)
+    assert {r["k"] for r in splits.rows} == {None, 7}
+    sizes = with_blocks(events, splits).groupBy("k", BLOCK).count().collect()
+    assert max(s["count"] for s in sizes) <= 20
+    counted = running(events, ["k"], ["ts", "event_id"], {"n": running_count()}, splits=splits)
+    whole = running(events, ["k"], ["ts", "event_id"], {"n": running_count()}, block_rows=10**9)
+    assert counted.exceptAll(whole).isEmpty()
 
 
 def test_equal_copies_are_sampled_once(spark):
