@@ -200,8 +200,7 @@ def conditions_met(spark: SparkSession, sf: str) -> DataFrame:
     events = load(spark, sf, "events").select(
         "event_id", F.col("user_id").alias("guid"), "ts", "event_type",
         F.from_json("props", "map<string,string>").alias("properties"))
-    # As many rows as the rules have conditions.
-    return rule_ops.match_conditions(events, F.broadcast(conditions), "event_type", "ts", "properties")
+    return rule_ops.match_conditions(events, conditions, "event_type", "ts", "properties")
 
 
 @query(f"SELECT rule_id, condition_id, event_id FROM ({FANOUT_SQL})")
@@ -256,6 +255,27 @@ def rule_model2_matches(spark: SparkSession, sf: str) -> DataFrame:
     return matches(spark, sf, rules()[1:])
 
 
+@query("""
+    WITH people AS (SELECT c_custkey, 'N' || c_nationkey || '-' || c_mktsegment AS rule_id, 1 + c_nationkey % 5 AS least FROM customer),
+    counted AS (
+        SELECT *, sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS views FROM events)
+    SELECT rule_id, user_id AS guid, event_id FROM counted JOIN people ON user_id = c_custkey
+    WHERE event_type = 'purchase' AND views >= least""")
+def rule_many_matches(spark: SparkSession, sf: str) -> DataFrame:
+    """A rule for each nation and segment of the customers, over a hundred of them."""
+    people_of = load(spark, sf, "customer").select(
+        F.concat(F.lit("N"), F.col("c_nationkey").cast("string"), F.lit("-"), F.col("c_mktsegment")).alias("rule_id"),
+        F.col("c_custkey").alias("guid"), "c_nationkey")
+    groups = people_of.select("rule_id", "c_nationkey").distinct().orderBy("rule_id").collect()
+    which = [rule_ops.Rule.parse(json.dumps({
+        "ruleModelId": "1", "ruleId": g["rule_id"], "triggerEvent": _event("purchase"),
+        "actionCountCondition": {"eventParams": [_event("view", 1 + g["c_nationkey"] % 5, 1, ())], "combineExpr": "res_1"},
+    })) for g in groups]
+    found = rule_ops.match_rules(history(spark, sf), which, people_of.select("rule_id", "guid"), COLUMNS, ["event_pk"])
+    return found.select("rule_id", "guid", F.col("event_pk").alias("event_id"))
+
+
 CUTOFF = "2024-01-15 00:00:00"
 
 

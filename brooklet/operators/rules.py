@@ -1,18 +1,20 @@
 """Marketing rules: definitions, counters, matches and history baselines.
 
-All rules are evaluated in one pass. An event becomes one row per rule it matters to, with
-the rule's conditions as boolean arrays; running counters are kept per (rule, user).
+All rules are evaluated in one pass, as rows of a table. An event becomes one row per rule it
+matters to, with the rule's conditions as boolean arrays; running counters are kept per (rule, user).
 """
 
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.functions.predicates import EventColumns, EventSpec, any_of, combine_results, event_flag, event_ids
+from brooklet.functions.predicates import EventColumns, EventSpec, combine_results, event_ids
 from brooklet.operators.ordered import BLOCK_ROWS, Splits, find_splits, running, running_count, running_sum
 from brooklet.operators.sequences import sequence_progress, sequence_state
 from brooklet.sources.changelog import current_state
@@ -112,33 +114,74 @@ def match_conditions(
     return matched.drop("_event_id", "window_start", "window_end", "attributes")
 
 
+CONDITION_LISTS = (
+    "on_event STRING, conditions ARRAY<STRUCT<rule_id: STRING, role: STRING, i: INT, counts: INT, steps: INT,"
+    " since: TIMESTAMP_NTZ, until: TIMESTAMP_NTZ, attributes: ARRAY<STRUCT<name: STRING, compare: STRING, value: STRING>>>>"
+)
+ANY_EVENT = ""
+
+
+def condition_lists(spark: SparkSession, rules: list[Rule]) -> DataFrame:
+    """The conditions of all rules as data, one row per event id that some condition names.
+
+    A condition is a count (``c``), a sequence step (``s``) or the trigger (``t``) of its rule. Those
+    without an event id are in every list, and alone in that of ``ANY_EVENT``.
+    """
+    def moment(text: str | None) -> datetime | None:
+        return datetime.fromisoformat(text) if text else None
+
+    named: dict[str, list] = {}
+    always = []
+    for rule in rules:
+        # A rule without a trigger is decided at every event.
+        specs = [("t", 0, rule.trigger or EventSpec(None))]
+        specs += [("c", i, s) for i, s in enumerate(rule.counts)] + [("s", i, s) for i, s in enumerate(rule.sequence)]
+        for role, i, spec in specs:
+            attributes = [(a.name, a.compare, a.value) for a in spec.attributes]
+            row = (rule.rule_id, role, i, len(rule.counts), len(rule.sequence), moment(spec.window_start), moment(spec.window_end), attributes)
+            (always if spec.event_id is None else named.setdefault(spec.event_id, [])).append(row)
+    rows = [(event, [*listed, *always]) for event, listed in sorted(named.items())]
+    return spark.createDataFrame([*rows, (ANY_EVENT, always)], CONDITION_LISTS)
+
+
 def fan_out(events: DataFrame, rules: list[Rule], columns: EventColumns, order: list[str]) -> DataFrame:
     """One row per event and rule it matters to.
 
     ``hits`` has one flag per count condition, ``steps`` one per sequence step, and
     ``is_trigger`` tells whether the rule is to be decided at this event.
+
+    Rules are rows of a table that events meet by their id, so the plan has one size however
+    many rules there are, and an event looks at the conditions on its id only.
     """
+    specs = [s for r in rules for s in (r.trigger or EventSpec(None), *r.counts, *r.sequence)]
+    names = sorted({a.name for s in specs for a in s.attributes})
+    known = sorted({s.event_id for s in specs if s.event_id is not None})
+    values = [c for name in names for c in (F.lit(name), columns.attribute(name))]
+    properties = F.create_map(*values) if values else F.lit(None).cast("map<string,string>")
+    event = F.col(columns.event_id)
+    listed = F.when(event.isin(known), event).otherwise(F.lit(ANY_EVENT)) if known else F.lit(ANY_EVENT)
+    unique = [c for c in order if c != "match_time"]
+    rows = events.where(event_ids(specs, columns)).select(
+        "guid", F.col(columns.time).alias("match_time"), *unique, listed.alias("on_event"), properties.alias("_properties"))
+    time = F.col("match_time").cast("timestamp_ntz")
 
-    def flags(specs: tuple[EventSpec, ...]) -> Column:
-        tests = [event_flag(s, columns) for s in specs]
-        return F.array(*tests) if tests else F.array().cast("array<boolean>")
+    def holds(c: Column) -> Column:
+        inside = (c["since"].isNull() | (time >= c["since"])) & (c["until"].isNull() | (time <= c["until"]))
+        return F.coalesce(inside, F.lit(False)) & attributes_hold(c["attributes"], F.col("_properties"))
 
-    def row(rule: Rule) -> Column:
-        trigger = event_flag(rule.trigger, columns) if rule.trigger else F.lit(True)
-        value = F.struct(
-            F.lit(rule.rule_id).alias("rule_id"), flags(rule.counts).alias("hits"),
-            flags(rule.sequence).alias("steps"), trigger.alias("is_trigger"),
-        )
-        matters = [trigger, *[event_flag(s, columns) for s in (*rule.counts, *rule.sequence)]]
-        return F.when(any_of(matters), value)
+    met = rows.join(condition_lists(events.sparkSession, rules), "on_event").select(
+        "guid", "match_time", *unique, F.filter("conditions", holds).alias("_met"))
+    spread = met.select("*", F.explode(F.array_distinct(F.transform("_met", lambda c: c["rule_id"]))).alias("rule_id"))
+    mine = spread.withColumn("_mine", F.filter("_met", lambda c: c["rule_id"] == F.col("rule_id")))
 
-    # A rule without a trigger is decided at every event.
-    specs = [s for r in rules for s in (r.trigger or EventSpec(None), *r.counts, *r.sequence)]
-    per_rule = F.filter(F.array(*[row(rule) for rule in rules]), lambda r: r.isNotNull())
-    unique = [c for c in order if c != "match_time"]
-    spread = events.where(event_ids(specs, columns)).select(
-        "guid", F.col(columns.time).alias("match_time"), *unique, F.explode(per_rule).alias("_rule"))
-    return spread.select("*", "_rule.*").drop("_rule")
+    def flags(role: str, size: str) -> Column:
+        places = F.sequence(F.lit(1), F.get("_mine", F.lit(0))[size])
+        tests = F.transform(places, lambda n: F.exists("_mine", lambda c: (c["role"] == role) & (c["i"] == n - 1)))
+        return F.when(F.get("_mine", F.lit(0))[size] > 0, tests).otherwise(F.array().cast("array<boolean>"))
+
+    return mine.select(
+        "guid", "match_time", *unique, "rule_id", flags("c", "counts").alias("hits"), flags("s", "steps").alias("steps"),
+        F.exists("_mine", lambda c: c["role"] == "t").alias("is_trigger"))
 
 
 # Counters and matches -----------------------------------------------------------------
@@ -214,18 +257,38 @@ def last_state(progress: DataFrame, order: list[str]) -> DataFrame:
     return progress.groupBy(*RULE_KEY).agg(last).select(*RULE_KEY, "_state.*")
 
 
+def _shape(rule: Rule) -> tuple[str, str]:
+    """The rule's expressions with its count conditions named by place: alike in many rules."""
+    places = {f"res_{c.condition_id}": f"_r{i}" for i, c in enumerate(rule.counts)}
+    return re.sub(r"\w+", lambda w: places.get(w[0], w[0]), rule.count_expression), rule.expression
+
+
 def verdicts(progress: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Trigger rows that meet their rule, with the rule's cap per user as ``_cap``."""
-    rows, verdict, cap = progress.where("is_trigger"), None, None
-    for rule in rules:
-        mine = F.col("rule_id") == F.lit(rule.rule_id)
-        rows, test = _verdict(rows, rule)
+    """Trigger rows that meet their rule, with the rule's cap per user as ``_cap``.
+
+    Thresholds and caps come from a table of the rules; an expression is evaluated once for all
+    rules that combine their conditions in the same way.
+    """
+    shapes = sorted({_shape(rule) for rule in rules})
+    size = max((len(r.counts) for r in rules), default=0)
+    facts = progress.sparkSession.createDataFrame(
+        [(r.rule_id, shapes.index(_shape(r)), [s.event_count for s in r.counts], r.sequence_count, r.max_matches) for r in rules],
+        "rule_id STRING, _shape INT, _least ARRAY<BIGINT>, _sequences BIGINT, _cap BIGINT")
+    rows = progress.where("is_trigger").join(facts, "rule_id")
+    rows = rows.withColumns({f"_r{i}": F.coalesce(F.col(f"count_{i}") >= F.get("_least", F.lit(i)), F.lit(False)) for i in range(size)})
+    results = {f"_r{i}": f"_r{i}" for i in range(size)}
+    counted, verdict = None, None
+    for number, (count_expression, _) in enumerate(shapes):
+        test = combine_results(count_expression, results) if count_expression else F.lit(True)
+        mine = F.col("_shape") == number
+        counted = F.when(mine, test) if counted is None else counted.when(mine, test)
+    rows = rows.withColumns({"_res_0": counted, "_res_1": F.col("sequences") >= F.col("_sequences")})
+    for number, (_, expression) in enumerate(shapes):
+        test, mine = combine_results(expression, {"res_0": "_res_0", "res_1": "_res_1"}), F.col("_shape") == number
         verdict = F.when(mine, test) if verdict is None else verdict.when(mine, test)
-        limit = F.lit(rule.max_matches).cast("bigint")
-        cap = F.when(mine, limit) if cap is None else cap.when(mine, limit)
     working = {"hits", "steps", "is_trigger", "step", "sequences", "base_counts", "base_step", "base_sequences"}
     kept = [c for c in progress.columns if c not in working and not c.startswith("count_")]
-    return rows.withColumn("_cap", cap).where(verdict).select(*kept, "_cap")
+    return rows.where(verdict).select(*kept, "_cap")
 
 
 def decide(
@@ -239,22 +302,6 @@ def decide(
     return numbered.where(F.col("_cap").isNull() | (F.col("_match") <= F.col("_cap"))).drop("_cap", "_match")
 
 
-def _verdict(rows: DataFrame, rule: Rule) -> tuple[DataFrame, Column]:
-    """The rule's expression over named results; each result becomes a column of the rows."""
-    prefix = f"_{rule.rule_id}_"
-    results = {
-        f"{prefix}count_{s.condition_id}": F.col(f"count_{i}") >= s.event_count
-        for i, s in enumerate(rule.counts)
-    }
-    rows = rows.withColumns(results) if results else rows
-    names = {f"res_{s.condition_id}": f"{prefix}count_{s.condition_id}" for s in rule.counts}
-    counts = combine_results(rule.count_expression, names) if names else F.lit(True)
-    rows = rows.withColumns({
-        f"{prefix}res_0": counts, f"{prefix}res_1": F.col("sequences") >= rule.sequence_count,
-    })
-    return rows, combine_results(rule.expression, {"res_0": f"{prefix}res_0", "res_1": f"{prefix}res_1"})
-
-
 def match_rules(
     events: DataFrame, rules: list[Rule], audience: DataFrame, columns: EventColumns, order: list[str],
     start: DataFrame | None = None, block_rows: int = BLOCK_ROWS,
