@@ -159,7 +159,8 @@ def sequence_progress(
     group = list(keys)
     if splits.rows:
         group.append(BLOCK)
-        entering = _entering_states(_block_maps(splits.large_only(df), keys, order, steps, splits), keys)
+        maps = _block_maps(splits.large_only(df), keys, order, steps, splits)
+        entering = _entering_states(_of_all_blocks(maps, splits, steps), keys)
         # One row per block of a large key, bounded like the cut points.
         rows = join_small(with_blocks(rows, splits), splits.hinted(entering), group, "left").withColumns({
             "n": F.col("n") + F.coalesce(F.get("to_n", F.col("step")), F.lit(0)),
@@ -191,6 +192,17 @@ def sequence_progress(
     return _sorted_rows(rows, group, order).mapInPandas(walk, out.schema)
 
 
+def _of_all_blocks(maps: DataFrame, splits: Splits, steps: int) -> DataFrame:
+    """The block maps, with one that changes nothing for each block without a satisfied step."""
+    numbers = F.explode(F.sequence(F.lit(0), F.size("_cuts")))
+    every = splits.table(maps).select(*splits.keys, numbers.alias(BLOCK))
+    same = F.sequence(F.lit(0), F.lit(steps - 1))
+    joined = join_small(every, maps, [*splits.keys, BLOCK], "left")
+    return joined.select(
+        *splits.keys, F.col(BLOCK).cast(maps.schema[BLOCK].dataType).alias(BLOCK), F.coalesce("to_step", same).alias("to_step"),
+        F.coalesce("to_n", F.array_repeat(F.lit(0).cast("bigint"), steps)).alias("to_n"))
+
+
 def _entering_states(maps: DataFrame, keys: list[str]) -> DataFrame:
     """The block maps chained: for each block the state on entering it, per first step of the key."""
 

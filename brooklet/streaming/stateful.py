@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from datetime import timedelta
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -224,24 +225,25 @@ def running_argmin(df: DataFrame, keys: list[str], order: list[str], by: str) ->
     names = [f"least_{c}" for c in tracked]
     state_schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, fields)])
     out = T.StructType([*df.schema.fields, *state_schema.fields])
-    position = tracked.index(by)
-
-    def ranked(row: tuple) -> tuple:
-        value = row[position]
-        return (1, 0) if value is None or value != value else (0, value)
 
     def advance(key: tuple, batches: Batches, state: GroupState) -> Batches:
         batch = _ordered(batches, order)
         if batch is None:
             return
-        least = state.get if state.exists else None
-        seen = []
-        for row in zip(*[batch[c].tolist() for c in tracked]):
-            if least is None or ranked(row) < ranked(least):
-                least = row
-            seen.append(least)
-        state.update(tuple(least))
-        yield batch.assign(**{n: [s[i] for s in seen] for i, n in enumerate(names)})
+        rows = batch[tracked].reset_index(drop=True)
+        if state.exists:  # The least row so far goes ahead of the new ones.
+            rows = pd.concat([pd.DataFrame([state.get], columns=tracked).astype(rows.dtypes.to_dict(), errors="ignore"), rows], ignore_index=True)
+        value = rows[by]
+        before = value.cummin().shift()
+        # A row takes over if it is less than all before it, or the first that is not null.
+        less = value.notna() & (before.isna() | (value < before))
+        less.iloc[0] = True
+        places = np.maximum.accumulate(np.where(less, np.arange(len(rows)), 0))
+        least = rows.iloc[places[len(rows) - len(batch):]].reset_index(drop=True)
+        last = least.iloc[-1]
+        state.update(tuple(None if pd.isna(last[c]) else last[c].item() if hasattr(last[c], "item") else last[c] for c in tracked))
+        least.columns = names
+        yield pd.concat([batch.reset_index(drop=True), least], axis=1)
 
     return df.groupBy(*keys).applyInPandasWithState(
         advance, out, state_schema, "append", GroupStateTimeout.NoTimeout)
