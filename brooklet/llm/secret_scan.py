@@ -36,7 +36,9 @@ STATES = ENDS + 1
 #: Log-likelihood ratios are whole thousandths, so sums do not depend on their order.
 SCALE = 1000
 MARGIN = 10.0
-SAMPLE_DOCS = 4000
+#: How many sightings the shares of all states weigh against those after one state.
+BACK_OFF = 32
+SAMPLE_DOCS, SAMPLE_CHARS, DIGESTS = 4000, 256, 4
 
 
 def _codes(token: Column) -> Column:
@@ -49,35 +51,37 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, id_column: str = "doc
     """``STATES`` x ``STATES`` log-likelihood ratios, in thousandths, of one character after another.
 
     The labelled samples come from about ``sample_docs`` documents, chosen by a hash of id and text.
-    Random: the values that the fixed patterns find there, and each document's digest written in
-    hex and in base 64. Ordinary: the other tokens of four characters or more. Counts start at one
-    half. The driver gets one row per label and pair of states, at most.
+    Random: the distinct values that the fixed patterns find there, and ``DIGESTS`` digests of each
+    document written in hex and in base 64. Ordinary: the other tokens of four characters or more. A sample
+    is its first ``SAMPLE_CHARS`` characters, so that none outweighs the rest. The driver gets one row per label and pair of states, at most.
     """
     text = text_or_empty(F.col(f"`{text_column}`"))
     total = docs.count()
     share = min(1.0, sample_docs / max(1, total))
     drawn = F.pmod(F.xxhash64(F.lit(5), F.col(f"`{id_column}`"), text), F.lit(1 << 20))
     chosen = docs.filter(drawn < F.lit(math.ceil(share * (1 << 20)))).select(text.alias("text"))
-    bytes_ = F.sha2(F.col("text").cast("binary"), 512)
+    digests = [F.sha2(F.concat(F.lit(str(i)), "text").cast("binary"), 512) for i in range(DIGESTS)]
     found = [F.regexp_extract_all("text", F.lit(p), F.lit(2 if k == "assign" else 0)) for k, p in PATTERNS.items()]
     rest = F.col("text")
     for pattern in PATTERNS.values():
         rest = F.regexp_replace(rest, pattern, " ")
     labelled = chosen.select(F.explode(F.concat(
-        F.transform(F.concat(*found, F.array(bytes_, F.base64(F.unhex(bytes_)))), lambda t: F.struct(F.lit(True).alias("random"), t.alias("token"))),
+        F.transform(F.concat(*found, F.array(*digests, *[F.base64(F.unhex(d)) for d in digests])), lambda t: F.struct(F.lit(True).alias("random"), t.alias("token"))),
         F.transform(F.regexp_extract_all(rest, F.lit(WORD_TOKEN), F.lit(0)), lambda t: F.struct(F.lit(False).alias("random"), t.alias("token"))),
-    )).alias("sample")).select("sample.*").groupBy("random", "token").agg(F.count(F.lit(1)).alias("times"))
+    )).alias("sample")).select("sample.random", F.substring("sample.token", 1, SAMPLE_CHARS).alias("token"))
+    # A value that many documents repeat is one sample of random strings; ordinary words count as often as they come.
+    labelled = labelled.groupBy("random", "token").agg(F.count(F.lit(1)).alias("times")).withColumn(
+        "times", F.when(F.col("random"), F.lit(1).cast("long")).otherwise(F.col("times")))
     ends = F.array(F.lit(ENDS))
     pairs = labelled.select("random", "times", _codes(F.col("token")).alias("codes")).select("random", "times", F.explode(
         F.zip_with(F.concat(ends, "codes"), F.concat("codes", ends), lambda a, b: a * STATES + b)).alias("pair"))
     counts = {(r["random"], r["pair"]): r["n"] for r in pairs.groupBy("random", "pair").agg(F.sum("times").alias("n")).collect()}
 
     def log_shares(label: bool) -> list[float]:
-        out = []
-        for a in range(STATES):
-            row = [counts.get((label, a * STATES + b), 0) + 0.5 for b in range(STATES)]
-            out += [math.log(n / sum(row)) for n in row]
-        return out
+        """Shares of what follows each state; what has been seen little goes by the shares of all."""
+        rows = [[counts.get((label, a * STATES + b), 0) for b in range(STATES)] for a in range(STATES)]
+        every = [sum(column) + 0.5 for column in zip(*rows, strict=True)]
+        return [math.log((n + BACK_OFF * e / sum(every)) / (sum(row) + BACK_OFF)) for row in rows for n, e in zip(row, every, strict=True)]
 
     return [round(SCALE * (r - o)) for r, o in zip(log_shares(True), log_shares(False), strict=True)]
 
