@@ -303,9 +303,11 @@ def near_duplicates(
         "component", F.coalesce("component", "cid"))
     smallest = whole_.groupBy("component").agg(F.min("first").alias("component_id"))
     placed = written(whole_.join(smallest, "component").select(F.col("h").alias("ch"), F.col("g").alias("cg"), "component", "component_id"), "components")
-    joined = signed.select("row", "doc_id", "text_key", "h", "g", "n").join(placed, (F.col("h") == F.col("ch")) & (F.col("g") == F.col("cg")), "left").select(
-        "row", "doc_id", "text_key", F.col("n").alias("n_shingles"), "component", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    # Written down, so that the last join may send the heads to all tasks, or split large components.
+    joined = written(signed.select("row", "doc_id", "text_key", "h", "g", "n").join(placed, (F.col("h") == F.col("ch")) & (F.col("g") == F.col("cg")), "left").select(
+        "row", "doc_id", "text_key", F.col("n").alias("n_shingles"), "component", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")), "members")
     at_head = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    heads = joined.filter(at_head & (F.col("n_shingles") > 0)).groupBy(F.col("component").alias("of")).agg(F.min("row").alias("head"))
+    heads = written(
+        joined.filter(at_head & (F.col("n_shingles") > 0)).groupBy(F.col("component").alias("of")).agg(F.min("row").alias("head")), "heads")
     return joined.join(heads, F.col("component") == F.col("of"), "left").select(
         "doc_id", "text_key", "n_shingles", "component_id", F.when(F.col("n_shingles") > 0, F.col("row") == F.col("head")).otherwise(F.lit(True)).alias("kept"))
