@@ -150,7 +150,8 @@ def _search_blocks(queries: DataFrame, subtrees: DataFrame, k: int, longest: flo
                             column.append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["query_id", "vec_id", "score"])
 
-    return gathered.join(subtrees, ["cell", "part"]).select("tree", "queries").mapInArrow(run, FOUND)
+    # Neither side has a bound that would allow a broadcast.
+    return gathered.join(subtrees.hint("merge"), ["cell", "part"]).select("tree", "queries").mapInArrow(run, FOUND)
 
 
 def _top(found: DataFrame, k: int) -> DataFrame:
