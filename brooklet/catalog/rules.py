@@ -200,7 +200,7 @@ def conditions_met(spark: SparkSession, sf: str) -> DataFrame:
     events = load(spark, sf, "events").select(
         "event_id", F.col("user_id").alias("guid"), "ts", "event_type",
         F.from_json("props", "map<string,string>").alias("properties"))
-    return rule_ops.match_conditions(events, conditions, "event_type", "ts", "properties")
+    return rule_ops.match_conditions(events, rule_ops.hinted(conditions, conditions.count()), "event_type", "ts", "properties")
 
 
 @query(f"SELECT rule_id, condition_id, event_id FROM ({FANOUT_SQL})")

@@ -119,6 +119,12 @@ CONDITION_LISTS = (
     " since: TIMESTAMP_NTZ, until: TIMESTAMP_NTZ, attributes: ARRAY<STRUCT<name: STRING, compare: STRING, value: STRING>>>>"
 )
 ANY_EVENT = ""
+#: Up to so many conditions or rules, which are counted here, their table goes to every task.
+HINTED_RULES = 50_000
+
+
+def hinted(table: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(table) if rows <= HINTED_RULES else table
 
 
 def condition_lists(spark: SparkSession, rules: list[Rule]) -> DataFrame:
@@ -169,7 +175,7 @@ def fan_out(events: DataFrame, rules: list[Rule], columns: EventColumns, order:
         inside = (c["since"].isNull() | (time >= c["since"])) & (c["until"].isNull() | (time <= c["until"]))
         return F.coalesce(inside, F.lit(False)) & attributes_hold(c["attributes"], F.col("_properties"))
 
-    met = rows.join(condition_lists(events.sparkSession, rules), "on_event").select(
+    met = rows.join(hinted(condition_lists(events.sparkSession, rules), len(specs)), "on_event").select(
         "guid", "match_time", *unique, F.filter("conditions", holds).alias("_met"))
     spread = met.select("*", F.explode(F.array_distinct(F.transform("_met", lambda c: c["rule_id"]))).alias("rule_id"))
     mine = spread.withColumn("_mine", F.filter("_met", lambda c: c["rule_id"] == F.col("rule_id")))
@@ -274,7 +280,7 @@ def verdicts(progress: DataFrame, rules: list[Rule]) -> DataFrame:
     facts = progress.sparkSession.createDataFrame(
         [(r.rule_id, shapes.index(_shape(r)), [s.event_count for s in r.counts], r.sequence_count, r.max_matches) for r in rules],
         "rule_id STRING, _shape INT, _least ARRAY<BIGINT>, _sequences BIGINT, _cap BIGINT")
-    rows = progress.where("is_trigger").join(facts, "rule_id")
+    rows = progress.where("is_trigger").join(hinted(facts, len(rules)), "rule_id")
     rows = rows.withColumns({f"_r{i}": F.coalesce(F.col(f"count_{i}") >= F.get("_least", F.lit(i)), F.lit(False)) for i in range(size)})
     results = {f"_r{i}": f"_r{i}" for i in range(size)}
     counted, verdict = None, None
