@@ -1,9 +1,11 @@
 """Main text of web pages by composite text density (Sun, Song and Liao, 2011).
 
 Every node of a page's tree gets a density: its characters per tag, adjusted for links. The
-densities of a node's children are summed; the subtree with the largest sum, reached by nodes whose
-own density passes a threshold taken from the path to the body, is the article. Parts of it that
-are markup by nature (menus, forms, notices, comments of readers ...) are cut out before.
+densities of a node's children are summed; the subtree with the largest sum is the article's core,
+and the least density on its path to the body is a threshold. An ``article`` or ``main`` around the
+core bounds the text; without one, what stands around the core belongs to the text as well, except
+lists of links that do not reach the threshold. Parts that are markup by nature (menus, forms,
+notices, comments of readers ...) are cut out before.
 """
 
 from __future__ import annotations
@@ -51,18 +53,20 @@ BESIDE = set(
     "footer masthead header topbar toolbar cookie cookies consent gdpr notice notification alert popup modal overlay dialog "
     "newsletter subscribe subscription signup login share sharing social comment comments commentlist disqus discussion reply replies "
     "respond search pagination pager copyright legal disclaimer hidden contentinfo complementary".split())
+#: So many links may be a list of links.
+LINKS = 3
 WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "beside", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "parent", "children", "beside", "chars", "tags", "link_chars", "link_tags", "density", "sum", "peak")
 
     def __init__(self, tag: str, parent: Node | None, beside: bool = False) -> None:
         self.tag, self.parent, self.beside = tag, parent, beside
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
-        self.density = self.sum = 0.0
+        self.density = self.sum = self.peak = 0.0
 
 
 def names_beside(attributes: str) -> bool:
@@ -165,36 +169,79 @@ def measure(order: list[Node]) -> None:
             base = math.log(node.chars / max(1, node.chars - node.link_chars) * node.link_chars + share * node.chars + math.e)
             ratio = node.chars / links * tags / max(1, node.link_tags)
             node.density = node.chars / tags * math.log(max(1.0, ratio)) / (math.log(base) if share else 1.0)
-        node.sum = sum(c.density for c in node.children if isinstance(c, Node) and not c.beside)
+        below = [c for c in node.children if isinstance(c, Node) and not c.beside]
+        node.sum = sum(c.density for c in below)
+        node.peak = max([node.density, *(c.peak for c in below)])
 
 
 def body_of(order: list[Node]) -> Node:
     return next((n for n in order if n.tag == "body"), order[0])
 
 
-def article(order: list[Node]) -> Node:
-    """The subtree with the largest sum of densities, among nodes that pass the threshold: the
-    least density on the path from that subtree to the body."""
+def article(order: list[Node]) -> tuple[Node, float]:
+    """The subtree with the largest sum of densities, and the least density on its path to the body."""
     body = body_of(order)
     inside = order[order.index(body):] if body is not order[0] else order
     best = max(inside, key=lambda n: n.sum)
     threshold, node = best.density, best
     while node is not None and node is not body.parent:
         threshold, node = min(threshold, node.density), node.parent
-    return max((n for n in inside if n.density >= threshold), key=lambda n: n.sum, default=best)
+    return best, threshold
 
 
-def whole(node: Node) -> Node:
-    """The element that bounds the article: an ``article`` or ``main`` around the subtree, or what
-    holds it if it is no more than a paragraph, heading or list."""
+def lists_links(nodes: list[Node | str]) -> bool:
+    """Whether neighbours are a list of links: three or more, with most of the characters."""
+    inside = [n for n in nodes if isinstance(n, Node) and not n.beside]
+    links, chars = sum(n.link_chars for n in inside), sum(n.chars for n in inside)
+    chars += sum(len("".join(n.split())) for n in nodes if isinstance(n, str))
+    return sum(n.link_tags for n in inside) >= LINKS and 2 * links > chars
+
+
+def drop_link_lists(found: Node, threshold: float) -> None:
+    """Take lists of links from around ``found``, up to the root.
+
+    What is beside its path stays, headings and thinner sections too, unless it is a list of links
+    below the threshold. One that holds something denser is gone through in the same way.
+    """
+    path, at = {found}, found.parent
+    while at is not None:
+        path.add(at)
+        at = at.parent
+    stack = [n for n in path if n is not found]
+    while stack:
+        node = stack.pop()
+        kept: list[Node | str] = []
+        run: list[Node | str] = []  # Neighbours in one line of text are one part.
+        for child in [*node.children, None]:
+            if isinstance(child, str) or child is not None and child.tag in INLINE and child not in path:
+                run.append(child)
+                continue
+            if not lists_links(run):
+                kept += run
+            run = []
+            if child is None:
+                break
+            if child not in path and not child.beside and child.density < threshold:
+                if child.peak >= threshold:
+                    stack.append(child)
+                elif lists_links([child]):
+                    continue
+            kept.append(child)
+        node.children = kept
+
+
+def whole(node: Node, threshold: float) -> Node:
+    """The element whose text is the article's: an ``article`` or ``main`` around the subtree, or else
+    the whole page without lists of links around what holds the subtree."""
     found, at = node, node
     while at is not None:
         if at.tag in ("article", "main"):
             return at
-        at = at.parent
+        root, at = at, at.parent
     while (found.tag in INLINE or found.tag in PARTS) and found.parent is not None:
         found = found.parent
-    return found
+    drop_link_lists(found, threshold)
+    return root
 
 
 def blocks(node: Node) -> Iterator[str]:
@@ -232,14 +279,15 @@ def main_text(html: str) -> str:
     root = parse(html)
     order = walk(root)
     measure(order)
-    return "\n".join(blocks(whole(article(order))))
+    return "\n".join(blocks(whole(*article(order))))
 
 
 def extract(pages: DataFrame, id_column: str = "page_id", html_column: str = "html", keep: tuple[str, ...] = ("url",)) -> DataFrame:
     """``page_id``, the columns ``keep``, ``text`` and ``n_chars`` (code points) for each page.
 
-    The text is that of the densest subtree without menus, headers and footers of the site, side
-    bars, notices, adverts, forms, scripts, styles and comments of readers. Character references
+    The text is that of the ``article`` or ``main`` around the densest subtree, or of the page if there
+    is none, without menus, headers and footers of the site, side bars, notices, adverts, forms,
+    scripts, styles and comments of readers. Character references
     are decoded, white space within a block becomes one space, blocks are joined by newlines in
     page order. Nothing else is dropped. A null page counts as empty; a page without text gives
     an empty text; rows that repeat are read each for itself; other columns play no part.

@@ -28,6 +28,20 @@ def test_articles_among_other_parts(page):
     assert html_text.main_text(page) == TEXT
 
 
+def test_all_sections_of_a_page_without_article_or_main():
+    first, second = [f"{i} one " + "first " * 16 for i in range(10)], [f"{i} two " + "other " * 16 for i in range(8)]
+    title, lead = "A title outside the sections", "A lead with <a href=x>a link</a>."
+    sections = "".join(f"<div>{''.join(f'<p>{t}</p>' for t in part)}</div>" for part in (first, second))
+    content = f"<div class=content><h1><a href=y>{title}</a></h1><p>{lead}</p>{sections}</div>"
+    links = "".join(f"<a href='/{i}'>Entry {i}</a> | " for i in range(9))
+    want = "\n".join([title, "A lead with a link.", *(t.strip() for t in first + second)])
+    assert html_text.main_text(content) == want
+    assert html_text.main_text(f"<html><body><div>{MENU}</div>{links}{content}<div><p>{links}</p></div></body></html>") == want
+    # A wrapper that is mostly links, with a dense section in it.
+    mixed = f"<div>{MENU * 30}<div>{'<p>' + 'dense ' * 30 + '</p>'}</div></div>"
+    assert html_text.main_text(f"<body>{content}{mixed}</body>") == want + "\n" + ("dense " * 30).strip()
+
+
 def test_characters_and_white_space():
     page = "<article><p>&lt;b&gt; &eacute;&#233;&#x1F44D; a \t b</p><ul><li>one<li>two</ul><table><tr><td>c<td>d</table><pre> x\n  y </pre></article>"
     assert html_text.main_text(page) == "<b> éé👍 a b\none\ntwo\nc\nd\nx y"
