@@ -5,7 +5,7 @@ densities of a node's children are summed; the subtree with the largest sum is t
 and the least density on its path to the body is a threshold. An ``article`` or ``main`` around the
 core bounds the text; without one, what stands around the core belongs to the text as well, except
 lists of links that do not reach the threshold. Parts that are markup by nature (menus, forms,
-notices, comments of readers ...) are cut out before.
+notices, comments of readers ...) are cut out before, unless they hold most of the page.
 """
 
 from __future__ import annotations
@@ -33,8 +33,10 @@ INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr img br".split())
 NEVER = set(
-    "head script style noscript template iframe object embed svg math canvas audio video map form button input select "
-    "option textarea fieldset nav aside footer menu dialog title link meta".split())
+    "head script style noscript template iframe object embed svg math canvas audio video map button input select "
+    "option textarea nav aside footer menu dialog title link meta".split())
+#: Parts beside the article, unless they hold most of the page's text.
+FORMS = {"form", "fieldset"}
 CLOSED_BY = {
     "p": set("address article aside blockquote center details div dl dt dd fieldset figure figcaption footer form h1 h2 h3 h4 h5 h6 "
              "header hr li main nav ol p pre section table tbody td th tr ul body".split()),
@@ -46,7 +48,8 @@ PARTS = set("p blockquote pre h1 h2 h3 h4 h5 h6 li ul ol dl dt dd figure figcapt
 #: An element of these stops the search for one to close.
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}}
 
-# Words of class, id and role that name a part beside the article; compared with whole words.
+# Words that name a part beside the article. A token of class, id or role does so if it has one of
+# them and no others but those that say where the part is or what it looks like.
 BESIDE = set(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion "
     "nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar aside rail widget related recommended recommendations "
@@ -56,31 +59,49 @@ BESIDE = set(
 #: So many links may be a list of links.
 LINKS = 3
 WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
+PLACES = set(
+    "site global main primary secondary top bottom left right inner outer container wrapper wrap area box list section block bar "
+    "item items link links button buttons icon icons form panel unit slot google gpt div widgets posts articles stories news products".split())
+#: These may be the site's or the article's own: a title stands in a page's or article's header.
+HEADERS = {"header", "masthead"}
+OWNERS = set("page post entry article blog user users reader readers customer".split())
+COMMENTS = set("comment comments commentlist disqus discussion reply replies respond".split())
 SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "beside", "chars", "tags", "link_chars", "link_tags", "density", "sum", "peak")
+    __slots__ = ("tag", "parent", "children", "beside", "named", "own", "articles", "bodies", "chars", "tags", "link_chars", "link_tags", "density", "sum", "peak")
 
-    def __init__(self, tag: str, parent: Node | None, beside: bool = False) -> None:
-        self.tag, self.parent, self.beside = tag, parent, beside
+    def __init__(self, tag: str, parent: Node | None, beside: bool = False, named: str = "") -> None:
+        self.tag, self.parent, self.beside, self.named = tag, parent, beside, named
         self.children: list[Node | str] = []
-        self.chars = self.tags = self.link_chars = self.link_tags = 0
+        self.own = self.articles = self.bodies = self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = self.peak = 0.0
 
 
-def names_beside(attributes: str) -> bool:
-    """Whether class, id or role name a part beside the article, or the element is hidden."""
+def kind_of(token: str) -> str:
+    """The kind of part that a token of class, id or role names: ``header``, ``comments``, ``other`` or none."""
+    words = [w.lower() for w in WORDS.findall(token)]
+    named = {w for w in words if w in BESIDE}
+    rest = {w for w in words if w not in BESIDE and w not in PLACES and not w.isdigit()}
+    if not named or rest and (named & HEADERS or not rest <= OWNERS):
+        return ""
+    return "header" if named & HEADERS else "comments" if named & COMMENTS else "other"
+
+
+def names_beside(attributes: str) -> str:
+    """The kind of part beside the article that class, id and role name; ``other`` if the element is hidden."""
+    found = ""
     for name, value in ATTRIBUTE.findall(attributes):
         name = name.lower()
         if name in ("class", "id", "role") and value:
-            if any(w.lower() in BESIDE for w in WORDS.findall(unescape(value.strip("\"'")))):
-                return True
+            kinds = {kind_of(token) for token in unescape(value.strip("\"'")).split()}
+            found = max(found, *kinds, key=("", "header", "other", "comments").index) if kinds else found
         elif name == "hidden" or name == "aria-hidden" and "true" in value.lower():
-            return True
+            found = found or "other"
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
-            return True
-    return False
+            found = found or "other"
+    return found
 
 
 def parse(html: str) -> Node:
@@ -116,13 +137,17 @@ def parse(html: str) -> Node:
                 elif node.tag in SCOPE.get(tag, ()) or node.tag not in INLINE and node.tag not in CLOSED_BY:
                     break
                 node = node.parent
-            beside = tag in NEVER or bool(attributes.strip()) and names_beside(attributes)
-            if tag == "header":  # Of the site, unless it is an article's.
+            named = names_beside(attributes) if attributes.strip() else ""
+            if tag == "header" and not named:
+                named = "header"
+            if named == "header":  # Of the site, unless it is an article's.
                 at_header = here
                 while at_header is not None and at_header.tag not in ("article", "main"):
                     at_header = at_header.parent
-                beside = beside or at_header is None
-            node = Node(tag, here, beside)
+                named = named if at_header is None else ""
+            if tag in FORMS:
+                named = named or "other"
+            node = Node(tag, here, tag in NEVER, "" if tag in ("html", "body", "main") else named)
             here.children.append(node)
             if tag in RAW:
                 close = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.IGNORECASE).search(html, at)
@@ -134,6 +159,45 @@ def parse(html: str) -> Node:
 
 def walk(root: Node) -> list[Node]:
     """Nodes, parents before children; parts beside the article are left out."""
+    order = _visible(root)
+    if any(n.named for n in order):
+        set_aside(order)
+        order = _visible(root)
+    return order
+
+
+def set_aside(order: list[Node]) -> None:
+    """Which of the elements that are beside the article by their names or as forms are so indeed.
+
+    None that holds the body, a ``main`` or all articles, and none that holds most of the page's
+    characters with no article beside it; there density decides. Comments may be in ``article``
+    elements of their own, and many: they stay only if they hold most characters and no article
+    is outside them.
+    """
+    for node in reversed(order):
+        node.articles = int(node.tag in ("article", "main") and node.named != "comments")
+        node.bodies = int(node.tag in ("body", "main"))
+        node.own = sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
+        for child in node.children:
+            if isinstance(child, Node) and not child.beside:
+                node.own += child.own
+                node.articles += child.articles
+                node.bodies += child.bodies
+    around = {order[0]: 0}
+    for node in order:
+        if node.parent is not None:
+            around[node] = around[node.parent] + (node.parent.tag in ("article", "main"))
+        if node.named:
+            outside = order[0].articles - node.articles
+            most = 2 * node.own > order[0].own
+            if node.named == "comments":
+                stays = node.bodies or most and not outside
+            else:
+                stays = node.bodies or node.tag == "article" or node.articles and not outside or most and outside <= around[node]
+            node.beside = not stays
+
+
+def _visible(root: Node) -> list[Node]:
     order, stack = [], [root]
     while stack:
         node = stack.pop()
@@ -201,7 +265,7 @@ def drop_link_lists(found: Node, threshold: float) -> None:
     """Take lists of links from around ``found``, up to the root.
 
     What is beside its path stays, headings and thinner sections too, unless it is a list of links
-    below the threshold. One that holds something denser is gone through in the same way.
+    below the threshold, or a part there that is beside the article by its name. One that holds something denser is gone through in the same way.
     """
     path, at = {found}, found.parent
     while at is not None:
@@ -224,7 +288,7 @@ def drop_link_lists(found: Node, threshold: float) -> None:
             if child not in path and not child.beside and child.density < threshold:
                 if child.peak >= threshold:
                     stack.append(child)
-                elif lists_links([child]):
+                elif child.named or lists_links([child]):
                     continue
             kept.append(child)
         node.children = kept

@@ -42,6 +42,24 @@ def test_all_sections_of_a_page_without_article_or_main():
     assert html_text.main_text(f"<body>{content}{mixed}</body>") == want + "\n" + ("dense " * 30).strip()
 
 
+@pytest.mark.parametrize("page", [
+    *(f"<body class='{c}'><nav>{MENU}</nav><div class=content>{ARTICLE}</div></body>" for c in ("no-sidebar", "nav", "has-header with-comments")),
+    *(f"<body><div class='{c}'><article class='post {c}'>{ARTICLE}</article></div></body>" for c in (
+        "overflow-hidden", "no-sidebar", "has-header", "with-comments", "content-related", "notice", "hidden")),
+    *(f"<html id=pageHeader><main class='widget modal'>{ARTICLE}</main></html>" for _ in range(1)),
+    f"<div class='content'><div class='article-header' id=pageHeader>{ARTICLE.replace('</h1>', '</h1></div>')}</div>",
+    f"<article><div class=header>{ARTICLE.replace('</h1>', '</h1></div>')}</article>",
+    f"<body><form action=x><input name=state><div class=menu>{MENU}</div><div>{ARTICLE}</p></div><form>Name</form></form></body>",
+    f"<body><form action=x><div id=main>{ARTICLE}</p></div><fieldset>Your name</fieldset></form></body>",
+    f"<article>{ARTICLE}</p></article><ol class=comment-list><li><article class=comment>{'<p>A reader has more to say. ' * 30}</article></ol>",
+    f"<article>{ARTICLE}</p></article><div class=ad>{'<p>Buy now and never stop buying. ' * 30}</div>",
+    f"<article><form>{ARTICLE}</p></form></article><article class=comment>A reader</article>",
+    f"<div class=content>{ARTICLE}</p></div><div id='user-comments'><article>A reader</article></div><div class='site-header'>The site</div>",
+])
+def test_names_cut_no_more_than_their_parts(page):
+    assert html_text.main_text(page) == TEXT
+
+
 def test_characters_and_white_space():
     page = "<article><p>&lt;b&gt; &eacute;&#233;&#x1F44D; a \t b</p><ul><li>one<li>two</ul><table><tr><td>c<td>d</table><pre> x\n  y </pre></article>"
     assert html_text.main_text(page) == "<b> éé👍 a b\none\ntwo\nc\nd\nx y"
