@@ -234,14 +234,17 @@ def running_argmin(df: DataFrame, keys: list[str], order: list[str], by: str) ->
         if state.exists:  # The least row so far goes ahead of the new ones.
             rows = pd.concat([pd.DataFrame([state.get], columns=tracked).astype(rows.dtypes.to_dict(), errors="ignore"), rows], ignore_index=True)
         value = rows[by]
-        before = value.cummin().shift()
+        before = value.cummin().ffill().shift()  # cummin is null at a null.
         # A row takes over if it is less than all before it, or the first that is not null.
         less = value.notna() & (before.isna() | (value < before))
         less.iloc[0] = True
         places = np.maximum.accumulate(np.where(less, np.arange(len(rows)), 0))
         least = rows.iloc[places[len(rows) - len(batch):]].reset_index(drop=True)
-        last = least.iloc[-1]
-        state.update(tuple(None if pd.isna(last[c]) else last[c].item() if hasattr(last[c], "item") else last[c] for c in tracked))
+        # Column by column: a row of numbers alone would be of one type, and the state drops what is not of its own.
+        last = [least[c].iloc[-1] for c in tracked]
+        state.update(tuple(
+            None if pd.isna(v) else int(v) if isinstance(f.dataType, T.IntegralType) else v.item() if hasattr(v, "item") else v
+            for v, f in zip(last, fields)))
         least.columns = names
         yield pd.concat([batch.reset_index(drop=True), least], axis=1)
 

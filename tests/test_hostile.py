@@ -68,6 +68,17 @@ def test_null_is_greater_than_any_minimum(spark, tmp_path):
     assert {r["id"]: r["least_id"] for r in live.collect()} == rolled
 
 
+@pytest.mark.parametrize("files", [1, 2])
+def test_a_null_between_values_is_no_new_minimum(spark, tmp_path, files):
+    rows = [(1, 1, 1.0), (1, 2, None), (1, 3, 5.0), (1, 4, 7.0), (2, 5, None), (2, 6, None), (2, 7, 3.0), (2, 8, 4.0)]
+    parts = [rows] if files == 1 else [[r for r in rows if r[1] in (1, 2, 5)], [r for r in rows if r[1] not in (1, 2, 5)]]
+    for n, part in enumerate(parts):
+        spark.createDataFrame(part, "k int, id long, v double").coalesce(1).write.parquet(str(tmp_path / "in" / f"p{n}"))
+    arriving = spark.readStream.schema("k int, id long, v double").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/*"))
+    live = runner.run_to_table(spark, stateful.running_argmin(arriving, ["k"], ["id"], "v"), "argmin-nulls")
+    assert {r["id"]: r["least_id"] for r in live.collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5, 6: 5, 7: 7, 8: 7}
+
+
 def test_first_visits_of_old_days_are_kept(spark, tmp_path):
     rows = spark.createDataFrame(
         [(1, "2024-03-08 10:00:00"), (2, "2024-03-08 11:00:00"), (3, "2024-03-01 09:00:00"), (1, "2024-03-08 09:00:00"), (1, "2024-03-07 01:00:00")],
