@@ -51,14 +51,15 @@ class WordTokenizer:
         self.recent: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
-    def look_up(self, parts: list[str]) -> None:
-        """Ids of parts, found in one go: one text of all of them, cut after their last ids."""
+    def look_up(self, parts: list[str], whole: bool) -> None:
+        """Ids of parts, found in one go: one text of all of them, cut after their last ids. Parts that
+        are not surely ``whole`` may have none or several that end a word, and go by their places."""
         import numpy as np
 
         found = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
         ids = np.array(found.ids, dtype=self.kind)
-        cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) != len(parts):  # Some are cut further: go by their places.
+        cuts = np.flatnonzero(self.ends[ids]) + 1 if whole else ()
+        if len(cuts) != len(parts):  # Some are cut further, or not at all.
             places = np.array([begin for begin, _ in found.offsets], dtype=np.int64)
             cuts = np.searchsorted(places, np.cumsum(np.fromiter((len(t) + 1 for t in parts), np.int64, len(parts))))
         raw, begin = ids.tobytes(), 0
@@ -77,9 +78,9 @@ class WordTokenizer:
                     recent[part] = ids
                 else:
                     (plain if part.isalpha() or not part.strip(MARKS) else odd).append(part)
-        for group in (plain, odd):
+        for group, whole in ((plain, True), (odd, False)):
             for begin in range(0, len(group), LOOK_UP):
-                self.look_up(group[begin:begin + LOOK_UP])
+                self.look_up(group[begin:begin + LOOK_UP], whole)
         return [recent[part] for part in parts]
 
     def ids(self, texts):

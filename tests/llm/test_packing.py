@@ -75,6 +75,15 @@ def test_words_of_any_make(tokenizer):
             begin = end
 
 
+@pytest.mark.parametrize("texts", [["\xa0 12"], ["12 \u2003", "12", "\xa0 x 12"], ["\u200b1 \x85 34 12"]])
+def test_words_without_ids_beside_words_of_several(tokenizer, texts):
+    import pyarrow as pa
+
+    words = packing.WordTokenizer(tokenizer_definition())
+    for text in texts:
+        assert words.ids(pa.array([text]))[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_forgetting_changes_nothing(frame, hostile, monkeypatch):
     definition = tokenizer_definition()
     want = packing.pack(frame(hostile), definition, 100).drop("ids").collect()
