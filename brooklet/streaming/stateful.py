@@ -56,14 +56,12 @@ def correct_new_flag(df: DataFrame, device: str, order: list[str], flag: str = "
     return decided.unionByName(others)
 
 
-def first_visits(
-    df: DataFrame, device: str, time: str, entry: Column, days_kept: int = 7
-) -> DataFrame:
+def first_visits(df: DataFrame, device: str, time: str, entry: Column) -> DataFrame:
     """First arriving entry page per device and day, the earliest of its micro-batch.
 
-    A device's state is the days it has been seen on, as far as they are at most ``days_kept``
-    behind its newest one. No row is dropped for being late: a day further back counts as new.
-    Of a device's rows only the first of each day are held.
+    A device's state is all days it has been seen on, one number each, so that a day counts once
+    however late and in however many micro-batches it comes. Of a device's rows only the first of
+    each day are held.
     """
     visits = df.where(entry).withColumn("visit_date", F.to_date(time))
 
@@ -76,8 +74,7 @@ def first_visits(
         numbers = [-1 if d is None or d != d else d.toordinal() for d in rows["visit_date"]]
         new = [n not in seen for n in numbers]
         seen.update(numbers)
-        newest = max(seen)
-        state.update((sorted(n for n in seen if n < 0 or n >= newest - days_kept),))
+        state.update((sorted(seen),))
         if any(new):
             yield rows[new]
 

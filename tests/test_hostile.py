@@ -91,6 +91,17 @@ def test_first_visits_of_old_days_are_kept(spark, tmp_path):
         (1, "2024-03-07"), (1, "2024-03-08"), (2, "2024-03-08"), (3, "2024-03-01")]
 
 
+def test_first_visits_out_of_time_order_count_once(spark, tmp_path):
+    days = ["2024-03-20", "2024-03-01", "2024-03-21", "2024-03-01", "2024-01-05", "2024-03-01", "2024-01-05"]
+    rows = spark.createDataFrame([(1, d) for d in days], "mid int, at string").select(
+        "mid", F.col("at").cast("timestamp").alias("at"), F.lit(None).cast("string").alias("last"))
+    for n, part in enumerate(rows.collect()):
+        spark.createDataFrame([part], rows.schema).write.parquet(str(tmp_path / "in" / f"p{n}"))
+    arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/*"))
+    first = runner.run_to_table(spark, stateful.first_visits(arriving, "mid", "at", visits.is_entry(F.col("last"))), "first-late")
+    assert sorted(str(r["visit_date"]) for r in first.collect()) == sorted(set(days))
+
+
 def test_sequences_of_more_than_64_steps(spark):
     hits = [[i == j for j in range(70)] for i in [64, 0, 1, 66]]
     rows = spark.createDataFrame([(1, n, h) for n, h in enumerate(hits)], "k int, id int, hits array<boolean>")
