@@ -24,18 +24,27 @@ def _like(rows: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def _carried(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``doc_id`` and ``text`` beside all columns of ``docs`` under names that no operator uses, and these names."""
+    names = {f"carried_{i}": c for i, c in enumerate(docs.columns)}
+    columns = [F.col(f"`{c}`").alias(n) for n, c in names.items()]
+    return docs.select("doc_id", "text", *columns), names
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject, unchanged."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    others = [c for c in docs.columns if c not in ("doc_id", "score")]
-    scored = quality.score(docs, labels, learn_from=~held_out(F.col("doc_id")), carry=others)
-    return scored.filter("score >= 0.5").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows, names = _carried(docs)
+    scored = quality.score(rows, labels, learn_from=~held_out(F.col("doc_id")), carry=list(names))
+    return scored.filter("score >= 0.5").select(*[F.col(n).alias(c) for n, c in names.items()])
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the long lines that five documents share; none is dropped."""
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    return _like(line_dedup.drop_shared_lines(docs, carry=others), docs)
+    rows, names = _carried(docs)
+    names = {n: c for n, c in names.items() if c != "text"}
+    kept = line_dedup.drop_shared_lines(rows, carry=list(names))
+    return _like(kept.select("text", *[F.col(n).alias(c) for n, c in names.items()]), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -83,3 +83,16 @@ def test_hostile_and_empty_documents(spark, sf, name):
     assert stage(spark, spark.createDataFrame([], schema), sf).count() == 0
     out = stage(spark, spark.createDataFrame(rows, schema), sf)
     assert out.count() >= (3 if name == "near_dedup" else 1 if name in ("quality", "mixing") else len(rows))
+
+
+def test_columns_with_the_operators_names_stay(spark, sf):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score string, n_lines string, n_dropped int"
+    docs = spark.createDataFrame(
+        [(i, f"some words of document {i}", "en", "a", 0, f"own {i}", f"lines {i}", i) for i in range(20)], schema)
+    out = docs
+    for name, stage in pipeline.STAGES[:-1]:
+        out = written(stage(spark, out, sf), f"clash-{name}")
+        assert out.schema.simpleString() == docs.schema.simpleString()
+        rows = out.collect()
+        assert all((r["score"], r["n_lines"], r["n_dropped"]) == (f"own {r['doc_id']}", f"lines {r['doc_id']}", r["doc_id"]) for r in rows), name
+        out = docs if name == "quality" else out  # Whatever its scores.
