@@ -38,7 +38,7 @@ SCALE = 1000
 MARGIN = 10.0
 #: How many sightings the shares of all states weigh against those after one state.
 BACK_OFF = 32
-SAMPLE_DOCS, SAMPLE_CHARS, DIGESTS = 4000, 256, 4
+DIGESTS = 4
 
 
 def _codes(token: Column) -> Column:
@@ -47,19 +47,14 @@ def _codes(token: Column) -> Column:
     return F.transform(chars, lambda c: F.instr(F.lit(ALPHABET), c))
 
 
-def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, id_column: str = "doc_id", text_column: str = "text") -> list[int]:
+def train(docs: DataFrame, text_column: str = "text") -> list[int]:
     """``STATES`` x ``STATES`` log-likelihood ratios, in thousandths, of one character after another.
 
-    The labelled samples come from about ``sample_docs`` documents, chosen by a hash of id and text.
-    Random: the distinct values that the fixed patterns find there, and ``DIGESTS`` digests of each
-    document written in hex and in base 64. Ordinary: the other tokens of four characters or more. A sample
-    is its first ``SAMPLE_CHARS`` characters, so that none outweighs the rest. The driver gets one row per label and pair of states, at most.
+    The labelled samples come from all documents. Random: the distinct values that the fixed patterns
+    find there, and ``DIGESTS`` digests of each document written in hex and in base 64. Ordinary: the
+    other tokens of four characters or more. The driver gets one row per label and pair of states, at most.
     """
-    text = text_or_empty(F.col(f"`{text_column}`"))
-    total = docs.count()
-    share = min(1.0, sample_docs / max(1, total))
-    drawn = F.pmod(F.xxhash64(F.lit(5), F.col(f"`{id_column}`"), text), F.lit(1 << 20))
-    chosen = docs.filter(drawn < F.lit(math.ceil(share * (1 << 20)))).select(text.alias("text"))
+    chosen = docs.select(text_or_empty(F.col(f"`{text_column}`")).alias("text"))
     digests = [F.sha2(F.concat(F.lit(str(i)), "text").cast("binary"), 512) for i in range(DIGESTS)]
     found = [F.regexp_extract_all("text", F.lit(p), F.lit(2 if k == "assign" else 0)) for k, p in PATTERNS.items()]
     rest = F.col("text")
@@ -68,7 +63,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, id_column: str = "doc
     labelled = chosen.select(F.explode(F.concat(
         F.transform(F.concat(*found, F.array(*digests, *[F.base64(F.unhex(d)) for d in digests])), lambda t: F.struct(F.lit(True).alias("random"), t.alias("token"))),
         F.transform(F.regexp_extract_all(rest, F.lit(WORD_TOKEN), F.lit(0)), lambda t: F.struct(F.lit(False).alias("random"), t.alias("token"))),
-    )).alias("sample")).select("sample.random", F.substring("sample.token", 1, SAMPLE_CHARS).alias("token"))
+    )).alias("sample")).select("sample.random", "sample.token")
     # A value that many documents repeat is one sample of random strings; ordinary words count as often as they come.
     labelled = labelled.groupBy("random", "token").agg(F.count(F.lit(1)).alias("times")).withColumn(
         "times", F.when(F.col("random"), F.lit(1).cast("long")).otherwise(F.col("times")))

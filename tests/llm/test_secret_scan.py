@@ -59,6 +59,12 @@ def test_ratio_equals_a_plain_walk(spark, frame):
     assert plain(secret) > 10_000 > 0 > plain("internationalization")
 
 
+def test_models_count_whole_tokens(frame):
+    model = secret_scan.train(frame([(i, "a" * 260 + "qz" * 200) for i in range(40)]))
+    q, z = (secret_scan.ALPHABET.find(c) + 1 for c in "qz")
+    assert model[q * secret_scan.STATES + z] < -1000
+
+
 def test_query_on_its_whole_table(spark, sf, database):
     rows = {r["doc_id"]: r for r in QUERIES["op8_secret_scan"](spark, sf).collect()}
     given = database.execute("SELECT doc_id, text FROM documents").fetchall()
