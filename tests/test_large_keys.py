@@ -5,7 +5,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from brooklet.catalog import rules as rule_queries
+from brooklet.catalog import blocks, rules as rule_queries
 from brooklet.functions.predicates import event_flag
 from brooklet.operators import joins, lateness, rules, sequences, visits, windows
 from brooklet.tables import load
@@ -163,3 +163,7 @@ def test_new_user_flag(events):
     assert flagged.count() == claims.count()
     kept = flagged.where("is_new = '1'").groupBy("user_id").count().where("count <> 1").count()
     assert kept == 0
+
+
+def test_block_queries_make_no_more_blocks_for_more_rows(spark):
+    assert [blocks.block_rows(spark.range(n)) for n in (0, 1_000, 100_000, 5_000_000)] == [100, 100, 100, 5_000]
