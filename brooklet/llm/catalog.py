@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.llm import exact_dedup, html_text, line_dedup, metric_tree, mixing, near_dedup, packing, quality, secret_scan, sharding
+from brooklet.llm import exact_dedup, html_text, lexical, line_dedup, metric_tree, mixing, near_dedup, packing, quality, secret_scan, sharding
 from brooklet.llm.common import digest, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -164,3 +164,23 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 def op7_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twenty nearest vectors of every twentieth vector, by inner product."""
     return metric_tree.top_k(table(spark, sf_dir, "embeddings"), k=20, every=20, factor=64)
+
+
+@query("""
+WITH t AS (SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM documents WHERE text IS NOT NULL),
+     d AS (SELECT *, len(terms) AS n FROM t WHERE len(terms) > 0),
+     a AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM d),
+     e AS (SELECT row, doc_id, n, unnest(terms) AS term FROM d),
+     c AS (SELECT row, doc_id, n, term, count(*) AS tf FROM e GROUP BY ALL),
+     w AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM c, a GROUP BY term, docs),
+     q AS (SELECT item_id, row_number() OVER () AS item, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark WHERE text IS NOT NULL),
+     s AS (SELECT item, item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total))))::BIGINT AS score
+           FROM q JOIN c USING (term) JOIN w USING (term), a GROUP BY ALL),
+     r AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id)::INTEGER AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+""")
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
