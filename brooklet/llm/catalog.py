@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.llm import exact_dedup, html_text, lexical, line_dedup, metric_tree, mixing, near_dedup, packing, quality, secret_scan, sharding
+from brooklet.llm import collocations, exact_dedup, html_text, lexical, line_dedup, metric_tree, mixing, near_dedup, packing, quality, secret_scan, sharding, substring_dedup
 from brooklet.llm.common import digest, text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -184,3 +184,44 @@ SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
 def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of every benchmark item."""
     return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+@query("""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+     w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM p),
+     i AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS pos FROM w),
+     f AS MATERIALIZED (SELECT lang, size, array_to_string(words[pos:pos + size - 1], ' ') AS phrase, words[pos:pos + size - 1] AS parts, count(*) AS f
+           FROM i, range(1, 4) s(size) WHERE pos + size - 1 <= len(words) GROUP BY ALL),
+     n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+     c AS (SELECT * FROM f WHERE size >= 2 AND f >= 10),
+     h AS (SELECT c.*, k, array_to_string(parts[:k], ' ') AS first, array_to_string(parts[k + 1:], ' ') AS rest FROM c, range(1, 3) t(k) WHERE k < size),
+     k AS (SELECT h.*, a.f AS l, b.f AS r, (1000000::HUGEINT * h.f * h.f // (a.f::HUGEINT * b.f))::BIGINT AS score
+           FROM h JOIN f a ON a.lang = h.lang AND a.phrase = h.first JOIN f b ON b.lang = h.lang AND b.phrase = h.rest),
+     s AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+     g AS (SELECT lang, array_to_string(parts[x:x + 1], ' ') AS phrase, max(f) AS longer FROM c, range(1, 3) t(x) WHERE size = 3 GROUP BY ALL),
+     r AS (SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, f DESC, s.phrase) AS rank
+           FROM s LEFT JOIN g ON g.lang = s.lang AND g.phrase = s.phrase AND s.size = 2
+           WHERE longer IS NULL OR 100 * longer < 50 * f)
+SELECT lang, rank, phrase, f AS a, l, r, n, score FROM r JOIN n USING (lang) WHERE rank <= 2000
+""")
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 phrases of each language whose words keep together most."""
+    return collocations.mine_phrases(table(spark, sf_dir, "documents"), longest=3, least=10, share=50, top=2000)
+
+
+@query("""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+     p AS (SELECT doc_id, unnest(range(1, len(words) + 1)) AS pos, words FROM d),
+     w AS (SELECT doc_id, pos, words[pos] AS word,
+                  CASE WHEN pos + 19 <= len(words) THEN array_to_string(words[pos:pos + 19], ' ') END AS win FROM p),
+     f AS (SELECT *, win IS NOT NULL AND row_number() OVER (PARTITION BY win ORDER BY doc_id, pos) > 1 AS again FROM w),
+     c AS (SELECT *, bool_or(again) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM f)
+SELECT d.doc_id, count(pos) AS n_words, count(*) FILTER (gone) AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM d LEFT JOIN c ON c.doc_id = d.doc_id GROUP BY d.doc_id
+""")
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages that stand earlier."""
+    kept = substring_dedup.drop_repeated_passages(table(spark, sf_dir, "documents"), size=20)
+    return kept.select("doc_id", "n_words", "n_removed", digest(F.col("text")).alias("kept_sha256"))
