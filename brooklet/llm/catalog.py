@@ -189,15 +189,17 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 WITH p AS (SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(regexp_split_to_array(translate(coalesce(text, ''),
                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
-     w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM p),
-     i AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS pos FROM w),
-     f AS MATERIALIZED (SELECT lang, size, array_to_string(words[pos:pos + size - 1], ' ') AS phrase, words[pos:pos + size - 1] AS parts, count(*) AS f
-           FROM i, range(1, 4) s(size) WHERE pos + size - 1 <= len(words) GROUP BY ALL),
+     q AS (SELECT lang, row_number() OVER () AS piece, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM p),
+     u AS (SELECT lang, piece, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM q),
+     w AS (SELECT lang, word AS x, lead(word, 1) OVER v AS y, lead(word, 2) OVER v AS z FROM u WINDOW v AS (PARTITION BY piece ORDER BY pos)),
+     f AS MATERIALIZED (SELECT lang, 1 AS size, [x] AS parts, count(*) AS f FROM w GROUP BY lang, x
+           UNION ALL SELECT lang, 2, [x, y], count(*) FROM w WHERE y IS NOT NULL GROUP BY lang, x, y
+           UNION ALL SELECT lang, 3, [x, y, z], count(*) FROM w WHERE z IS NOT NULL GROUP BY lang, x, y, z HAVING count(*) >= 10),
      n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
      c AS (SELECT * FROM f WHERE size >= 2 AND f >= 10),
-     h AS (SELECT c.*, k, array_to_string(parts[:k], ' ') AS first, array_to_string(parts[k + 1:], ' ') AS rest FROM c, range(1, 3) t(k) WHERE k < size),
+     h AS (SELECT c.*, array_to_string(parts, ' ') AS phrase, k, parts[:k] AS first, parts[k + 1:] AS rest FROM c, range(1, 3) t(k) WHERE k < size),
      k AS (SELECT h.*, a.f AS l, b.f AS r, (1000000::HUGEINT * h.f * h.f // (a.f::HUGEINT * b.f))::BIGINT AS score
-           FROM h JOIN f a ON a.lang = h.lang AND a.phrase = h.first JOIN f b ON b.lang = h.lang AND b.phrase = h.rest),
+           FROM h JOIN f a ON a.lang = h.lang AND a.parts = h.first JOIN f b ON b.lang = h.lang AND b.parts = h.rest),
      s AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
      g AS (SELECT lang, array_to_string(parts[x:x + 1], ' ') AS phrase, max(f) AS longer FROM c, range(1, 3) t(x) WHERE size = 3 GROUP BY ALL),
      r AS (SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, f DESC, s.phrase) AS rank
@@ -212,9 +214,9 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
-     p AS (SELECT doc_id, unnest(range(1, len(words) + 1)) AS pos, words FROM d),
-     w AS (SELECT doc_id, pos, words[pos] AS word,
-                  CASE WHEN pos + 19 <= len(words) THEN array_to_string(words[pos:pos + 19], ' ') END AS win FROM p),
+     p AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM d),
+     w AS (SELECT *, CASE WHEN count(*) OVER v = 20 THEN string_agg(word, ' ') OVER v END AS win
+           FROM p WINDOW v AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
      f AS (SELECT *, win IS NOT NULL AND row_number() OVER (PARTITION BY win ORDER BY doc_id, pos) > 1 AS again FROM w),
      c AS (SELECT *, bool_or(again) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM f)
 SELECT d.doc_id, count(pos) AS n_words, count(*) FILTER (gone) AS n_removed,
