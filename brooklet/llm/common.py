@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,18 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_end(spark: SparkSession) -> Iterator[None]:
+    """What is run in here leaves no shuffle files: for tables that are written down, and then read instead."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Python tasks get at most so many rows at once, as texts may be very long."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

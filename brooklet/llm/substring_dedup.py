@@ -16,18 +16,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brooklet.llm.bits import bit_table, marked
-from brooklet.llm.common import WHITE_CHARS, small_batches, written
+from brooklet.llm.common import WHITE_CHARS, shuffles_end, small_batches, written
 from brooklet.llm.words import hashes_of, kinds_of_bytes, mixed, slabs, split_words, valid_text
 
 KINDS = kinds_of_bytes(WHITE_CHARS.encode())
 #: Words of an anchor.
 ANCHOR = 8
 BASE = np.uint64(0x9E3779B97F4A7C15)
-PLACE = ("doc_id", "key", "start")
+#: Where a block or window stands: ``at`` is its start and, in the low bits, how many windows it has.
+PLACE = ("doc_id", "key", "at")
+LOW = 16
 
 
 def _inverse(x: int) -> int:
@@ -49,7 +51,7 @@ class Runs:
         self.back = np.multiply.accumulate(back)
 
     def of(self, begin: np.ndarray, length) -> np.ndarray:
-        return mixed((self.sums[begin + length] - self.sums[begin]) * self.back[begin] + np.uint64(1) * np.asarray(length, np.uint64))
+        return mixed((self.sums[begin + length] - self.sums[begin]) * self.back[begin] + np.asarray(length, np.uint64))
 
 
 class Blocks:
@@ -58,36 +60,36 @@ class Blocks:
     def __init__(self, texts, size: int, anchor: int) -> None:
         words = split_words(texts, KINDS, small=False)
         distinct, codes = words.encoded()
-        self.runs = Runs(hashes_of(distinct, 1)[codes]), Runs(hashes_of(distinct, 2)[codes])
+        self.runs = Runs(hashes_of(distinct)[codes])
         lengths = words.lengths()
         row = np.repeat(np.arange(len(lengths)), lengths)
         self.size, windows = size, max(len(row) - size + 1, 0)
-        grams = self.runs[0].of(np.arange(max(len(row) - anchor + 1, 0)), anchor)
-        best, at = grams[:windows].copy(), np.zeros(windows, np.int16)
-        for i in range(1, size - anchor + 1):
-            less = grams[i:i + windows] < best
-            best[less] = grams[i:i + windows][less]
-            at[less] = i
+        grams = self.runs.of(np.arange(max(len(row) - anchor + 1, 0)), anchor)
+        # The least hash of each window, with its place in the low bits, so that the first of equal ones counts.
+        low = np.uint64((1 << (size - anchor).bit_length()) - 1)
+        high, best = grams & ~low, np.full(windows, np.uint64(2**64 - 1))
+        for i in range(size - anchor + 1):
+            np.minimum(best, high[i:i + windows] | np.uint64(i), out=best)
         inside = np.flatnonzero(row[:windows] == row[size - 1:size - 1 + windows])  # Windows of one text.
-        anchors = inside + at[inside]
+        anchors = inside + (best[inside] & low).astype(np.int64)
         new = np.ones(len(inside), bool)
         new[1:] = (anchors[1:] != anchors[:-1]) | (inside[1:] != inside[:-1] + 1)
         first = np.flatnonzero(new)
         self.begin = inside[first]  # Of the block's text, among all words.
         self.windows = np.diff(np.append(first, len(inside)))
-        self.anchor = best[self.begin].view(np.int64)
+        self.anchor = grams[anchors[first]].view(np.int64)
         self.row = row[self.begin]
         self.start = self.begin - (words.ends - lengths)[self.row]
 
-    def texts(self) -> tuple[np.ndarray, np.ndarray]:
-        """128 bits of each block's text."""
-        return tuple(r.of(self.begin, self.windows + self.size - 1).view(np.int64) for r in self.runs)
+    def texts(self, here: np.ndarray) -> np.ndarray:
+        """Hashes of some blocks' texts."""
+        return self.runs.of(self.begin[here], self.windows[here] + self.size - 1).view(np.int64)
 
 
-def _places(table, blocks: Blocks) -> np.ndarray:
-    """Hashes of where blocks stand, for bit tables."""
-    ids, keys = (table.column(c).combine_chunks().fill_null(-1).to_numpy().view(np.uint64) for c in ("doc_id", "key"))
-    return mixed(mixed(ids * BASE + keys)[blocks.row] + blocks.start.astype(np.uint64)).view(np.int64)
+def _place_hashes(ids, keys, at: np.ndarray) -> np.ndarray:
+    """Hashes of where blocks stand, for bit tables, from Arrow arrays of ids and keys."""
+    ids, keys = (x.fill_null(-1).to_numpy(zero_copy_only=False).view(np.uint64) for x in (ids, keys))
+    return mixed(mixed(ids * BASE + keys) + at.astype(np.uint64)).view(np.int64)
 
 
 def _anchors(docs: DataFrame, size: int, anchor: int) -> DataFrame:
@@ -103,8 +105,8 @@ def _anchors(docs: DataFrame, size: int, anchor: int) -> DataFrame:
 
 
 def _blocks(docs: DataFrame, shared: DataFrame, size: int, anchor: int) -> DataFrame:
-    """Blocks with an anchor of ``shared``, and some others: ``doc_id``, ``key``, ``start`` (of the block in its
-    document), ``windows``, ``anchor``, ``a`` and ``b`` (128 bits of its text), ``place`` (a hash)."""
+    """Blocks with an anchor of ``shared``, and some others: ``doc_id``, ``key``, ``at``, ``anchor`` and ``a`` (a hash of
+    the text)."""
     wanted = docs.sparkSession.sparkContext.broadcast(bit_table(shared))
 
     def run(batches):
@@ -113,62 +115,91 @@ def _blocks(docs: DataFrame, shared: DataFrame, size: int, anchor: int) -> DataF
         for table in slabs(batches, "text"):
             blocks = Blocks(table.column("text").combine_chunks(), size, anchor)
             here = np.flatnonzero(marked(wanted.value, blocks.anchor))
-            a, b = blocks.texts()
-            at = pa.array(blocks.row[here])
+            row = pa.array(blocks.row[here])
             yield pa.RecordBatch.from_arrays([
-                table.column("doc_id").combine_chunks().take(at), table.column("key").combine_chunks().take(at),
-                *(pa.array(x[here].astype(np.int64)) for x in (blocks.start, blocks.windows, blocks.anchor, a, b, _places(table, blocks))),
-            ], names=["doc_id", "key", "start", "windows", "anchor", "a", "b", "place"])
+                table.column("doc_id").combine_chunks().take(row), table.column("key").combine_chunks().take(row),
+                pa.array(blocks.start[here] << LOW | blocks.windows[here]), pa.array(blocks.anchor[here]), pa.array(blocks.texts(here)),
+            ], names=["doc_id", "key", "at", "anchor", "a"])
 
-    return docs.mapInArrow(run, "doc_id long, key long, start long, windows long, anchor long, a long, b long, place long")
+    return docs.mapInArrow(run, "doc_id long, key long, at long, anchor long, a long")
 
 
 def _windows(docs: DataFrame, places: DataFrame, size: int, anchor: int) -> DataFrame:
-    """The windows of the blocks at ``places``, and of some others: ``doc_id``, ``key``, ``start``, ``a`` and ``b``."""
-    wanted = docs.sparkSession.sparkContext.broadcast(bit_table(places))
+    """The windows of the blocks at ``places`` (``PLACE``), and of some others, in the form of blocks."""
+
+    def hashed(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_place_hashes(batch.column(0), batch.column(1), batch.column(2).to_numpy()))], names=["hash"])
+
+    wanted = docs.sparkSession.sparkContext.broadcast(bit_table(places.select(*PLACE).mapInArrow(hashed, "hash long")))
 
     def run(batches):
         import pyarrow as pa
 
         for table in slabs(batches, "text"):
             blocks = Blocks(table.column("text").combine_chunks(), size, anchor)
-            here = np.flatnonzero(marked(wanted.value, _places(table, blocks)))
+            ids, keys = (table.column(c).combine_chunks().take(pa.array(blocks.row)) for c in ("doc_id", "key"))
+            here = np.flatnonzero(marked(wanted.value, _place_hashes(ids, keys, blocks.start << LOW | blocks.windows)))
             many = blocks.windows[here]
             step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
             begin, start = (np.repeat(x[here], many) + step for x in (blocks.begin, blocks.start))
-            at = pa.array(np.repeat(blocks.row[here], many))
+            at = pa.array(np.repeat(here, many))
             yield pa.RecordBatch.from_arrays([
-                table.column("doc_id").combine_chunks().take(at), table.column("key").combine_chunks().take(at), pa.array(start.astype(np.int64)),
-                *(pa.array(r.of(begin, size).view(np.int64)) for r in blocks.runs),
-            ], names=["doc_id", "key", "start", "a", "b"])
+                ids.take(at), keys.take(at), pa.array(start << LOW | 1), pa.array(np.repeat(blocks.anchor[here], many)),
+                pa.array(blocks.runs.of(begin, size).view(np.int64)),
+            ], names=["doc_id", "key", "at", "anchor", "a"])
+
+    return docs.mapInArrow(run, "doc_id long, key long, at long, anchor long, a long")
+
+
+def _repeated(windows: DataFrame) -> DataFrame:
+    """Windows whose hash occurs twice, and some others."""
+    with shuffles_end(windows.sparkSession):
+        twice = written(windows.groupBy(F.col("a").alias("hash")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash"), "repeated")
+    wanted = windows.sparkSession.sparkContext.broadcast(bit_table(twice))
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield batch.filter(pa.array(marked(wanted.value, batch.column(4).to_numpy())))
+
+    return windows.mapInArrow(run, windows.schema)
+
 
-    return docs.mapInArrow(run, "doc_id long, key long, start long, a long, b long")
+def _firsts(units: DataFrame) -> DataFrame:
+    """Each text of blocks or windows: where it stands first, and how often."""
+    return units.groupBy("anchor", "a").agg(F.min(F.struct(*PLACE)).alias("first"), F.count(F.lit(1)).alias("copies"))
 
 
-def _copies(units: DataFrame, firsts: DataFrame, windows: Column) -> DataFrame:
+def _copies(units: DataFrame, firsts: DataFrame) -> DataFrame:
     """Where units stand that stand earlier too, and where they do first."""
-    same = (F.col("a") == F.col("fa")) & (F.col("b") == F.col("fb"))
+    same = (F.col("anchor") == F.col("of")) & (F.col("a") == F.col("of_a"))
     later = ~F.struct(*PLACE).eqNullSafe(F.col("first"))
-    return units.join(firsts.select(F.col("a").alias("fa"), F.col("b").alias("fb"), "first"), same & later).select(
-        "doc_id", "key", "start", windows.alias("windows"), F.col("first.doc_id").alias("source_id"),
-        F.col("first.key").alias("source_key"), F.col("first.start").alias("source_start"))
-
-
-def _factors(docs: DataFrame, size: int, anchor: int) -> DataFrame:
-    """Pieces of factors: ``start`` and ``windows`` (how many in a row) of ``doc_id`` and ``key``, and their source."""
-    shared = _anchors(docs, size, anchor).groupBy("hash").agg(F.sum("n").alias("n")).filter("n > 1").select("hash")
-    blocks = written(_blocks(docs, written(shared, "shared-anchors"), size, anchor), "blocks")
-    place = F.struct(*PLACE)
-    texts = written(
-        blocks.groupBy("anchor", "a", "b").agg(F.min(F.struct(place.alias("first"), "place")).alias("least"), F.count(F.lit(1)).alias("copies"))
-        .select("anchor", "a", "b", "least.first", "least.place", "copies"), "block-texts")
-    whole = _copies(blocks, texts.filter("copies > 1"), F.col("windows"))
-    # An anchor in different texts: the first of each equal text is looked at window by window.
-    several = texts.groupBy("anchor").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("anchor")
-    edges = texts.join(several, "anchor", "left_semi").select(F.col("place").alias("hash"))
+    found = firsts.filter("copies > 1").select(F.col("anchor").alias("of"), F.col("a").alias("of_a"), "first")
+    return units.join(found, same & later).select(
+        *PLACE, F.col("first.doc_id").alias("source_id"), F.col("first.key").alias("source_key"), F.col("first.at").alias("source_at"))
+
+
+def _pieces(docs: DataFrame, size: int, anchor: int) -> DataFrame:
+    """The pieces of each document's factors, and where they are copied from: ``of``, ``of_key``, ``pieces``."""
+    spark = docs.sparkSession
+    with shuffles_end(spark):
+        shared = written(_anchors(docs, size, anchor).groupBy("hash").agg(F.sum("n").alias("n")).filter("n > 1").select("hash"), "shared-anchors")
+    blocks = written(_blocks(docs, shared, size, anchor), "blocks")
+    with shuffles_end(spark):
+        texts = written(_firsts(blocks), "block-texts")
+        # An anchor in different texts: the first of each equal text is looked at window by window.
+        several = texts.groupBy("anchor").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1").select("anchor")
+        edges = written(texts.join(several, "anchor", "left_semi").select("first.*"), "edges")
     windows = written(_windows(docs, edges, size, anchor), "windows")
-    firsts = windows.groupBy("a", "b").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies")).filter("copies > 1")
-    return whole.unionAll(_copies(windows, firsts, F.lit(1).cast("long")))
+    repeated = _repeated(windows)
+    with shuffles_end(spark):
+        found = _copies(blocks, texts).unionAll(_copies(repeated, _firsts(repeated)))
+        return written(found.groupBy(F.col("doc_id").alias("of"), F.col("key").alias("of_key")).agg(
+            F.collect_list(F.struct("at", "source_id", "source_key", "source_at")).alias("pieces")), "pieces")
 
 
 def _joined(row: np.ndarray, start: np.ndarray, windows: np.ndarray, source: Sequence[np.ndarray]) -> np.ndarray:
@@ -192,10 +223,11 @@ def _cut(docs: DataFrame, size: int) -> DataFrame:
             pieces = table.column("pieces").combine_chunks()
             counts = pc.fill_null(pc.list_value_length(pieces), 0).to_numpy(zero_copy_only=False)
             row, flat = np.repeat(np.arange(len(table)), counts), pieces.flatten()
-            start, windows, key, source_start = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("start", "windows", "source_key", "source_start"))
+            at, key, source_at = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("at", "source_key", "source_at"))
+            start, windows = at >> LOW, at & (1 << LOW) - 1
             ids = flat.field("source_id")
             null, source = ids.is_null().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy(zero_copy_only=False)
-            shift = source_start - start
+            shift = (source_at >> LOW) - start
             order = np.lexsort((start, shift, key, source, null, row))
             row, start, windows, null, source, key, shift = (x[order] for x in (row, start, windows, null, source, key, shift))
             first = np.flatnonzero(_joined(row, start, windows, (null, source, key, shift)))
@@ -240,16 +272,14 @@ def drop_repeated_passages(
     with the smaller hash is earlier; rows equal in id and text are one document, so both stay as one does.
     Very long texts are worked on whole. An empty table gives no rows. Other columns play no part.
 
-    Texts are read four times and shuffled once, to meet their pieces. Windows are not shuffled, but blocks
-    with an anchor that occurs twice (about one in seven words), and windows of those that differ from another
-    block of their anchor; bit tables of at most 32 MB leave out most others. Copies are counted and firsts
-    found by aggregates that combine before the shuffle; joins with the firsts may be split. Texts of blocks
-    and windows are compared by 128-bit hashes.
+    Texts are read four times and shuffled once, to meet their pieces. Of their windows only hashes are: of
+    blocks (about one in seven words) with an anchor that occurs twice, and of windows that occur twice in blocks
+    which differ from another block of their anchor; bit tables of at most 32 MB leave out most others. Copies
+    are counted and firsts found by aggregates that combine before the shuffle; joins with the firsts may be
+    split. Blocks and windows are equal if the 64-bit hashes of their anchors and those of their words are.
     """
     small_batches(docs.sparkSession)
     text = valid_text(F.col(f"`{text_column}`"))
     here = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
-    pieces = _factors(here, size, anchor).groupBy(F.col("doc_id").alias("of"), F.col("key").alias("of_key")).agg(
-        F.collect_list(F.struct("start", "windows", "source_id", "source_key", "source_start")).alias("pieces"))
-    met = here.join(pieces, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("of_key")), "left")
+    met = here.join(_pieces(here, size, anchor), F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("of_key")), "left")
     return _cut(met.select("doc_id", "text", "pieces"), size)
