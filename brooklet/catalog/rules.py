@@ -293,8 +293,7 @@ def rule_baseline_handoff(spark: SparkSession, sf: str) -> DataFrame:
     chosen = rule_audience(spark, sf, which)
     cutoff = F.lit(CUTOFF).cast("timestamp_ntz")
     start = rule_ops.baselines(events.where(F.col("ts") < cutoff), which, chosen, COLUMNS, ["event_pk"])
-    live = rule_ops.fan_out(events.where(F.col("ts") >= cutoff), which, COLUMNS, ["event_pk"])
-    live = live.join(chosen, rule_ops.RULE_KEY, "left_semi")
+    live = rule_ops.fan_out(events.where(F.col("ts") >= cutoff), which, chosen, COLUMNS, ["event_pk"])
     progress = rule_ops.rule_progress(live, which, ["event_pk"], start)
     return progress.select("guid", F.col("event_pk").alias("event_id"), F.col("count_0").alias("count_1"),
                            F.col("count_1").alias("count_2"), "sequences")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from brooklet.catalog import changes as change_queries
 from brooklet.catalog.registry import query
-from brooklet.operators.changestate import KeyedTable, create_table_if_absent, text_schema
+from brooklet.operators.buckets import BucketedTable
+from brooklet.operators.changestate import create_table_if_absent, text_schema
 from brooklet.plans.rule_publication import RuleStore
 from brooklet.session import scratch_path
 from brooklet.sources import files, topics
@@ -82,7 +83,7 @@ def routed_tables(spark: SparkSession, sf: str) -> DataFrame:
 def upsert_replay(spark: SparkSession, sf: str) -> DataFrame:
     """Two batches, the first one applied again, then folded into a base and updated once more."""
     changes = change_queries.order_changes(load(spark, sf, "orders"))
-    table = KeyedTable(spark, scratch_path(spark, "upsert"), ["o_custkey"], change_queries.ORDER)
+    table = BucketedTable(spark, scratch_path(spark, "upsert"), ["o_custkey"], change_queries.ORDER)
     early = F.col("o_orderdate") < F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
     table.upsert(changes.where(early), 0)
     table.upsert(changes.where(early), 0)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brooklet.catalog import changes, joins, records, rules, visits, windows
@@ -17,6 +17,7 @@ from brooklet.operators import sequences, visits as visit_ops
 from brooklet.operators.windows import stream_session_windows, time_windows
 from brooklet.plans import rule_matching
 from brooklet.session import scratch_path
+from brooklet.sources import topics
 from brooklet.streaming import runner, stateful
 from brooklet.streaming.lateness import late_row_batches, window_count_batches
 from brooklet.tables import EVENTS_SCHEMA, LINEITEM_SCHEMA, ORDERS_SCHEMA, load, stream
@@ -260,3 +261,31 @@ def stream_rule_model1_matches(spark: SparkSession, sf: str) -> DataFrame:
 @query(ORACLES["rule_model2_matches"])
 def stream_rule_model2_matches(spark: SparkSession, sf: str) -> DataFrame:
     return live_matches(spark, sf, rules.rules()[1:])
+
+
+@query("""
+    SELECT event_type AS topic, count(*) AS n, count(*) AS offsets, CAST(0 AS BIGINT) AS least, count(*) - 1 AS greatest,
+           CAST(sum(event_id) AS BIGINT) AS ids, count(*) - 1 AS ascents FROM events GROUP BY event_type""")
+def stream_topic_exactly_once(spark: SparkSession, sf: str) -> DataFrame:
+    """Events written to a topic per type in several micro-batches, each replayed with its rows dealt
+    otherwise; offsets have no gaps and follow the micro-batches."""
+    path = scratch_path(spark, "exactly-once")
+    parts = load(spark, sf, "events").select("event_id", "event_type").withColumn("part", F.pmod("event_id", F.lit(4)))
+    parts.repartition(4, "part").write.partitionBy("part").parquet(f"{path}/source")
+    rows = spark.readStream.schema("event_id BIGINT, event_type STRING, part INT").option("maxFilesPerTrigger", 1).parquet(f"{path}/source")
+    value = F.to_json(F.struct("event_id", "part"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        records = topics.to_records(batch.orderBy("event_id"), F.col("event_type"), value)
+        topics.write_batch_once(records, f"{path}/topics", batch_id)
+        topics.write_batch_once(records.repartition(3), f"{path}/topics", batch_id)
+
+    runner.start(rows, write, f"{path}/checkpoint").awaitTermination()
+    read = spark.read.schema(topics.ENVELOPE).json(f"{path}/topics").select(
+        "topic", "offset", F.from_json("value", "event_id BIGINT, part INT").alias("v"))
+    # Within a micro-batch ids ascend with the offsets.
+    before = F.lag("v").over(Window.partitionBy("topic").orderBy("offset"))
+    ascends = F.col("before").isNotNull() & ((F.col("v.event_id") > F.col("before.event_id")) | (F.col("v.part") != F.col("before.part")))
+    return read.withColumn("before", before).groupBy("topic").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("offset").alias("offsets"), F.min("offset").alias("least"), F.max("offset").alias("greatest"),
+        F.sum("v.event_id").alias("ids"), F.count_if(ascends).alias("ascents"))

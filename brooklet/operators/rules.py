@@ -114,11 +114,10 @@ def match_conditions(
     return matched.drop("_event_id", "window_start", "window_end", "attributes")
 
 
-CONDITION_LISTS = (
-    "on_event STRING, conditions ARRAY<STRUCT<rule_id: STRING, role: STRING, i: INT, counts: INT, steps: INT,"
-    " since: TIMESTAMP_NTZ, until: TIMESTAMP_NTZ, attributes: ARRAY<STRUCT<name: STRING, compare: STRING, value: STRING>>>>"
-)
-ANY_EVENT = ""
+CONDITION = (
+    "STRUCT<role: STRING, i: INT, since: TIMESTAMP_NTZ, until: TIMESTAMP_NTZ,"
+    " attributes: ARRAY<STRUCT<name: STRING, compare: STRING, value: STRING>>>")
+RULE_INDEX = f"rule_id STRING, on_event STRING, counts INT, steps INT, named ARRAY<STRING>, conditions ARRAY<{CONDITION}>"
 #: Up to so many conditions or rules, which are counted here, their table goes to every task.
 HINTED_RULES = 50_000
 
@@ -127,63 +126,75 @@ def hinted(table: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(table) if rows <= HINTED_RULES else table
 
 
-def condition_lists(spark: SparkSession, rules: list[Rule]) -> DataFrame:
-    """The conditions of all rules as data, one row per event id that some condition names.
+def rule_index(spark: SparkSession, rules: list[Rule]) -> tuple[DataFrame, int, bool]:
+    """The conditions of all rules by event id: one row per rule and id that it names, with all conditions
+    an event of that id may meet, and one with a null id for those that events of other ids may meet.
 
-    A condition is a count (``c``), a sequence step (``s``) or the trigger (``t``) of its rule. Those
-    without an event id are in every list, and alone in that of ``ANY_EVENT``.
+    A condition is a count (``c``), a sequence step (``s``) or the trigger (``t``) of its rule; a rule
+    without a trigger is decided at every event. Also gives the number of conditions in the table, and
+    whether there are any for other ids.
     """
     def moment(text: str | None) -> datetime | None:
         return datetime.fromisoformat(text) if text else None
 
-    named: dict[str, list] = {}
-    always = []
+    rows, held = [], 0
     for rule in rules:
-        # A rule without a trigger is decided at every event.
         specs = [("t", 0, rule.trigger or EventSpec(None))]
         specs += [("c", i, s) for i, s in enumerate(rule.counts)] + [("s", i, s) for i, s in enumerate(rule.sequence)]
-        for role, i, spec in specs:
-            attributes = [(a.name, a.compare, a.value) for a in spec.attributes]
-            row = (rule.rule_id, role, i, len(rule.counts), len(rule.sequence), moment(spec.window_start), moment(spec.window_end), attributes)
-            (always if spec.event_id is None else named.setdefault(spec.event_id, [])).append(row)
-    rows = [(event, [*listed, *always]) for event, listed in sorted(named.items())]
-    return spark.createDataFrame([*rows, (ANY_EVENT, always)], CONDITION_LISTS)
+        named = sorted({s.event_id for _, _, s in specs if s.event_id is not None})
+        always = any(s.event_id is None for _, _, s in specs)
+        for event in [*named, *([None] if always else [])]:
+            listed = [
+                (role, i, moment(s.window_start), moment(s.window_end), [(a.name, a.compare, a.value) for a in s.attributes])
+                for role, i, s in specs if s.event_id is None or s.event_id == event]
+            rows.append((rule.rule_id, event, len(rule.counts), len(rule.sequence), named if event is None else None, listed))
+            held += len(listed)
+    return spark.createDataFrame(rows, RULE_INDEX), held, any(r[1] is None for r in rows)
 
 
-def fan_out(events: DataFrame, rules: list[Rule], columns: EventColumns, order: list[str]) -> DataFrame:
-    """One row per event and rule it matters to.
+def fan_out(events: DataFrame, rules: list[Rule], audience: DataFrame, columns: EventColumns, order: list[str]) -> DataFrame:
+    """One row per event and rule it matters to, for users in the rule's audience ``(rule_id, guid)``.
 
     ``hits`` has one flag per count condition, ``steps`` one per sequence step, and
     ``is_trigger`` tells whether the rule is to be decided at this event.
 
-    Rules are rows of a table that events meet by their id, so the plan has one size however
-    many rules there are, and an event looks at the conditions on its id only.
+    The audience comes first: it meets the rules' event ids, and events meet what their user is in by
+    user and event id at once. So an event becomes as many rows as its user's rules look at its id,
+    however many rules there are, and tests the conditions of these alone. Rules are rows of a table, so
+    the plan has one size. There is no aggregate, so streams take this path as well.
     """
     specs = [s for r in rules for s in (r.trigger or EventSpec(None), *r.counts, *r.sequence)]
     names = sorted({a.name for s in specs for a in s.attributes})
-    known = sorted({s.event_id for s in specs if s.event_id is not None})
     values = [c for name in names for c in (F.lit(name), columns.attribute(name))]
     properties = F.create_map(*values) if values else F.lit(None).cast("map<string,string>")
-    event = F.col(columns.event_id)
-    listed = F.when(event.isin(known), event).otherwise(F.lit(ANY_EVENT)) if known else F.lit(ANY_EVENT)
     unique = [c for c in order if c != "match_time"]
     rows = events.where(event_ids(specs, columns)).select(
-        "guid", F.col(columns.time).alias("match_time"), *unique, listed.alias("on_event"), properties.alias("_properties"))
+        "guid", F.col(columns.time).alias("match_time"), *unique, F.col(columns.event_id).alias("_on"), properties.alias("_properties"))
+    table, held, others = rule_index(events.sparkSession, rules)
+    index = hinted(table, held)
+    people = audience.select(*RULE_KEY).distinct()
+
+    wanted = people.join(hinted(table.where(F.col("on_event").isNotNull()).select("rule_id", F.col("on_event").alias("_on")), held), "rule_id")
+    met = rows.join(wanted, ["guid", "_on"]).join(index.withColumn("_on", F.col("on_event")), ["rule_id", "_on"])
+    if others:
+        rest = index.where(F.col("on_event").isNull())
+        unnamed = ~F.coalesce(F.array_contains("named", F.col("_on")), F.lit(False))
+        met = met.unionByName(rows.join(people.join(hinted(table.where(F.col("on_event").isNull()).select("rule_id"), held), "rule_id"), "guid").join(
+            rest, "rule_id").where(unnamed))
+
     time = F.col("match_time").cast("timestamp_ntz")
 
     def holds(c: Column) -> Column:
         inside = (c["since"].isNull() | (time >= c["since"])) & (c["until"].isNull() | (time <= c["until"]))
         return F.coalesce(inside, F.lit(False)) & attributes_hold(c["attributes"], F.col("_properties"))
 
-    met = rows.join(hinted(condition_lists(events.sparkSession, rules), len(specs)), "on_event").select(
-        "guid", "match_time", *unique, F.filter("conditions", holds).alias("_met"))
-    spread = met.select("*", F.explode(F.array_distinct(F.transform("_met", lambda c: c["rule_id"]))).alias("rule_id"))
-    mine = spread.withColumn("_mine", F.filter("_met", lambda c: c["rule_id"] == F.col("rule_id")))
+    mine = met.select(
+        "guid", "match_time", *unique, "rule_id", "counts", "steps", F.filter("conditions", holds).alias("_mine")).where(F.size("_mine") > 0)
 
     def flags(role: str, size: str) -> Column:
-        places = F.sequence(F.lit(1), F.get("_mine", F.lit(0))[size])
-        tests = F.transform(places, lambda n: F.exists("_mine", lambda c: (c["role"] == role) & (c["i"] == n - 1)))
-        return F.when(F.get("_mine", F.lit(0))[size] > 0, tests).otherwise(F.array().cast("array<boolean>"))
+        places = F.transform(F.filter("_mine", lambda c: c["role"] == role), lambda c: c["i"])
+        tests = F.transform(F.sequence(F.lit(1), F.col(size)), lambda n: F.array_contains(places, n - 1))
+        return F.when(F.col(size) > 0, tests).otherwise(F.array().cast("array<boolean>"))
 
     return mine.select(
         "guid", "match_time", *unique, "rule_id", flags("c", "counts").alias("hits"), flags("s", "steps").alias("steps"),
@@ -200,7 +211,7 @@ def baselines(
 
     ``audience`` holds (rule_id, guid).
     """
-    rows = fan_out(history, rules, columns, order).join(audience, RULE_KEY, "left_semi")
+    rows = fan_out(history, rules, audience, columns, order)
     order = in_time(order)
     size = max((len(r.counts) for r in rules), default=0)
     counted = rows.groupBy(*RULE_KEY).agg(F.array(*[
@@ -317,7 +328,7 @@ def match_rules(
     Large keys are looked for once, in the fan-out rows; counters, sequences and cap share
     the cut points, as they share keys and order.
     """
-    rows = fan_out(events, rules, columns, order).join(audience, RULE_KEY, "left_semi")
+    rows = fan_out(events, rules, audience, columns, order)
     order = in_time(order)
     splits = find_splits(rows, RULE_KEY, order, block_rows)
     return decide(rule_progress(rows, rules, order, start, splits), rules, order, splits)

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from brooklet.operators.changestate import KeyedTable, text_schema
+from brooklet.operators.buckets import BucketedTable
+from brooklet.operators.changestate import text_schema
 from brooklet.operators.joins import asof_join, is_small
 from brooklet.operators.routing import prune_map
 from brooklet.plans.topic_sink import Broker
@@ -123,5 +124,5 @@ def dimension_rows(rows: DataFrame, columns: str, key: str | None) -> DataFrame:
     return rows.select("offset", *[field(f.name) for f in text_schema(columns, key)])
 
 
-def dimension_table(spark: SparkSession, path: str, key: str | None) -> KeyedTable:
-    return KeyedTable(spark, path, [key or DIMENSION_KEY], ["offset"])
+def dimension_table(spark: SparkSession, path: str, key: str | None) -> BucketedTable:
+    return BucketedTable(spark, path, [key or DIMENSION_KEY], ["offset"])

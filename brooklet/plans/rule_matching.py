@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from brooklet.functions.predicates import EventColumns
-from brooklet.operators.changestate import KeyedTable
+from brooklet.operators.buckets import BucketedTable
 from brooklet.operators.ordered import running, running_count
 from brooklet.operators.rules import (
     RULE_KEY, Rule, fan_out, last_state, live_rules, rule_progress, verdicts,
@@ -28,7 +28,7 @@ def start(
     restart with more rules keeps the state of the old ones. Caps per user are applied per
     micro-batch, on top of the matches written by earlier ones.
     """
-    rows = fan_out(events, rules, columns, order).join(audience, RULE_KEY)
+    rows = fan_out(events, rules, audience, columns, order)
     start_columns = None
     if baselines is not None:
         rows = rows.join(baselines, RULE_KEY, "left")
@@ -45,10 +45,10 @@ def start(
 def _keep_capped(matched: DataFrame, path: str, order: list[str], batch_id: int) -> None:
     """Write matches of a micro-batch, as far as their cap leaves room after earlier ones."""
     spark = matched.sparkSession
-    counts = KeyedTable(spark, f"{path}/match_counts", RULE_KEY, ["n"])
+    counts = BucketedTable(spark, f"{path}/match_counts", RULE_KEY, ["n"])
     counted = running(matched, RULE_KEY, ["match_time", *order], {"_match": running_count()})
-    if counts.exists():
-        before = counts.read(before=batch_id).withColumnRenamed("n", "_before")
+    if counts.exists(batch_id):
+        before = counts.read(before=batch_id, of=matched).withColumnRenamed("n", "_before")
         counted = counted.join(before, RULE_KEY, "left").withColumn(
             "_match", F.col("_match") + F.coalesce("_before", F.lit(0))).drop("_before")
     kept = counted.where(F.col("_cap").isNull() | (F.col("_match") <= F.col("_cap"))).persist()
@@ -77,15 +77,15 @@ def start_following(
         rules, audience = current(spark)
         if not rules:
             return
-        table = KeyedTable(spark, f"{path}/state", RULE_KEY, ["since"])
+        table = BucketedTable(spark, f"{path}/state", RULE_KEY, ["since"])
+        rows = fan_out(batch, rules, audience, columns, order)
         known = [] if baselines is None else [baselines.withColumn("since", F.lit(-1))]
-        if table.exists():
-            known.append(table.read(before=batch_id))
+        if table.exists(batch_id):
+            known.append(table.read(before=batch_id, of=rows))
         start_state = None
         if known:
             both = known[0] if len(known) == 1 else known[0].unionByName(known[1])
             start_state = latest_per_key(both, RULE_KEY, ["since"]).drop("since")
-        rows = fan_out(batch, rules, columns, order).join(audience, RULE_KEY, "left_semi")
         progress = rule_progress(rows, rules, ["match_time", *order], start_state).persist()
         try:
             _keep_capped(verdicts(progress, rules), path, order, batch_id)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from brooklet.operators.changestate import KeyedTable
+from brooklet.operators.buckets import BucketedTable
 from brooklet.session import scratch_path
 
 Each = Callable[[DataFrame, int], None]
@@ -43,7 +43,7 @@ def parquet_batches(path: str) -> Each:
     return write
 
 
-def upserts(table: KeyedTable) -> Each:
+def upserts(table: BucketedTable) -> Each:
     return lambda batch, batch_id: table.upsert(batch, batch_id)
 
 
@@ -59,6 +59,6 @@ def run_to_keyed(
 ) -> DataFrame:
     """Run a stream of changed rows into a keyed table and return its current rows."""
     path = scratch_path(spark, label)
-    table = KeyedTable(spark, f"{path}/table", keys, order)
+    table = BucketedTable(spark, f"{path}/table", keys, order)
     start(df, upserts(table), f"{path}/checkpoint", mode).awaitTermination()
     return table.read()
