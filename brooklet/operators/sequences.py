@@ -16,15 +16,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from brooklet.operators.ordered import (
     BLOCK, BLOCK_ROWS, Splits, find_splits, join_small, running, running_count, with_blocks,
 )
 
-Batches = Iterator[pd.DataFrame]
+Batches = Iterator[pa.RecordBatch]
+NAN = float("nan")
 
 
 def step_hits(steps: list[Column]) -> Column:
@@ -36,24 +40,34 @@ def _satisfied() -> Column:
     return F.array_compact(F.transform("hits", lambda hit, i: F.when(hit, i)))
 
 
-def _runs(batch: pd.DataFrame, group: list[str]) -> Iterator[tuple[tuple, int, int]]:
-    """Stretches of equal group columns in a sorted batch: group, first row, row after the last."""
-    columns = [batch[c].to_numpy() for c in group]
-    changed = np.ones(len(batch), dtype=bool)
-    changed[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+def _runs(batch: pa.RecordBatch, group: list[str]) -> Iterator[tuple[tuple, int, int]]:
+    """Stretches of equal group columns in a sorted batch: group, first row, row after the last.
+
+    Nulls are equal to one another, and so are NaNs.
+    """
+    changed = np.ones(batch.num_rows, dtype=bool)
+    changed[1:] = False
+    columns = [batch.column(c) for c in group]
+    for column in columns:
+        here, before = column.slice(1), column.slice(0, batch.num_rows - 1)
+        same = pc.or_(pc.fill_null(pc.equal(here, before), False), pc.and_(here.is_null(), before.is_null()))
+        if pa.types.is_floating(column.type):
+            same = pc.or_(same, pc.fill_null(pc.and_(pc.is_nan(here), pc.is_nan(before)), False))
+        changed[1:] |= ~same.to_numpy(zero_copy_only=False)
     begins = np.flatnonzero(changed).tolist()
-    for begin, end in zip(begins, [*begins[1:], len(batch)]):
-        yield tuple(c[begin] for c in columns), begin, end
+    for begin, end in zip(begins, [*begins[1:], batch.num_rows]):
+        key = (c[begin].as_py() for c in columns)
+        yield tuple(NAN if v != v else v for v in key), begin, end
 
 
-def _next_hits(batch: pd.DataFrame) -> list[list[int]]:
+def _next_hits(batch: pa.RecordBatch) -> list[list[int]]:
     """Per step and row, the first row from there on that satisfies the step."""
-    satisfied = batch["_steps"].tolist()
-    rows = np.repeat(np.arange(len(batch)), [len(s) for s in satisfied])
-    which = np.concatenate(satisfied).astype(int)
+    n, satisfied = batch.num_rows, batch.column("_steps")
+    rows = np.repeat(np.arange(n), pc.list_value_length(satisfied).to_numpy(zero_copy_only=False))
+    which = satisfied.flatten().to_numpy(zero_copy_only=False)
     out = []
-    for step in range(int(batch["_last"].max()) + 1):
-        hits = np.full(len(batch), len(batch))
+    for step in range(pc.max(batch.column("_last")).as_py() + 1):
+        hits = np.full(n, n)
         mine = rows[which == step]
         hits[mine] = mine
         out.append(np.minimum.accumulate(hits[::-1])[::-1].tolist())
@@ -90,9 +104,9 @@ def _block_maps(df: DataFrame, keys: list[str], order: list[str], steps: int, sp
     def walk(batches: Batches) -> Batches:
         current, states = None, []
         for batch in batches:
-            if batch.empty:
+            if not batch.num_rows:
                 continue
-            next_hits, lasts, done = _next_hits(batch), batch["_last"].tolist(), []
+            next_hits, lasts, done = _next_hits(batch), batch.column("_last").to_pylist(), []
             for key, begin, end in _runs(batch, group):
                 if key != current:
                     if current is not None:
@@ -104,14 +118,13 @@ def _block_maps(df: DataFrame, keys: list[str], order: list[str], steps: int, sp
         if current is not None:
             yield frame([(current, states)])
 
-    def frame(done: list) -> pd.DataFrame:
-        columns = dict(zip(group, zip(*[key for key, _ in done])))
-        return pd.DataFrame({
-            **columns, "to_step": [[s[0] for s in states] for _, states in done],
-            "to_n": [[s[1] for s in states] for _, states in done]})
+    def frame(done: list) -> pa.RecordBatch:
+        fields = to_arrow_schema(out)
+        columns = [*zip(*[key for key, _ in done]), [[s[0] for s in states] for _, states in done], [[s[1] for s in states] for _, states in done]]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields)], schema=fields)
 
     sorted_rows = _sorted_rows(rows, group if splits.rows else keys, order)
-    return sorted_rows.mapInPandas(walk, out)
+    return sorted_rows.mapInArrow(walk, out)
 
 
 def sequence_state(
@@ -144,8 +157,8 @@ def sequence_progress(
     df: DataFrame, keys: list[str], order: list[str], steps: int,
     start: tuple[str, str] | None = None, splits: Splits | None = None, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """``df`` with the ``step`` and ``n`` after each row in place of ``hits``. Keys must not be
-    null. Keep ``df`` narrow, as its columns pass through Python.
+    """``df`` with the ``step`` and ``n`` after each row in place of ``hits``. A null key is a key.
+    Keep ``df`` narrow, as its columns pass through Python.
 
     ``start`` names columns with the state of the key before its first row.
     """
@@ -174,10 +187,10 @@ def sequence_progress(
     def walk(batches: Batches) -> Batches:
         current, state = None, (0, 0)
         for batch in batches:
-            if batch.empty:
+            if not batch.num_rows:
                 continue
-            next_hits, lasts = _next_hits(batch), batch["_last"].tolist()
-            first_step, first_n = batch["step"].tolist(), batch["n"].tolist()
+            next_hits, lasts = _next_hits(batch), batch.column("_last").to_pylist()
+            first_step, first_n = batch.column("step").to_pylist(), batch.column("n").to_pylist()
             log: list[tuple[int, int, int]] = []
             for key, begin, end in _runs(batch, group):
                 if key != current:
@@ -186,10 +199,11 @@ def sequence_progress(
                 state = _advance(next_hits, begin, end, lasts[begin], state, log)
             at, step, n = (np.array(c) for c in zip(*log))
             # Each row has the state of the last change at or before it.
-            latest = np.searchsorted(at, np.arange(len(batch)), side="right") - 1
-            yield batch.assign(step=step[latest], n=n[latest])[columns]
+            latest = np.searchsorted(at, np.arange(batch.num_rows), side="right") - 1
+            yield pa.RecordBatch.from_arrays([
+                *[batch.column(c) for c in columns[:-2]], pa.array(step[latest].astype(np.int32)), pa.array(n[latest].astype(np.int64))], names=columns)
 
-    return _sorted_rows(rows, group, order).mapInPandas(walk, out.schema)
+    return _sorted_rows(rows, group, order).mapInArrow(walk, out.schema)
 
 
 def _of_all_blocks(maps: DataFrame, splits: Splits, steps: int) -> DataFrame:

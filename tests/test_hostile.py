@@ -219,3 +219,15 @@ def test_table_extension_text(spark, tmp_path):
     with pytest.raises(ValueError):
         create_table_if_absent(spark, "extended_u", "a", str(tmp_path / "y"), "id", "; DROP TABLE extended_t")
     spark.sql("DROP TABLE extended_t")
+
+
+def test_null_keys_of_sequences(spark):
+    """A null key goes on from row to row, next to keys that doubles cannot hold; whole and in blocks."""
+    big = 2**53
+    rows = [(k, i, [i % 2 == 0, i % 2 == 1]) for k in (None, 1, big, big + 1) for i in range(40)]
+    df = spark.createDataFrame(rows, "k long, at long, hits array<boolean>").repartition(3)
+    for block_rows in (10**6, 10):
+        walked = sequences.sequence_progress(df, ["k"], ["at"], 2, block_rows=block_rows).collect()
+        assert {(r["k"], r["at"]): r["n"] for r in walked} == {(k, i): (i + 1) // 2 for k, i, _ in rows}
+        final = sequences.sequence_state(df, ["k"], ["at"], 2, block_rows=block_rows).collect()
+        assert {r["k"]: (r["step"], r["n"]) for r in final} == {k: (0, 20) for k in (None, 1, big, big + 1)}
