@@ -17,16 +17,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brooklet.llm.bits import bit_table, marked
-from brooklet.llm.common import small_batches, written
+from brooklet.llm.common import shuffles_end, small_batches, written
 from brooklet.llm.words import hashes_of, kinds_of_bytes, mixed, slabs, split_words, valid_text
 
 KINDS = kinds_of_bytes(b" \t", b".,;:!?\n\x0b\x0c\r")
 #: Words, or phrases of one length, that are ranked; all tasks hold them.
 RANKED = 1 << 17
 #: Numbers along a tile's side; tiles that a task holds; a slab's pairs that make a tile worth an array.
-SIDE, TILES, FULL = 256, 96, 1 << 12
-#: Coordinates that a task holds.
-COORDINATES = 1 << 20
+SIDE, TILES, FULL = 256, 64, 1 << 12
+#: Coordinates that a task holds, and that it gives away at once.
+COORDINATES, GIVEN = 1 << 19, 1 << 16
 #: Steps of a power of two in which frequencies are told apart when the cut of the ranked is found.
 STEPS = 16
 #: Parts of a language's phrases that are ranked first.
@@ -72,7 +72,8 @@ def _vocabulary(docs: DataFrame, seed: int) -> DataFrame:
 def vocabulary(docs: DataFrame) -> tuple[DataFrame, int]:
     """The vocabulary and the seed of its hashes, with which no two words of it have one hash."""
     for seed in count():
-        found = written(_vocabulary(docs, seed), "vocabulary")
+        with shuffles_end(docs.sparkSession):
+            found = written(_vocabulary(docs, seed), "vocabulary")
         if found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
             return found, seed
     raise AssertionError
@@ -186,7 +187,7 @@ def phrase_keys(words: np.ndarray) -> np.ndarray:
 
 
 def _phrases(docs: DataFrame, size: int, seed: int, words: Level, left: Level, least: int) -> DataFrame:
-    """Phrases of ``size`` words that occur at least ``least`` times: ``key``, ``w0`` ..., ``f``.
+    """Phrases of ``size`` words that occur at least ``least`` times: ``w0`` ..., ``f``, ``key``.
 
     ``left`` has the frequent phrases of one word less: all phrases that begin or end with a rarer one are left out.
     """
@@ -196,8 +197,9 @@ def _phrases(docs: DataFrame, size: int, seed: int, words: Level, left: Level, l
     def coordinates(words: np.ndarray, counts: np.ndarray):
         import pyarrow as pa
 
-        return pa.RecordBatch.from_arrays([
-            pa.array(phrase_keys(words)), *(pa.array(np.ascontiguousarray(words[:, i])) for i in range(size)), pa.array(counts)], names=["key", *names, "n"])
+        for i in range(0, len(counts), GIVEN):
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(np.ascontiguousarray(words[i:i + GIVEN, j])) for j in range(size)), pa.array(counts[i:i + GIVEN])], names=[*names, "n"])
 
     def run(batches):
         words, left = shared.value
@@ -231,12 +233,21 @@ def _phrases(docs: DataFrame, size: int, seed: int, words: Level, left: Level, l
                 at = np.flatnonzero(inside)
                 phrase = np.hstack([before[at], word[at + size - 1][:, None]])
                 for found in tiles.add(unit[at], number[at + size - 1], phrase):
-                    yield coordinates(*found)
+                    yield from coordinates(*found)
         for found in tiles.rest():
-            yield coordinates(*found)
+            yield from coordinates(*found)
 
-    counts = docs.mapInArrow(run, f"key long, {', '.join(f'{x} long' for x in names)}, n long")
-    return counts.groupBy(*names).agg(F.first("key").alias("key"), F.sum("n").alias("f")).filter(F.col("f") >= least)
+    def keyed(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            words = np.stack([batch.column(i).to_numpy() for i in range(size)], axis=1)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(phrase_keys(words))], names=[*names, "f", "key"])
+
+    columns = ", ".join(f"{x} long" for x in names)
+    counts = docs.mapInArrow(run, f"{columns}, n long")
+    found = counts.groupBy(*names).agg(F.sum("n").alias("f")).filter(F.col("f") >= least)
+    return found.mapInArrow(keyed, f"{columns}, f long, key long")
 
 
 def _scored(levels: list[DataFrame], size: int, share: int) -> DataFrame:
@@ -302,7 +313,9 @@ def mine_phrases(
     words = left = level(frequent, 1)
     levels = [frequent]
     for size in range(2, longest + 1):
-        levels.append(written(_phrases(here, size, seed, words, left, least).join(lang, F.col("w0") == F.col("of_word")).drop("of_word"), f"phrases-{size}"))
+        found = _phrases(here, size, seed, words, left, least).join(lang, F.col("w0") == F.col("of_word")).drop("of_word")
+        with shuffles_end(docs.sparkSession):
+            levels.append(written(found, f"phrases-{size}"))
         if size < longest:
             left = level(levels[-1], size)
     candidates = None
