@@ -37,6 +37,7 @@ KINDS = kinds_of_bytes(SEPARATORS)
 class Index:
     """Terms in order, and for each the items that hold it."""
 
+    rows: np.ndarray  # Numbers of the items' rows, by place of the item.
     item_ids: list  # By place of the item.
     terms: list[str]
     starts: np.ndarray  # Where each term's entries begin; one more at the end.
@@ -84,7 +85,7 @@ def _index(entries: DataFrame, block: int, blocks: int) -> Index:
     ids = rows["item_id"].astype("Int64").iloc[first]
     terms, starts = np.unique(rows["term"].to_numpy(dtype=object), return_index=True)
     return Index(
-        [None if x is None or x != x else int(x) for x in ids.astype(object).where(ids.notna(), None)], list(terms), np.append(starts, len(rows)),
+        items, [None if x is None or x != x else int(x) for x in ids.astype(object).where(ids.notna(), None)], list(terms), np.append(starts, len(rows)),
         np.searchsorted(items, rows["item"].to_numpy()), rows["count"].to_numpy(np.int64))
 
 
@@ -151,7 +152,7 @@ class Best:
 def _scored(counted: DataFrame, index: Index, weights: np.ndarray, documents: int, total: int, k: int) -> DataFrame:
     """Each task's best documents of each item: ``item``, ``item_id``, ``doc_id``, ``score``."""
     shared = counted.sparkSession.sparkContext.broadcast((
-        index.item_ids, index.starts, index.items, index.counts * np.repeat(weights, np.diff(index.starts))))
+        index.rows, index.item_ids, index.starts, index.items, index.counts * np.repeat(weights, np.diff(index.starts))))
 
     def pieces(begin: np.ndarray, work: np.ndarray, items: int) -> Iterator[tuple[int, int]]:
         """Runs of documents with bounded work; ``begin`` is where a document's terms begin."""
@@ -165,7 +166,7 @@ def _scored(counted: DataFrame, index: Index, weights: np.ndarray, documents: in
     def run(batches):
         import pyarrow as pa
 
-        item_ids, starts, items, gains = shared.value
+        rows, item_ids, starts, items, gains = shared.value
         holders, best = np.diff(starts), Best(len(item_ids), k)
         for batch in batches:
             lists = batch.column(2)
@@ -188,7 +189,7 @@ def _scored(counted: DataFrame, index: Index, weights: np.ndarray, documents: in
                 np.add.at(scores, row * len(item_ids) + items[entry], gains[entry] * np.repeat(impact[at], many))
                 best.add(scores.reshape(last - first, -1), doc[first:last], null[first:last])
         yield pa.RecordBatch.from_arrays([
-            pa.array(best.item.astype(np.int64)), pa.array([item_ids[i] for i in best.item.tolist()], pa.int64()),
+            pa.array(rows[best.item].astype(np.int64)), pa.array([item_ids[i] for i in best.item.tolist()], pa.int64()),
             pa.array(best.doc, mask=best.null), pa.array(best.score),
         ], names=["item", "item_id", "doc_id", "score"])
 
