@@ -100,7 +100,7 @@ def hashes_of(words, seed: int = 0) -> np.ndarray:
 
 
 def slabs(batches, column: str) -> Iterator:
-    """Rows of a task's batches as tables with about ``SLAB`` bytes of texts in ``column``, or one row."""
+    """Rows of a task's batches as tables of at most ``SLAB`` bytes of texts in ``column``, or one row."""
     import pyarrow as pa
     import pyarrow.compute as pc
 
@@ -111,11 +111,14 @@ def slabs(batches, column: str) -> Iterator:
         begin = 0
         while begin < len(table):
             done = int(sizes[begin - 1]) if begin else 0
-            end = max(begin + 1, int(np.searchsorted(sizes, done + SLAB - held, side="right")))
-            waiting.append(table.slice(begin, end - begin))
-            held += int(sizes[end - 1]) - done
-            begin = end
-            if held >= SLAB or begin < len(table):
+            end = int(np.searchsorted(sizes, done + SLAB - held, side="right"))
+            if end <= begin and not waiting:
+                end = begin + 1
+            if end > begin:
+                waiting.append(table.slice(begin, end - begin))
+                held += int(sizes[end - 1]) - done
+                begin = end
+            if begin < len(table):
                 yield pa.concat_tables(waiting).combine_chunks()
                 waiting, held = [], 0
     if waiting:

@@ -95,7 +95,7 @@ def test_equal_hashes_take_another_seed(spark, monkeypatch):
 
 def test_tiles_count_all_pairs(monkeypatch):
     """Full tiles, sorted coordinates, and coordinates that are given away early."""
-    monkeypatch.setattr(collocations, "FULL", 20)
+    monkeypatch.setattr(collocations, "FULL", 8)
     monkeypatch.setattr(collocations, "TILES", 2)
     monkeypatch.setattr(collocations, "SIDE", 8)
     monkeypatch.setattr(collocations, "COORDINATES", 300)
