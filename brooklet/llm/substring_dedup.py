@@ -197,7 +197,10 @@ def _pieces(docs: DataFrame, size: int, anchor: int) -> DataFrame:
     windows = written(_windows(docs, edges, size, anchor), "windows")
     repeated = _repeated(windows)
     with shuffles_end(spark):
-        found = _copies(blocks, texts).unionAll(_copies(repeated, _firsts(repeated)))
+        # Written down like the blocks', so that the join may split the windows of a hot one.
+        firsts = written(_firsts(repeated), "window-firsts")
+    with shuffles_end(spark):
+        found = _copies(blocks, texts).unionAll(_copies(repeated, firsts))
         return written(found.groupBy(F.col("doc_id").alias("of"), F.col("key").alias("of_key")).agg(
             F.collect_list(F.struct("at", "source_id", "source_key", "source_at")).alias("pieces")), "pieces")
 
