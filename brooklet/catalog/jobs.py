@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from brooklet.catalog.changes import CONFIG_SCHEMA
 from brooklet.catalog.registry import query
 from brooklet.plans import change_capture, change_routing, log_cleaning, order_wide, page_visits
+from brooklet.session import materialised
 from brooklet.tables import load
 
 
@@ -56,7 +57,9 @@ def job_order_wide_chain(spark: SparkSession, sf: str) -> DataFrame:
     envelopes = as_topic(captured, F.monotonically_increasing_id(), F.col("value"))
     config = spark.createDataFrame(CONFIG, CONFIG_SCHEMA)
     routed = change_routing.route_changes(change_routing.parse_envelopes(envelopes), config)
-    facts = change_routing.split_by_sink(routed)["topic"].select("offset", "sink_table", F.to_json("after").alias("value"))
+    # The fact topics are written once, as the next job finds them.
+    facts = materialised(
+        change_routing.split_by_sink(routed)["topic"].select("offset", "sink_table", F.to_json("after").alias("value")), "facts", "sink_table")
 
     def topic(name: str) -> DataFrame:
         return facts.where(F.col("sink_table") == name)

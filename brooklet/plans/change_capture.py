@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from brooklet.operators.routing import is_object
 from brooklet.plans.topic_sink import Broker, to_topics
-from brooklet.sources.changelog import flatten
 from brooklet.sources.topics import to_records
 from brooklet.streaming import runner
 
@@ -18,14 +18,17 @@ TOPIC = "ods_base_db"
 RAW = "topic STRING, operation STRING, before STRING, after STRING"
 
 
-def to_envelopes(raw: DataFrame) -> DataFrame:
-    return flatten(raw, F.col("topic"), F.col("operation"), F.col("before"), F.col("after"))
+def records(raw: DataFrame) -> DataFrame:
+    """Envelope text, keyed by table. A row image that is no JSON object becomes an empty one; one that is
+    goes into the envelope as the text it is."""
+    names = F.split("topic", r"\.")
+    head = F.to_json(F.struct(F.get(names, F.lit(1)).alias("database"), F.get(names, F.lit(2)).alias("table"), F.col("operation")))
 
+    def image(name: str) -> Column:
+        return F.concat(F.lit(f'"{name}":'), F.when(is_object(F.col(name)), F.col(name)).otherwise(F.lit("{}")))
 
-def records(raw: DataFrame) -> DataFrame:
-    """Envelope text, keyed by table."""
-    rows = to_envelopes(raw)
-    return to_records(rows, TOPIC, F.to_json(F.struct(*rows.columns)), F.col("table"))
+    fields = F.when(head == "{}", F.lit("{")).otherwise(F.concat(head.substr(F.lit(1), F.length(head) - 1), F.lit(",")))
+    return to_records(raw, TOPIC, F.concat(fields, image("before"), F.lit(","), image("after"), F.lit("}")), F.get(names, F.lit(2)))
 
 
 def start(raw: DataFrame, broker: Broker, checkpoint: str) -> StreamingQuery:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "brooklet", master: str | None = None, **conf: str) -> SparkSession:
@@ -49,3 +49,12 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created there yet."""
     return f"{shared_folder(spark)}/{label}-{os.urandom(6).hex()}"
+
+
+def materialised(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """The rows as a table in the shared folder, split by a column if asked: what several readers
+    need is computed once, and its lineage ends there."""
+    path = scratch_path(df.sparkSession, label)
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
