@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from brooklet.catalog.changes import CONFIG_SCHEMA
 from brooklet.catalog.registry import query
-from brooklet.plans import change_capture, change_routing, log_cleaning, order_wide, page_visits
+from brooklet.plans import change_capture, change_routing, log_cleaning, order_wide, page_visits, payment_wide
 from brooklet.session import materialised
 from brooklet.tables import load
 
@@ -165,3 +165,25 @@ def job_bounces(spark: SparkSession, sf: str) -> DataFrame:
     """Log cleaning, then bounce detection."""
     left = page_visits.jumps(page_records(spark, sf))
     return left.select("mid", F.col("offset").alias("item"), "reason")
+
+
+@query("""
+    SELECT o_orderkey AS payment_id, l_orderkey * 10 + l_linenumber AS detail_id, o_orderkey AS order_id, o_custkey AS user_id,
+           CAST(round(o_totalprice * 100) AS BIGINT) AS paid_cents, l_partkey AS sku_id
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderkey % 20 <= 15""")
+def job_payment_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """Payments of orders, each some minutes after its order, joined with the wide rows of the order. Payments
+    count up to 15 minutes after it."""
+    orders, lines = load(spark, sf, "orders"), load(spark, sf, "lineitem")
+    paid_at = F.col("o_orderdate") + F.make_interval(mins=(F.col("o_orderkey") % 20).cast("int"))
+    payment = F.to_json(F.struct(
+        F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("total_amount"), F.date_format(paid_at, "yyyy-MM-dd HH:mm:ss").alias("create_time")))
+    wide = F.to_json(F.struct(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("detail_id"), F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku_id"),
+        F.col("o_custkey").alias("user_id"), F.lit(0).alias("total_amount"), F.expr(CREATED).alias("create_time")))
+    dated = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = payment_wide.build(
+        as_topic(orders, F.col("o_orderkey"), payment), as_topic(dated, F.col("l_orderkey") * 10 + F.col("l_linenumber"), wide))
+    return joined.select(
+        "payment_id", "detail_id", "order_id", "user_id", (F.col("total_amount") * 100).cast("bigint").alias("paid_cents"), "sku_id")

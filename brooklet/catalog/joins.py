@@ -204,3 +204,19 @@ def dim_refresh(spark: SparkSession, sf: str) -> DataFrame:
         F.col("l_orderkey").alias("order_id"), F.col("l_suppkey").alias("supplier_id"),
         F.col("l_partkey").alias("part_id"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipped"),
         "version_id", "priority")
+
+
+@query("""
+    SELECT v.event_id AS view_id, p.event_id AS purchase_id
+    FROM (SELECT *, user_id % 50 AS k FROM events WHERE event_type = 'view') v
+    JOIN (SELECT *, user_id % 50 AS k FROM events WHERE event_type = 'purchase') p
+      ON v.k = p.k AND p.ts BETWEEN v.ts - INTERVAL 10 MINUTE AND v.ts + INTERVAL 1 HOUR""")
+def interval_join_tiled(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys with very many rows in a stretch: their cells are cut into tiles."""
+    events = load(spark, sf, "events").withColumn("k", F.col("user_id") % 50)
+    views = events.where(F.col("event_type") == "view").select("k", F.col("event_id").alias("view_id"), F.col("ts").alias("view_ts"))
+    bought = events.where(F.col("event_type") == "purchase").select("k", F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts"))
+    # Cells of this table are small, so the limit is as well: the tiles are used.
+    joined = joins.tiled_interval_join(
+        views, bought, ["k"], "view_ts", "purchase_ts", timedelta(minutes=-10), timedelta(hours=1), dense_rows=3)
+    return joined.select("view_id", "purchase_id")

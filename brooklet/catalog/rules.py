@@ -17,6 +17,8 @@ from brooklet.operators import rules as rule_ops
 from brooklet.operators import sequences
 from brooklet.operators.ordered import running, running_count
 from brooklet.sources.changelog import changelog_view
+from brooklet.plans import rule_publication
+from brooklet.session import scratch_path
 from brooklet.tables import load
 
 ORDER = ["match_time", "event_pk"]
@@ -173,15 +175,7 @@ def rules() -> list[rule_ops.Rule]:
 
 
 def rule_audience(spark: SparkSession, sf: str, which: list[rule_ops.Rule]) -> DataFrame:
-    parts = [
-        people.select_audience(profiles(spark, sf), list(rule.profile)).select(
-            F.lit(rule.rule_id).alias("rule_id"), "guid")
-        for rule in which
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return rule_publication.audience_of(which, profiles(spark, sf))
 
 
 K = "json_extract_string(props, '$.k')"
@@ -320,3 +314,27 @@ def rule_changelog_state(spark: SparkSession, sf: str) -> DataFrame:
         "rule_id": "string", "rule_desc": "string", "id": "bigint", "changed": "date"})
     return rule_ops.live_rules(typed.where(F.col("id") >= 0), ["changed", "id"]).select(
         "rule_id", "rule_desc", "operation")
+
+
+@query(f"""
+    WITH people AS (SELECT c_custkey AS guid FROM customer WHERE {WIDE_SQL}),
+    early AS (SELECT * FROM events WHERE ts < TIMESTAMP '{CUTOFF}' AND user_id IN (SELECT guid FROM people)),
+    counted AS (
+        SELECT 'M1-R1' AS rule_id, user_id AS guid, [count(*) FILTER ({R1_C1}), count(*) FILTER ({R1_C2}), count(*) FILTER ({R1_C3})] AS n
+        FROM early GROUP BY user_id
+        UNION ALL SELECT 'M2-R1', user_id, [count(*) FILTER ({R2_C1}), count(*) FILTER ({R2_C2}), 0] FROM early GROUP BY user_id),
+    rules AS (SELECT * FROM (VALUES ('M1-R1', '1'), ('M2-R1', '2')) AS t(rule_id, rule_model_id))
+    SELECT rule_id, rule_model_id, (SELECT count(*) FROM people) AS audience, CAST(sum(n[1]) AS BIGINT) AS first_counts,
+           CAST(sum(n[2]) AS BIGINT) AS second_counts, CAST(sum(n[3]) AS BIGINT) AS third_counts
+    FROM rules JOIN counted USING (rule_id) GROUP BY rule_id, rule_model_id""")
+def rule_published(spark: SparkSession, sf: str) -> DataFrame:
+    """Two rules published: metadata, audience and history baselines as they are stored."""
+    store = rule_publication.RuleStore(spark, scratch_path(spark, "published"))
+    for model in ("1", "2"):
+        store.add_model(model, f"model {model}", 1)
+    cutoff = F.lit(CUTOFF).cast("timestamp_ntz")
+    rule_publication.publish(store, [RULE_1, RULE_2], profiles(spark, sf), history(spark, sf), COLUMNS, ["event_pk"], cutoff)
+    stored = store.rules_of("1").unionByName(store.rules_of("2")).join(store.audience_sizes(), "rule_id")
+    counts = store.baselines().groupBy("rule_id").agg(*[
+        F.coalesce(F.sum(F.get("base_counts", F.lit(i))), F.lit(0)).alias(n) for i, n in enumerate(("first_counts", "second_counts", "third_counts"))])
+    return stored.join(counts, "rule_id").select("rule_id", "rule_model_id", "audience", "first_counts", "second_counts", "third_counts")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from brooklet.catalog import changes as change_queries
 from brooklet.catalog.registry import query
 from brooklet.operators.buckets import BucketedTable
+from brooklet.operators.routing import parse_lines
 from brooklet.operators.changestate import create_table_if_absent, text_schema
 from brooklet.plans.rule_publication import RuleStore
 from brooklet.session import scratch_path
@@ -127,3 +128,19 @@ def rule_store(spark: SparkSession, sf: str) -> DataFrame:
     store.add_rules(rows, members)
     found = store.rules_of("M1").join(store.audience_sizes(), "rule_id")
     return found.select("rule_id", "rule_model_id", "audience", "rule_define_json")
+
+
+@query("""
+    SELECT kind, event_id, event_type FROM events, (VALUES ('text'), ('csv')) AS kinds(kind) WHERE event_id % 2 = 0""")
+def overwritten_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Text and CSV files written twice, the second time with other rows, and read back as lines."""
+    rows = load(spark, sf, "events").select("event_id", "event_type")
+    line = F.concat_ws(",", F.col("event_id").cast("string"), "event_type").alias("value")
+    parts = []
+    for kind, write in (("text", files.overwrite_text), ("csv", files.overwrite_csv)):
+        path = scratch_path(spark, f"overwritten-{kind}")
+        for kept in (rows, rows.where(F.col("event_id") % 2 == 0)):
+            write(kept.select(line) if kind == "text" else kept, path)
+        lines = parse_lines(files.read_lines(spark, path), "value", {"event_id": "bigint", "event_type": "string"})
+        parts.append(lines.select(F.lit(kind).alias("kind"), "event_id", "event_type"))
+    return parts[0].unionByName(parts[1])

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from brooklet.functions.times import micros, span, span_micros
 from brooklet.operators.ordered import BLOCK_ROWS, latest, running
@@ -61,6 +62,51 @@ def interval_join(
     return joined.where(within).drop("_stretch")
 
 
+#: Rows of one side of a cell, a key and a stretch of time, beyond which the cell is cut into tiles.
+DENSE_ROWS = 100_000
+
+
+def tiled_interval_join(
+    left: DataFrame, right: DataFrame, keys: list[str],
+    left_time: str, right_time: str, lower: timedelta, upper: timedelta, dense_rows: int = DENSE_ROWS,
+) -> DataFrame:
+    """``interval_join`` for keys that hold a large share of all rows within one stretch.
+
+    The rows of each cell (key and stretch) are counted first, on both sides. A cell with more than
+    ``dense_rows`` of one side is a grid of tiles: that side's rows are dealt to its rows or columns, and each
+    meets the other side's rows in all tiles of its own. So no task gets more than about ``dense_rows`` of
+    either side, and every pair meets in one tile. Dense cells are at most one per ``dense_rows`` rows, and
+    their table carries no hint.
+    """
+    width = max(span_micros(upper - lower), 1)
+
+    def stretch(time: Column) -> Column:
+        return F.floor(micros(time) / F.lit(width)).cast("bigint")
+
+    reach = F.sequence(stretch(F.col(left_time) + span(lower)), stretch(F.col(left_time) + span(upper)))
+    near = left.withColumn("_stretch", F.explode(reach))
+    placed = right.withColumn("_stretch", stretch(F.col(right_time)))
+    cell = [*keys, "_stretch"]
+
+    def counted(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy(*cell).agg(F.count(F.lit(1)).alias(name))
+
+    grid = counted(near, "_l").join(counted(placed, "_r"), cell).where((F.col("_l") > dense_rows) | (F.col("_r") > dense_rows)).select(
+        *cell, F.ceil(F.col("_l") / dense_rows).cast("int").alias("_rows"), F.ceil(F.col("_r") / dense_rows).cast("int").alias("_columns"))
+
+    def dealt(rows: DataFrame, mine: str, other: str, lengths: tuple[str, str]) -> DataFrame:
+        sized = rows.join(grid, cell, "left").withColumns({c: F.coalesce(c, F.lit(1)) for c in ("_rows", "_columns")})
+        # By content, so that a task that runs again deals its rows as before.
+        content = F.xxhash64(*[c for c in rows.columns if not isinstance(rows.schema[c].dataType, (T.MapType, T.VariantType))])
+        return sized.withColumn(mine, F.pmod(content, F.col(lengths[0])).cast("int")).withColumn(
+            other, F.explode(F.sequence(F.lit(0), F.col(lengths[1]) - 1))).drop("_rows", "_columns")
+
+    joined = dealt(near, "_row", "_column", ("_rows", "_columns")).join(
+        dealt(placed, "_column", "_row", ("_columns", "_rows")), [*cell, "_row", "_column"])
+    within = F.col(right_time).between(F.col(left_time) + span(lower), F.col(left_time) + span(upper))
+    return joined.where(within).drop("_stretch", "_row", "_column")
+
+
 def stream_interval_join(
     left: DataFrame, right: DataFrame, keys: list[str],
     left_time: str, right_time: str, lower: timedelta, upper: timedelta,

@@ -24,6 +24,10 @@ class Store:
             return []
         return sorted(s.getPath().getName() for s in self._system.listStatus(self._path(path)))
 
+    def size(self, path: str) -> int:
+        """Bytes of all that lies below a path."""
+        return self._system.getContentSummary(self._path(path)).getLength()
+
     def read(self, path: str) -> str:
         stream = self._system.open(self._path(path))
         try:
