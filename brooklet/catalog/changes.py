@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brooklet.catalog.registry import query
+from brooklet.operators.snapshot import merged_snapshot
 from brooklet.plans.change_routing import routed_as_of, route_changes
 from brooklet.sources import changelog
 from brooklet.tables import load
@@ -161,3 +162,29 @@ def changelog_sql(spark: SparkSession, sf: str) -> DataFrame:
         SELECT c_mktsegment AS segment, count(*) AS n, min(last.o_orderkey) AS least_order
         FROM live JOIN {customer} ON o_custkey = c_custkey
         WHERE last.operation <> 'DELETE' GROUP BY c_mktsegment""", customer=load(spark, sf, "customer"))
+
+
+@query(LATEST_STATE)
+def cdc_snapshot_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers' latest orders, from a snapshot in chunks of keys that is read while the log goes on.
+
+    Days and order keys make log positions. A chunk's marks are some hundred days apart, and each of its rows is
+    read at a moment of its own between them.
+    """
+    width, step = 250, 1_000_000_000_000
+    day = F.unix_date(F.col("o_orderdate").cast("date")).cast("bigint")
+    log = load(spark, sf, "orders").select(
+        "o_custkey", "o_orderkey", operation().alias("operation"), (day * step + F.col("o_orderkey")).alias("position"))
+    chunk = F.floor(F.col("o_custkey") / width)
+    # Chunks are read in no order of their keys, at times all over the years of the log.
+    low = (F.lit(9_200) + F.pmod(F.xxhash64("chunk"), F.lit(1_500))) * step
+    marks = log.select(chunk.alias("chunk")).distinct().withColumn("low", low).withColumn("high", F.col("low") + 400 * step)
+    moment = F.col("low") + F.pmod(F.xxhash64("o_custkey"), F.lit(401)) * step
+    seen = log.withColumn("chunk", chunk).join(marks, "chunk").where(F.col("position") <= moment)
+    rows = changelog.current_state(seen, ["o_custkey"], ["position"]).select("o_custkey", "o_orderkey")
+    feed = merged_snapshot(rows, marks, log, ["o_custkey"], chunk, "position")
+    # What a row was read as is the last change up to its high mark.
+    names = log.select("o_orderkey", F.col("operation").alias("was"))
+    live = changelog.current_state(feed, ["o_custkey"], ["position"]).join(names, "o_orderkey")
+    kind = F.when(F.col("operation") == changelog.READ, F.col("was")).otherwise(F.col("operation"))
+    return live.select("o_custkey", "o_orderkey", kind.alias("operation"))
