@@ -13,6 +13,7 @@ from brooklet.functions.predicates import (
 )
 from brooklet.functions.times import text
 from brooklet.operators import audience as people
+from brooklet.operators import bitmaps
 from brooklet.operators import rules as rule_ops
 from brooklet.operators import sequences
 from brooklet.operators.ordered import running, running_count
@@ -338,3 +339,28 @@ def rule_published(spark: SparkSession, sf: str) -> DataFrame:
     counts = store.baselines().groupBy("rule_id").agg(*[
         F.coalesce(F.sum(F.get("base_counts", F.lit(i))), F.lit(0)).alias(n) for i, n in enumerate(("first_counts", "second_counts", "third_counts"))])
     return stored.join(counts, "rule_id").select("rule_id", "rule_model_id", "audience", "first_counts", "second_counts", "third_counts")
+
+
+ALGEBRA = "c_acctbal BETWEEN 0 AND 8000 AND c_nationkey >= 5 AND NOT (c_mktsegment = 'BUILDING')"
+
+
+def _algebra(spark: SparkSession, sf: str) -> DataFrame:
+    """Those of two rules' audiences and not of a third one's, from stored containers."""
+    path = scratch_path(spark, "audiences")
+    conditions = {"wide": WIDE_PROFILE, "far": PROFILE[2:], "builders": PROFILE[1:2]}
+    for name, profile in conditions.items():
+        bitmaps.to_containers(people.select_audience(profiles(spark, sf), profile)).write.parquet(f"{path}/{name}")
+    wide, far, builders = (spark.read.parquet(f"{path}/{name}") for name in conditions)
+    return bitmaps.combine(bitmaps.combine(wide, far, "and"), builders, "and not")
+
+
+@query(f"SELECT c_custkey AS guid FROM customer WHERE {ALGEBRA}")
+def audience_algebra(spark: SparkSession, sf: str) -> DataFrame:
+    return bitmaps.members_of(_algebra(spark, sf))
+
+
+@query(f"SELECT event_id, user_id AS guid FROM events WHERE user_id IN (SELECT c_custkey FROM customer WHERE {ALGEBRA})")
+def audience_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of an audience's members, which are probed in its containers."""
+    rows = history(spark, sf).select(F.col("event_pk").alias("event_id"), "guid")
+    return bitmaps.only_members(rows, _algebra(spark, sf))
