@@ -142,6 +142,7 @@ def _event(event: str, count: int = 0, condition: int = 0, window: tuple = (), *
     return spec
 
 
+# The keys of the rule format; ids, attributes and numbers are of these queries.
 RULE_1 = json.dumps({
     "ruleModelId": "1", "ruleId": "M1-R1",
     "triggerEvent": _event("purchase"),

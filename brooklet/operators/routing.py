@@ -64,6 +64,7 @@ def side_outputs(df: DataFrame, routes: dict[str, Column], default: str) -> dict
 
 # Application logs ---------------------------------------------------------------------
 
+# Fields of application logs.
 LOG_SCHEMA = (
     "common STRUCT<ar STRING, ba STRING, ch STRING, is_new STRING, md STRING, mid STRING, os STRING,"
     " uid STRING, vc STRING>,"

@@ -20,6 +20,7 @@ from brooklet.streaming import runner
 TOPIC_ORDER, TOPIC_DETAIL, TOPIC_WIDE = "dwd_order_info", "dwd_order_detail", "dwm_order_wide"
 SPAN = (timedelta(seconds=-5), timedelta(seconds=5))
 
+# Fields of orders and their details.
 MONEY = "DECIMAL(18,2)"
 ORDER_SCHEMA = (
     f"id BIGINT, province_id BIGINT, order_status STRING, user_id BIGINT, total_amount {MONEY},"

@@ -20,6 +20,7 @@ from brooklet.streaming import runner
 TOPIC_PAYMENT, TOPIC_ORDER_WIDE, TOPIC_WIDE = "dwd_payment_info", "dwm_order_wide", "dwm_payment_wide"
 SPAN = (timedelta(minutes=-15), timedelta(seconds=30))
 
+# Fields of payments and of wide order rows.
 PAYMENT_SCHEMA = (
     f"id BIGINT, order_id BIGINT, user_id BIGINT, total_amount {MONEY}, subject STRING,"
     " payment_type STRING, create_time STRING, callback_time STRING"

@@ -1,4 +1,7 @@
-"""Worked examples with documented results."""
+"""Worked examples with documented results.
+
+Fixed values: the rows of the examples and their results.
+"""
 
 from datetime import timedelta
 

@@ -1,4 +1,7 @@
-"""Rule conditions and rule expressions."""
+"""Rule conditions and rule expressions.
+
+Fixed values: the keys of rule conditions. Attribute and page names are of these tests.
+"""
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,9 +14,9 @@ from brooklet.functions.predicates import (
 
 def events(spark):
     return spark.createDataFrame(
-        [(1, "e1", "2023-07-01 12:00:00", {"pageId": "page001"}), (2, "e1", "2023-07-30 12:00:01", {"pageId": "page001"}),
-         (3, "e1", "2023-07-15 00:00:00", {"pageId": "page002"}), (4, "e1", "2023-07-15 00:00:00", {}),
-         (5, "e2", "2023-07-15 00:00:00", {"pageId": "page001"}), (6, "e1", "2023-07-30 12:00:00", {"pageId": "page001"})],
+        [(1, "e1", "2023-07-01 12:00:00", {"shelf": "s-10"}), (2, "e1", "2023-07-30 12:00:01", {"shelf": "s-10"}),
+         (3, "e1", "2023-07-15 00:00:00", {"shelf": "s-20"}), (4, "e1", "2023-07-15 00:00:00", {}),
+         (5, "e2", "2023-07-15 00:00:00", {"shelf": "s-10"}), (6, "e1", "2023-07-30 12:00:00", {"shelf": "s-10"})],
         "id INT, event_id STRING, t STRING, properties MAP<STRING, STRING>",
     ).withColumn("event_time", F.to_timestamp_ntz("t"))
 
@@ -26,20 +29,20 @@ def hit(spark, spec, columns=None):
 def test_event_window_is_inclusive_and_missing_attributes_fail(spark):
     spec = EventSpec.parse({
         "eventId": "e1", "windowStart": "2023-07-01 12:00:00", "windowEnd": "2023-07-30 12:00:00",
-        "attributeParams": [{"attributeName": "pageId", "compareType": "=", "compareValue": "page001"}]})
+        "attributeParams": [{"attributeName": "shelf", "compareType": "=", "compareValue": "s-10"}]})
     assert hit(spark, spec) == [1, 6]
     assert hit(spark, spec, EventColumns(attribute=json_attribute("props"))) == [1, 6]
 
 
 @pytest.mark.parametrize("compare, ids", [(">", [3]), ("<=", [1, 2, 5, 6]), (">=", [1, 2, 3, 5, 6]), ("<", [])])
 def test_attributes_compare_as_text(spark, compare, ids):
-    spec = EventSpec(None, (Attribute("pageId", compare, "page001"),))
+    spec = EventSpec(None, (Attribute("shelf", compare, "s-10"),))
     assert hit(spark, spec, EventColumns(attribute=map_attribute("properties"))) == ids
 
 
 def test_unknown_comparison_is_refused():
     with pytest.raises(ValueError):
-        Attribute("pageId", "like", "x")
+        Attribute("shelf", "like", "x")
 
 
 def profiles(spark):
