@@ -18,7 +18,8 @@ from html import unescape
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import small_batches, text_or_empty
+from brooklet.llm.common import small_batches
+from brooklet.llm.words import valid_text
 
 SPLIT = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -353,7 +354,8 @@ def extract(pages: DataFrame, id_column: str = "page_id", html_column: str = "ht
     is none, without menus, headers and footers of the site, side bars, notices, adverts, forms,
     scripts, styles and comments of readers. Character references
     are decoded, white space within a block becomes one space, blocks are joined by newlines in
-    page order. Nothing else is dropped. A null page counts as empty; a page without text gives
+    page order. Nothing else is dropped. A null page counts as empty, and bytes that are no
+    UTF-8 as U+FFFD; a page without text gives
     an empty text; rows that repeat are read each for itself; other columns play no part.
 
     No shuffle: one pass, a batch of pages at a time, one page's tree in memory.
@@ -361,7 +363,7 @@ def extract(pages: DataFrame, id_column: str = "page_id", html_column: str = "ht
     small_batches(pages.sparkSession)
     kinds = dict(pages.dtypes)
     rest = [(f"_{i}", c) for i, c in enumerate((id_column, *keep))]
-    rows = pages.select(*[F.col(f"`{c}`").alias(a) for a, c in rest], text_or_empty(F.col(f"`{html_column}`")).alias("html"))
+    rows = pages.select(*[F.col(f"`{c}`").alias(a) for a, c in rest], valid_text(F.col(f"`{html_column}`")).alias("html"))
 
     def run(batches):
         import pyarrow as pa
