@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from brooklet.llm.common import small_batches, text_or_empty, written
 from brooklet.llm.components import connected_components
+from brooklet.llm.words import valid_text
 
 #: Members of a cluster that one task compares with as many others.
 CHUNK = 256
@@ -263,7 +264,7 @@ def near_duplicates(
 
     Words are what stands between ASCII white space, A to Z lower-cased; a text's set has its
     distinct runs of ``words`` words, or all its words as one run if they are fewer. Texts are linked
-    when ``whole * intersection >= part * union`` of their sets. ``component_id`` is the smallest
+    when ``whole * intersection >= part * union`` of their sets; bytes that are no UTF-8 count as U+FFFD. ``component_id`` is the smallest
     id that links lead to, and the document of that id is ``kept``. Null and empty texts have no
     shingles and no links. Rows that repeat an id are linked each by its own text; of several with
     the smallest id, the first is kept. A row with a null id takes part, but is kept only if its
@@ -281,7 +282,7 @@ def near_duplicates(
     bands = bands_for(part / whole, rows, miss)
     here = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(f"`{id_column}`").cast("long").alias("doc_id"),
-        text_or_empty(F.col(f"`{text_column}`")).alias("text"), text_key(F.col(f"`{text_column}`")).alias("text_key"))
+        valid_text(F.col(f"`{text_column}`")).alias("text"), text_key(F.col(f"`{text_column}`")).alias("text_key"))
     signed = written(_signatures(here, words, rows, bands), "signatures")
     classes = written(signed.filter("n > 0").groupBy("h", "g").agg(
         F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("bands").alias("bands"),
