@@ -16,7 +16,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import small_batches, text_or_empty
+from brooklet.llm.common import small_batches
+from brooklet.llm.words import valid_text
 
 #: Rows of the table of word vectors, and their length: words share rows by hash, so the table that
 #: every task holds has one size, whatever the vocabulary.
@@ -130,7 +131,7 @@ def word_vectors(docs: DataFrame, text_column: str = "text") -> np.ndarray:
             pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], names=["block", "sums"])
 
     schema = "block int, sums binary"
-    parts = docs.select(text_or_empty(F.col(f"`{text_column}`")).alias("text")).mapInArrow(gather, schema)
+    parts = docs.select(valid_text(F.col(f"`{text_column}`")).alias("text")).mapInArrow(gather, schema)
     summed = parts.repartition(32, "block").mapInArrow(add_up, schema)
     table = np.zeros((ROWS, DIMS))
     for row in summed.collect():
@@ -252,12 +253,12 @@ def score(
 
     Word vectors come from all texts, the labels only from documents for which ``learn_from``, an
     expression over ``doc_id``, holds. Nothing but the text enters a score. Null texts count as
-    empty, and texts without words get the score of a zero vector. Without labelled documents all
+    empty, bytes that are no UTF-8 as U+FFFD, and texts without words get the score of a zero vector. Without labelled documents all
     scores are 0.5. Rows that repeat are scanned each for itself; other columns play no part. Tasks
     hold one batch of texts and the table of vectors.
     """
     small_batches(docs.sparkSession)
-    here = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), text_or_empty(F.col(f"`{text_column}`")).alias("text"))
+    here = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), valid_text(F.col(f"`{text_column}`")).alias("text"))
     vectors = word_vectors(here)
     learn = here if learn_from is None else here.filter(learn_from)
     network = train(learn, labels, vectors, label)
@@ -275,7 +276,7 @@ def score(
 
     kinds = dict(docs.dtypes)
     rows = docs.select(
-        F.col(f"`{id_column}`").cast("long").alias("doc_id"), text_or_empty(F.col(f"`{text_column}`")).alias("text"),
+        F.col(f"`{id_column}`").cast("long").alias("doc_id"), valid_text(F.col(f"`{text_column}`")).alias("text"),
         *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(carry)])
     schema = ", ".join(["doc_id long, score double", *(f"_{i} {kinds[c]}" for i, c in enumerate(carry))])
     return rows.mapInArrow(run, schema).select("doc_id", "score", *[F.col(f"_{i}").alias(c) for i, c in enumerate(carry)])
