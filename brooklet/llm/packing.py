@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from brooklet.llm.common import small_batches, text_or_empty, written
+from brooklet.llm.common import small_batches, written
+from brooklet.llm.words import valid_text
 
 #: Parts that a task remembers, twice at most, and those that it looks up in one go; only speed
 #: depends on them.
@@ -148,7 +149,7 @@ def tokenize(docs: DataFrame, definition: str, end_id: int, id_column: str = "do
                 pa.array(counts, pa.int64()), pa.array(ids, pa.binary()),
             ], names=["doc_id", "part", "place", "tokens", "ids"])
 
-    rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), text_or_empty(F.col(f"`{text_column}`")).alias("text"))
+    rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), valid_text(F.col(f"`{text_column}`")).alias("text"))
     return written(rows.mapInArrow(run, TOKENS), "tokens")
 
 
@@ -202,7 +203,8 @@ def pack(docs: DataFrame, definition: str, length: int = 2048, end_id: int = 1,
     """All documents as pieces of sequences of ``length`` ids; see ``cut_stream``.
 
     A document is its ids and ``end_id``; each id lies in one piece. Documents keep the order of
-    the input's partitions. Null and empty texts are the end id alone; an empty table has no
+    the input's partitions. Null and empty texts are the end id alone, bytes that are no
+    UTF-8 count as U+FFFD; an empty table has no
     pieces; repeated rows are packed as often as they come; other columns play no part.
     """
     return cut_stream(tokenize(docs, definition, end_id, id_column, text_column), length, id_width(definition))
