@@ -155,9 +155,9 @@ def coalesce_merge(spark: SparkSession, sf: str) -> DataFrame:
       ON names.segment = c_mktsegment""")
 def range_map(spark: SparkSession, sf: str) -> DataFrame:
     customer = load(spark, sf, "customer")
-    # One number, the end of the range.
-    end = customer.agg(F.max("c_custkey")).first()[0] + 1
-    ids = spark.range(0, end, 1, numPartitions=2)
+    # One number, the end of the range; none of an empty table. Slices are as many as the cluster has cores.
+    end = customer.agg(F.coalesce(F.max("c_custkey") + 1, F.lit(0))).first()[0]
+    ids = spark.range(0, end)
     names = spark.createDataFrame(
         [("BUILDING", "b"), ("MACHINERY", "m"), ("FURNITURE", "f")], "segment string, label string")
     rows = ids.join(customer, ids.id == customer.c_custkey)
