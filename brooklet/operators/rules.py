@@ -172,7 +172,8 @@ def fan_out(events: DataFrame, rules: list[Rule], audience: DataFrame, columns:
         "guid", F.col(columns.time).alias("match_time"), *unique, F.col(columns.event_id).alias("_on"), properties.alias("_properties"))
     table, held, others = rule_index(events.sparkSession, rules)
     index = hinted(table, held)
-    people = audience.select(*RULE_KEY).distinct()
+    # The id itself; but that of a single rule is a constant, and would be taken out of the joins' keys as one.
+    people = audience.select(F.explode(F.array("rule_id")).alias("rule_id"), "guid").distinct()
 
     wanted = people.join(hinted(table.where(F.col("on_event").isNotNull()).select("rule_id", F.col("on_event").alias("_on")), held), "rule_id")
     met = rows.join(wanted, ["guid", "_on"]).join(index.withColumn("_on", F.col("on_event")), ["rule_id", "_on"])

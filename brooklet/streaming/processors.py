@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StatefulProcessor
 from brooklet.functions.times import micros, span_micros
 from brooklet.operators.patterns import MATCH, TIMEOUT, Pattern
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: JSON of rows that wait: times to the microsecond, nulls kept.
 JSON = {
@@ -31,7 +32,7 @@ def _keyed(keys: list[str]) -> Column:
 
 def use_state_lists(spark: SparkSession) -> None:
     """Lists, maps and timers need this state store; streams that have a checkpoint keep their own."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    spark.conf.set(PROVIDER, ROCKS)
 
 
 class Waiting(StatefulProcessor):

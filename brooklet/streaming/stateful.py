@@ -145,6 +145,39 @@ def bounces(
         watch, out, BOUNCE_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
+def _flags(lists: pd.Series, size: int) -> np.ndarray:
+    """Lists of flags as a table of ones and zeros with ``size`` columns; lists may be shorter, longer or null."""
+    out = np.zeros((len(lists), size), dtype="int64")
+    lengths = np.array([0 if x is None else min(len(x), size) for x in lists])
+    if lengths.sum():
+        row = np.repeat(np.arange(len(lists)), lengths)
+        column = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        out[row, column] = np.concatenate([np.asarray(x[:n], dtype=object) for x, n in zip(lists, lengths) if n]) == True  # noqa: E712
+    return out
+
+
+def _walked(lists: pd.Series, step: int, n: int) -> tuple[list[tuple[int, int]], tuple[int, int]]:
+    """The state of a sequence after each row, and after the last: only rows that meet the step waited for are
+    gone to, by the next such row of each step."""
+    length = max((len(x) for x in lists if x is not None), default=0)
+    flags, rows = _flags(lists, length), len(lists)
+    step = step if step < length else 0
+    following = np.full((rows + 1, length), rows)
+    for i in range(length):
+        places = np.where(flags[:, i] > 0, np.arange(rows), rows)
+        following[:rows, i] = np.minimum.accumulate(places[::-1])[::-1]
+    at, states = [0], [(step, n)]
+    row = int(following[0, step]) if length and rows else rows
+    while row < rows:
+        step, n = (0, n + 1) if step == length - 1 else (step + 1, n)
+        at.append(row)
+        states.append((step, n))
+        row = int(following[row + 1, step])
+    # Each row has the state of the last change at or before it.
+    last = np.searchsorted(np.array(at[1:], dtype="int64"), np.arange(rows), side="right")
+    return [states[i] for i in last], states[-1]
+
+
 RULE_STATE = "counts ARRAY<BIGINT>, step INT, sequences BIGINT"
 
 
@@ -177,16 +210,10 @@ def rule_progress(
                 if base is not None:
                     counts = [*[int(c) for c in base], *[0] * conditions][:conditions]
                     step, sequences = int(first[start[1]]), int(first[start[2]])
-        seen, completed = [], []
-        for hits, steps in zip(batch["hits"], batch["steps"]):
-            counts = [c + bool(i < len(hits) and hits[i]) for i, c in enumerate(counts)]
-            step = step if step < len(steps) else 0
-            if len(steps) and steps[step]:
-                step, sequences = (0, sequences + 1) if step == len(steps) - 1 else (step + 1, sequences)
-            seen.append(tuple(counts))
-            completed.append(sequences)
-        state.update((counts, step, sequences))
-        yield batch.assign(**{c: [s[i] for s in seen] for i, c in enumerate(counters)}, sequences=completed)
+        counted = np.asarray(counts, dtype="int64") + np.cumsum(_flags(batch["hits"], conditions), axis=0)
+        done, (step, sequences) = _walked(batch["steps"], step, sequences)
+        state.update(([int(c) for c in counted[-1]], step, sequences))
+        yield batch.assign(**{c: counted[:, i] for i, c in enumerate(counters)}, sequences=[n for _, n in done])
 
     return rows.groupBy(*keys).applyInPandasWithState(
         advance, out, RULE_STATE, "append", GroupStateTimeout.NoTimeout)
@@ -200,15 +227,9 @@ def sequence_progress(df: DataFrame, keys: list[str], order: list[str]) -> DataF
         batch = _ordered(batches, order)
         if batch is None:
             return
-        step, n = state.get if state.exists else (0, 0)
-        steps, counts = [], []
-        for hits in batch["hits"]:
-            if hits[step]:
-                step, n = (0, n + 1) if step == len(hits) - 1 else (step + 1, n)
-            steps.append(step)
-            counts.append(n)
+        done, (step, n) = _walked(batch["hits"], *(state.get if state.exists else (0, 0)))
         state.update((step, n))
-        yield batch.assign(step=steps, n=counts)
+        yield batch.assign(step=[s for s, _ in done], n=[n for _, n in done])
 
     return df.groupBy(*keys).applyInPandasWithState(
         advance, out, "step INT, n BIGINT", "append", GroupStateTimeout.NoTimeout)

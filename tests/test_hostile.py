@@ -231,3 +231,29 @@ def test_null_keys_of_sequences(spark):
         assert {(r["k"], r["at"]): r["n"] for r in walked} == {(k, i): (i + 1) // 2 for k, i, _ in rows}
         final = sequences.sequence_state(df, ["k"], ["at"], 2, block_rows=block_rows).collect()
         assert {r["k"]: (r["step"], r["n"]) for r in final} == {k: (0, 20) for k in (None, 1, big, big + 1)}
+
+
+def test_walks_in_one_go_equal_single_steps():
+    """Counters and sequences of a stream's batch, against one row after the other."""
+    import random
+
+    import numpy as np
+    import pandas as pd
+
+    from brooklet.streaming.stateful import _flags, _walked
+
+    draw = random.Random(3)
+    for _ in range(200):
+        length, rows = draw.randrange(4), draw.randrange(1, 12)
+        lists = pd.Series([[draw.random() < 0.4 for _ in range(length)] for _ in range(rows)], dtype=object)
+        step, n = draw.randrange(3), draw.randrange(5)
+        done, last = _walked(lists, step, n)
+        step = step if step < length else 0
+        want = []
+        for hits in lists:
+            if length and hits[step]:
+                step, n = (0, n + 1) if step == length - 1 else (step + 1, n)
+            want.append((step, n))
+        assert done == want and last == want[-1]
+        assert _flags(lists, 2).tolist() == [[int(h[i]) if i < len(h) else 0 for i in range(2)] for h in lists]
+    assert _flags(pd.Series([None, [True], np.array([False, True, True])]), 2).tolist() == [[0, 0], [1, 0], [0, 1]]

@@ -41,7 +41,7 @@ def test_filters_reach_the_scan(plans, name, pushed):
     ("session_count_keyed", 1), ("bounce_detail", 1), ("count_window_keyed", 1), ("count_slide_keyed", 1),
     ("tumbling_count_keyed", 1), ("first_visit_daily", 1), ("cdc_latest_state", 1), ("rolling_min_by", 1),
     ("watermark_progress", 1), ("json_typed_events", 0), ("dirty_record_split", 0), ("cdc_flatten", 0),
-    ("display_explode", 0), ("rule_model1_matches", 1), ("late_refire_log", 2),
+    ("display_explode", 0), ("rule_model1_matches", 2), ("late_refire_log", 2),
 ])
 def test_shuffles(plans, name, shuffles):
     tree = plans[name].split("\n\n")[0]

@@ -1,6 +1,6 @@
 """Random inputs against plain Python."""
 
-import pandas as pd
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -21,7 +21,9 @@ def plain_walk(masks, last, state):
 @given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 7)), min_size=1, max_size=60), st.integers(0, 2))
 def test_walking_in_jumps_equals_walking_row_by_row(rows, step):
     rows = sorted(rows, key=lambda r: r[0])
-    batch = pd.DataFrame({"k": [r[0] for r in rows], "_steps": [[i for i in range(3) if r[1] >> i & 1] for r in rows], "_last": 2})
+    met = [[i for i in range(3) if r[1] >> i & 1] for r in rows]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows]), pa.array(met, pa.list_(pa.int32())), pa.array([2] * len(rows))], names=["k", "_steps", "_last"])
     jumps = sequences._next_hits(batch)
     for (key,), begin, end in sequences._runs(batch, ["k"]):
         masks = [m for k, m in rows if k == key]
