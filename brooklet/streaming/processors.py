@@ -4,9 +4,9 @@ State is kept in the RocksDB state store; rows wait there until the watermark ha
 in order of time across micro-batches, and timers wake what waits without new rows. A row that comes behind the
 watermark is left out, as by every operator with a watermark.
 
-As-of joins keep one state per bucket of keys: what a call costs is paid once for many keys. A
+As-of joins and patterns keep one state per bucket of keys: what a call costs is paid once for many keys. A
 micro-batch reads and writes the buckets it touches whole, so these hold no more than the rows of the allowed
-disorder, and one version per key; more ``buckets`` make each smaller.
+disorder, one version per key or the runs that wait; more ``buckets`` make each smaller.
 """
 
 from __future__ import annotations
@@ -138,120 +138,80 @@ def asof_join(
     return found.unionByName(left.where(~matchable).select("*", *missing))
 
 
-class Waiting(StatefulProcessor):
-    """Takes the rows of a key in order once the watermark has passed them."""
+def _runs_ended(strict: list[bool], limit: int | None):
+    """The pattern's runs in one bucket; its state is the rows that wait, and the runs."""
+    last = len(strict)
 
-    #: Fields of a waiting row; it begins with its time in microseconds and is ordered by all fields before ``payload``.
-    fields: str
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", self.fields)
-
-    def handleInputRows(self, key, rows, timerValues):
-        new = [r for batch in rows for r in zip(*[batch[c].tolist() for c in self.columns], strict=True)]
-        yield from self._go_on(key, new, timerValues.getCurrentWatermarkInMs() * 1000)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        yield from self._go_on(key, [], timerValues.getCurrentWatermarkInMs() * 1000)
-
-    def _go_on(self, key, new: list, clock: int):
-        held = [*self.waiting.get(), *new] if self.waiting.exists() else new
-        passed = sorted((tuple(r) for r in held if r[0] <= clock), key=lambda r: r[:self.ordered])
-        later = [tuple(r) for r in held if r[0] > clock]
-        if len(later) != len(held) or new:
-            if later:
-                self.waiting.put(later)
-            else:
-                self.waiting.clear()
-        found, wake = self.take(passed, clock)
-        wake = min([r[0] for r in later] + ([wake] if wake is not None else []), default=None)
-        if wake is not None:
-            self.handle.registerTimer(max(-(-wake // 1000), clock // 1000 + 1))
-        if found:
-            yield self.frame(key, found)
-
-    def take(self, passed: list, clock: int) -> tuple[list, int | None]:
-        """Results of rows that have been passed, and when to wake up at the latest."""
-        raise NotImplementedError
-
-    def frame(self, key, found: list) -> pd.DataFrame:
-        raise NotImplementedError
-
-    def close(self) -> None:
-        pass
-
-
-class _Runs(Waiting):
-    fields = "at BIGINT, id BIGINT, stages BIGINT"
-    columns, ordered = ("at", "id", "stages"), 2
-
-    def __init__(self, strict: list[bool], limit: int | None):
-        self.strict, self.limit = strict, limit
-
-    def init(self, handle) -> None:
-        super().init(handle)
-        self.runs = handle.getListState("runs", "stage INT, begin BIGINT, met ARRAY<BIGINT>")
-
-    def take(self, passed: list, clock: int) -> tuple[list, int | None]:
-        before = [(stage, begin, list(met)) for stage, begin, met in self.runs.get()] if self.runs.exists() else []
-        runs, found, last = before, [], len(self.strict)
-        for at, row, stages in passed:
-            runs = self._timed_out(runs, at, found)
-            left = []
-            for stage, begin, met in runs:
-                if stages >> stage & 1:
-                    met = [*met, row]
-                    if stage + 1 == last:
-                        found.append((met[0], MATCH, met))
-                    else:
-                        left.append((stage + 1, begin, met))
-                elif not self.strict[stage]:
-                    left.append((stage, begin, met))
-            if stages & 1:
-                if last == 1:
-                    found.append((row, MATCH, [row]))
+    def timed_out(key: str, runs: list, at: int, found: list) -> list:
+        if limit is None or not runs:
+            return runs
+        found.extend((key, met[0], TIMEOUT, met) for _, begin, met in runs if at - begin >= limit)
+        return [r for r in runs if at - r[1] < limit]
+
+    def go_on(key: str, runs: list, at: int, row: int, stages: int, found: list) -> list:
+        left = []
+        for stage, begin, met in timed_out(key, runs, at, found):
+            if stages >> stage & 1:
+                met = [*met, row]
+                if stage + 1 == last:
+                    found.append((key, met[0], MATCH, met))
                 else:
-                    left.append((1, at, [row]))
-            runs = left
-        runs = self._timed_out(runs, clock, found)
-        if runs != before:
-            if runs:
-                self.runs.put(runs)
+                    left.append((stage + 1, begin, met))
+            elif not strict[stage]:
+                left.append((stage, begin, met))
+        if stages & 1:
+            if last == 1:
+                found.append((key, row, MATCH, [row]))
             else:
-                self.runs.clear()
-        wake = min((begin for _, begin, _ in runs), default=None)
-        return found, None if self.limit is None or wake is None else wake + self.limit
-
-    def _timed_out(self, runs: list, at: int, found: list) -> list:
-        if self.limit is None:
-            return runs
-        found.extend((met[0], TIMEOUT, met) for _, begin, met in runs if at - begin >= self.limit)
-        return [r for r in runs if at - r[1] < self.limit]
+                left.append((1, at, [row]))
+        return left
+
+    def watch(key: tuple, batches: Batches, state: GroupState) -> Batches:
+        clock = state.getCurrentWatermarkMs() * 1000
+        waiting, kept = _kept(state, 2)
+        passed, later = _in_order(batches, waiting, ["key", "at", "id", "stages"], clock)
+        runs: dict[str, list] = {}
+        if kept is not None:
+            for name, *run in zip(*[kept[c].tolist() for c in ("key", "stage", "begin", "met")]):
+                runs.setdefault(name, []).append((*run[:2], list(run[2])))
+        found: list = []
+        order = np.lexsort([passed["id"], passed["at"]])
+        for name, *row in zip(*[passed[c].to_numpy()[order].tolist() for c in ("key", "at", "id", "stages")]):
+            runs[name] = go_on(name, runs.get(name, []), *row, found)
+        open_runs = [(name, *r) for name, of in runs.items() for r in timed_out(name, of, clock, found)]
+        _keep(state, later, pd.DataFrame(open_runs, columns=["key", "stage", "begin", "met"]))
+        wake = [int(later["at"].min())] if len(later) else []
+        if limit is not None and open_runs:
+            wake.append(min(r[2] for r in open_runs) + limit)
+        _wake(state, wake, clock)
+        if found:
+            numbers = [[None if n == NO_NUMBER else int(n) for n in met] for *_, met in found]
+            yield pd.DataFrame({
+                "key": [f[0] for f in found], "id": pd.array([n[0] for n in numbers], dtype="Int64"),
+                "reason": [f[2] for f in found], "met": numbers})
 
-    def frame(self, key, found: list) -> pd.DataFrame:
-        return pd.DataFrame({
-            "key": [key[0]] * len(found), "id": [f[0] for f in found], "reason": [f[1] for f in found], "met": [f[2] for f in found]})
+    return watch
 
 
-def match_pattern(df: DataFrame, keys: list[str], time: str, row_id: str, pattern: Pattern, disorder: str) -> DataFrame:
+def match_pattern(df: DataFrame, keys: list[str], time: str, row_id: str, pattern: Pattern, disorder: str, buckets: int = BUCKETS) -> DataFrame:
     """How the runs of a pattern end in a stream: keys, ``row_id`` of the first row, ``reason`` and ``met``.
 
     As ``operators.patterns.match_pattern``, rows being ordered by time and ``row_id``, a unique whole number. Rows wait
     until the watermark has passed them; runs time out by the watermark too, so the end of the stream alone ends
     none. State holds rows of the allowed disorder, and runs that wait; without a limit they may wait for good.
+    Keys are dealt to ``buckets``; a checkpoint keeps their number.
     """
     use_state_lists(df.sparkSession)
     stages = F.lit(0).cast("bigint")
     for i in range(len(pattern.stages)):
         stages = stages.bitwiseOR(F.when(pattern.met(i), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint"))
     rows = df.where(F.col(time).isNotNull()).select(
-        _keyed(keys), F.col(time).cast("timestamp").alias("time"), micros(F.col(time)).alias("at"), F.col(row_id).cast("bigint").alias("id"),
+        _keyed(keys), F.col(time).cast("timestamp").alias("time"), micros(F.col(time)).alias("at"), _number(row_id).alias("id"),
         stages.alias("stages")).withWatermark("time", disorder)
     limit = None if pattern.limit is None else span_micros(pattern.limit)
-    processor = _Runs([s.strict for s in pattern.stages], limit)
-    ends = rows.groupBy("key").transformWithStateInPandas(
-        processor, "key STRING, id BIGINT, reason STRING, met ARRAY<BIGINT>", "append", "EventTime")
+    ends = rows.withColumn("bucket", bucket("key", buckets)).groupBy("bucket").applyInPandasWithState(
+        _runs_ended([s.strict for s in pattern.stages], limit), "key STRING, id BIGINT, reason STRING, met ARRAY<BIGINT>",
+        "waiting BINARY, runs BINARY", "append", GroupStateTimeout.EventTimeTimeout)
     key = F.from_json("key", T.StructType([df.schema[k] for k in keys]), ROW)
     return ends.select(key.alias("k"), F.col("id").alias(row_id), "reason", "met").select("k.*", row_id, "reason", "met")
 
