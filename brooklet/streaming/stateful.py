@@ -261,39 +261,62 @@ def sequence_progress(df: DataFrame, keys: list[str], order: list[str]) -> DataF
         advance, out, "step INT, n BIGINT", "append", GroupStateTimeout.NoTimeout)
 
 
-def running_argmin(df: DataFrame, keys: list[str], order: list[str], by: str) -> DataFrame:
+def _comparable(name: str, into: str, kind: T.DataType) -> list[Column]:
+    """A column without nulls, and whether it is null: nulls would make doubles of whole numbers."""
+    value = F.coalesce(F.col(name), F.lit("0").try_cast(kind))
+    return [F.col(name).isNull().alias(f"{into}_null"), value.alias(into)]
+
+
+def running_argmin(df: DataFrame, keys: list[str], order: list[str], by: str, buckets: int = BUCKETS) -> DataFrame:
     """``df`` with the row of its key with the least ``by`` so far in ``least_`` columns; ties
-    keep the first row, and a null ``by`` is greater than any value."""
+    keep the first row, and a null ``by`` is greater than any value.
+
+    Keys are dealt to ``buckets``, whose rows are taken all at once; the state of a bucket is the least row of
+    each of its keys. A checkpoint keeps the number of buckets.
+    """
     tracked = [c for c in df.columns if c not in keys]
     fields = [df.schema[c] for c in tracked]
-    names = [f"least_{c}" for c in tracked]
-    state_schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, fields)])
-    out = T.StructType([*df.schema.fields, *state_schema.fields])
+    names = [f"_at{i}" for i in range(len(order))]
+    ranked = [c for n in reversed(names) for c in (n, f"{n}_null")]
+    kept = ["_key", "_by_null", "_by", "_row"]
+    rows = df.select(
+        F.to_json(F.struct(*keys), ROW).alias("_key"), *_comparable(by, "_by", df.schema[by].dataType),
+        *[c for n, o in zip(names, order) for c in _comparable(o, n, df.schema[o].dataType)],
+        F.to_json(F.struct(*df.columns), ROW).alias("_row"))
 
     def advance(key: tuple, batches: Batches, state: GroupState) -> Batches:
-        batch = _ordered(batches, order)
-        if batch is None:
+        frames = [b for b in batches if len(b)]
+        if not frames:
             return
-        rows = batch[tracked].reset_index(drop=True)
-        if state.exists:  # The least row so far goes ahead of the new ones.
-            rows = pd.concat([pd.DataFrame([state.get], columns=tracked).astype(rows.dtypes.to_dict(), errors="ignore"), rows], ignore_index=True)
-        value = rows[by]
-        before = value.cummin().ffill().shift()  # cummin is null at a null.
-        # A row takes over if it is less than all before it, or the first that is not null.
-        less = value.notna() & (before.isna() | (value < before))
-        less.iloc[0] = True
-        places = np.maximum.accumulate(np.where(less, np.arange(len(rows)), 0))
-        least = rows.iloc[places[len(rows) - len(batch):]].reset_index(drop=True)
-        # Column by column: a row of numbers alone would be of one type, and the state drops what is not of its own.
-        last = [least[c].iloc[-1] for c in tracked]
-        state.update(tuple(
-            None if pd.isna(v) else int(v) if isinstance(f.dataType, T.IntegralType) else v.item() if hasattr(v, "item") else v
-            for v, f in zip(last, fields)))
-        least.columns = names
-        yield pd.concat([batch.reset_index(drop=True), least], axis=1)
-
-    return df.groupBy(*keys).applyInPandasWithState(
-        advance, out, state_schema, "append", GroupStateTimeout.NoTimeout)
+        before = unpacked(state.get[0]) if state.exists else None
+        # The least rows so far go ahead of the new ones.
+        held = 0 if before is None else len(before)
+        new = pd.concat(frames, ignore_index=True)
+        batch = new[kept] if before is None else pd.concat([before, new[kept]], ignore_index=True)
+        number, is_new = pd.factorize(batch["_key"])[0], np.arange(len(batch)) >= held
+        ties = [np.append(np.zeros(held, dtype="int64"), pd.factorize(new[c], sort=True)[0]) for c in ranked]
+        place = np.lexsort([*ties, is_new, number])
+        number, is_new = number[place], is_new[place]
+        rank, values = pd.factorize(batch["_by"], sort=True)
+        rank = np.where(batch["_by_null"].to_numpy(dtype=bool) | (rank < 0), len(values), rank)[place]
+        # Ranks of a later key are less than those of all keys before, so one running minimum serves all.
+        least = np.minimum.accumulate(rank - _turns(number) * (len(values) + 1))
+        takes_over = np.append(True, least[1:] < least[:-1])
+        least = np.maximum.accumulate(np.where(takes_over, np.arange(len(place)), 0))
+        row = batch["_row"].to_numpy(dtype=object)[place]
+        last = np.append(number[1:] != number[:-1], True)
+        state.update((packed(batch[kept].iloc[place[least[last]]]),))
+        yield pd.DataFrame({"_row": row[is_new], "_least": row[least[is_new]]})
+
+    found = rows.withColumn("_bucket", bucket("_key", buckets)).groupBy("_bucket").applyInPandasWithState(
+        advance, "_row STRING, _least STRING", "least BINARY", "append", GroupStateTimeout.NoTimeout)
+    whole, part = (F.from_json(c, T.StructType(of), ROW).alias(c) for c, of in (("_row", df.schema.fields), ("_least", fields)))
+    return found.select(whole, part).select("_row.*", *[F.col(f"_least.{c}").alias(f"least_{c}") for c in tracked])
+
+
+def _turns(number: np.ndarray) -> np.ndarray:
+    """Numbers of stretches of equal values, from 0."""
+    return np.append(0, np.cumsum(number[1:] != number[:-1]))
 
 
 def count_windows(
