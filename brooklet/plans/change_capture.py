@@ -27,8 +27,10 @@ def records(raw: DataFrame) -> DataFrame:
     def image(name: str) -> Column:
         return F.concat(F.lit(f'"{name}":'), F.when(is_object(F.col(name)), F.col(name)).otherwise(F.lit("{}")))
 
-    fields = F.when(head == "{}", F.lit("{")).otherwise(F.concat(head.substr(F.lit(1), F.length(head) - 1), F.lit(",")))
-    return to_records(raw, TOPIC, F.concat(fields, image("before"), F.lit(","), image("after"), F.lit("}")), F.get(names, F.lit(2)))
+    # A column of its own, so that it is written once for each row.
+    headed = raw.withColumn("_head", head)
+    fields = F.when(F.col("_head") == "{}", F.lit("{")).otherwise(F.concat(F.expr("left(_head, length(_head) - 1)"), F.lit(",")))
+    return to_records(headed, TOPIC, F.concat(fields, image("before"), F.lit(","), image("after"), F.lit("}")), F.get(names, F.lit(2)))
 
 
 def start(raw: DataFrame, broker: Broker, checkpoint: str) -> StreamingQuery:
