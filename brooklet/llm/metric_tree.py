@@ -22,12 +22,15 @@ from brooklet.llm.common import small_batches, written
 
 #: Vectors in a page, in a subtree, and for each cell; cells at most.
 PAGE, SUBTREE, PER_CELL, CELLS = 256, 8192, 4096, 512
-#: Queries that a task searches together.
-QUERY_BLOCK = 512
+#: Queries that a task searches together, fewer than twice as many in a block; bytes of subtrees that a task holds.
+QUERY_BLOCK, HELD = 1024, 32 << 20
 #: Distances are off by less than this share of the longest.
 SLACK = 1e-7
+#: Whole numbers below this are exact as single floats, and so is every sum on the way to them.
+SINGLE = 2**24
+#: What no id is greater than.
+LAST_ID = 2**63 - 1
 
-QUERY = "query_id long, vector array<long>, floor long, cell int, part int"
 FOUND = "query_id long, vec_id long, score long"
 
 
@@ -48,6 +51,12 @@ def _lists(rows: np.ndarray):
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.astype(np.int64).ravel()))
 
 
+def _small(x: np.ndarray) -> np.ndarray:
+    """Whole numbers in the smallest type that holds them."""
+    top = np.abs(x).max(initial=0)
+    return x.astype(next((t for t in (np.int8, np.int16, np.int32) if top <= np.iinfo(t).max), np.int64))
+
+
 def lifted(x: np.ndarray, longest: float) -> np.ndarray:
     """The vectors with their one more coordinate."""
     return np.column_stack([x, np.sqrt(np.maximum(longest - np.einsum("ij,ij->i", x, x), 0))])
@@ -77,7 +86,7 @@ def build_subtree(ids: np.ndarray, x: np.ndarray, route: np.ndarray, longest: fl
         # A page that has drawn too many is cut into rings around its routing vector.
         for begin in range(0, len(members), 2 * PAGE):
             ring = slice(begin, begin + 2 * PAGE)
-            pages.append({"ids": ids[members[ring]], "x": x[members[ring]], "away": away[ring], "pivot": x[pivot], "inner": away[ring][0], "radius": away[ring][-1]})
+            pages.append({"ids": ids[members[ring]], "x": _small(x[members[ring]]), "away": away[ring], "pivot": x[pivot], "inner": away[ring][0], "radius": away[ring][-1]})
     pivots = np.stack([p["pivot"] for p in pages])
     return {
         "pages": pages, "pivots": pivots, "radius": np.array([p["radius"] for p in pages]), "inner": np.array([p["inner"] for p in pages]),
@@ -85,40 +94,89 @@ def build_subtree(ids: np.ndarray, x: np.ndarray, route: np.ndarray, longest: fl
     }
 
 
+class Search:
+    """The best ``k`` vectors of each query of a block, in the subtrees searched so far.
+
+    A block's queries meet a page as one product of matrices. ``floors`` and ``last`` are scores and ids of
+    results that each query has already: what does not go ahead of these is left out.
+    """
+
+    def __init__(self, ids: np.ndarray, q: np.ndarray, floors: np.ndarray, last: np.ndarray, k: int, longest: float):
+        kind = np.float32 if longest < SINGLE and (q * q).sum(1).max(initial=0) < SINGLE else np.float64
+        self.ids, self.q, self.k, self.longest = ids, q.astype(kind), k, longest
+        self.own = np.einsum("ij,ij->i", q, q)
+        self.slack = SLACK * (1 + np.sqrt(longest) + np.sqrt(self.own))
+        self.worst, self.last, self.limit = floors.astype(kind), last.copy(), self.reach(floors)
+        self.best = (np.zeros(0, np.int64), np.zeros(0, kind), np.zeros(0, np.int64))
+        self.pending, self.waiting = [], 0
+
+    def reach(self, scores: np.ndarray) -> np.ndarray:
+        """How far from each query a vector may be that has this score."""
+        return np.sqrt(np.maximum(self.own + self.longest - 2 * scores.astype(np.float64), 0)) + self.slack
+
+    def _away(self, y: np.ndarray) -> np.ndarray:
+        """Distances from each query to vectors; their products are exact."""
+        return np.sqrt(np.maximum(self.own[:, None] + self.longest - 2 * (self.q @ y.T.astype(self.q.dtype)).astype(np.float64), 0))
+
+    def visit(self, tree: dict, asking: np.ndarray) -> None:
+        """Searches a subtree for the queries that are ``asking``."""
+        # Pages ruled out by their distance to the cell's routing vector are not looked at.
+        near = np.abs(self._away(tree["route"][None, :-1]) - tree["away"]) - tree["radius"] <= self.limit[:, None]
+        near &= asking[:, None]
+        open_ = np.flatnonzero(near.any(0))
+        to_pivot = self._away(tree["pivots"][open_])
+        least = np.maximum(np.maximum(to_pivot - tree["radius"][open_], tree["inner"][open_] - to_pivot), 0)
+        least[~near[:, open_]] = np.inf
+        for i in np.argsort(least.min(0, initial=np.inf), kind="stable"):
+            asked = np.flatnonzero((least[:, i] <= self.limit) & near[:, open_[i]])
+            if not len(asked):
+                continue
+            page = tree["pages"][open_[i]]
+            low = np.searchsorted(page["away"], (to_pivot[asked, i] - self.limit[asked]).min(), "left")
+            high = np.searchsorted(page["away"], (to_pivot[asked, i] + self.limit[asked]).max(), "right")
+            if low >= high:
+                continue
+            scores = page["x"][low:high].astype(self.q.dtype) @ self.q[asked].T
+            good = np.flatnonzero(scores >= self.worst[asked])
+            if not len(good):
+                continue
+            row, of = np.divmod(good, len(asked))
+            of, ids, scores = asked[of], page["ids"][low:high][row], scores.ravel()[good]
+            better = ((scores > self.worst[of]) | (ids < self.last[of])) & (ids != self.ids[of])
+            self.pending.append((of[better], scores[better], ids[better]))
+            self.waiting += int(better.sum())
+            if self.waiting > len(self.ids) * self.k:
+                self.settle()
+
+    def settle(self) -> None:
+        """Takes up what was found since the last time, and looks less far."""
+        of, scores, ids = (np.concatenate(c) for c in zip(self.best, *self.pending, strict=True))
+        self.pending, self.waiting = [], 0
+        order = np.lexsort((ids, -scores, of))
+        of, begins = of[order], np.searchsorted(of[order], np.arange(len(self.ids)))
+        rank = np.arange(len(of)) - begins[of]
+        kept, last = order[rank < self.k], rank == self.k - 1
+        self.best = (of[rank < self.k], scores[kept], ids[kept])
+        full = of[last]
+        self.worst[full], self.last[full] = scores[order[last]], ids[order[last]]
+        self.limit = np.minimum(self.limit, self.reach(self.worst))
+
+    def found(self):
+        """The results as a table of ``FOUND``, best first."""
+        import pyarrow as pa
+
+        self.settle()
+        of, scores, ids = self.best
+        columns = self.ids[of], ids, scores.astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
+
+
 def search(tree: dict, query_id: int, q: np.ndarray, floor: int | None, k: int, longest: float) -> list[tuple[int, int]]:
     """The best ``k`` (score, id) of a subtree that are at least ``floor``, best first."""
-    own, slack = float(q @ q), SLACK * (1 + np.sqrt(longest) + np.sqrt(q @ q))
-
-    def reach(score: float) -> float:
-        return np.sqrt(max(own + longest - 2 * score, 0)) + slack
-
-    best_ids, best = np.zeros(0, np.int64), np.zeros(0)
-    limit = np.inf if floor is None else reach(floor)
-    to_route = np.sqrt(max(own + longest - 2 * float(q @ tree["route"][:-1]), 0))
-    # Pages ruled out by their distance to the cell's routing vector are not looked at.
-    open_ = np.flatnonzero(np.abs(to_route - tree["away"]) - tree["radius"] <= limit)
-    to_pivot = np.sqrt(np.maximum(own + longest - 2 * (tree["pivots"][open_] @ q), 0))
-    least = np.maximum(np.maximum(to_pivot - tree["radius"][open_], tree["inner"][open_] - to_pivot), 0)
-    for i in np.argsort(least, kind="stable"):
-        if least[i] > limit:
-            break
-        page = tree["pages"][open_[i]]
-        low, high = np.searchsorted(page["away"], to_pivot[i] - limit, "left"), np.searchsorted(page["away"], to_pivot[i] + limit, "right")
-        if low >= high:
-            continue
-        ids, scores = page["ids"][low:high], page["x"][low:high] @ q
-        worst = -np.inf if floor is None else floor
-        if len(best) >= k:
-            worst = max(worst, best[-1])
-        good = np.flatnonzero((scores >= worst) & (ids != query_id))
-        if not len(good):
-            continue
-        ids, scores = np.concatenate([best_ids, ids[good]]), np.concatenate([best, scores[good]])
-        order = np.lexsort((ids, -scores))[:k]
-        best_ids, best = ids[order], scores[order]
-        if len(best) >= k:
-            limit = min(limit, reach(best[-1]))
-    return [(int(s), int(i)) for s, i in zip(best, best_ids, strict=True)]
+    block = Search(np.array([query_id]), q[None, :], np.array([-np.inf if floor is None else floor]), np.array([LAST_ID]), k, longest)
+    block.visit(tree, np.array([True]))
+    found = block.found()
+    return list(zip(found.column(2).to_pylist(), found.column(1).to_pylist(), strict=True))
 
 
 def scaled(embedding: Column, factor: int) -> Column:
@@ -128,30 +186,70 @@ def scaled(embedding: Column, factor: int) -> Column:
     return F.when(~bad, whole)
 
 
-def _search_blocks(queries: DataFrame, subtrees: DataFrame, k: int, longest: float) -> DataFrame:
-    """Results of ``queries`` (``QUERY``) in the subtrees that they name."""
-    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    gathered = queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))).groupBy("cell", "part", "block").agg(
-        F.collect_list(F.struct("query_id", "vector", "floor")).alias("queries"))
+def _first_search(queries: DataFrame, subtrees: DataFrame, k: int, longest: float) -> DataFrame:
+    """Results of ``queries`` in the one subtree that each of them names."""
+    gathered = queries.groupBy("tree_number", "chunk").agg(F.collect_list(F.struct("query_id", "vector")).alias("queries"))
 
     def run(batches):
-        import pyarrow as pa
-
         for batch in batches:
             for row in range(batch.num_rows):
-                tree = pickle.loads(batch.column(0)[row].as_py())
-                asked = batch.column(1)[row].values
-                vectors = _matrix(asked.field("vector"))
-                vectors = np.pad(vectors, ((0, 0), (0, tree["pivots"].shape[1] - vectors.shape[1])))
-                out = [[], [], []]
-                for query_id, q, floor in zip(asked.field("query_id").to_pylist(), vectors, asked.field("floor").to_pylist(), strict=True):
-                    for score, vec_id in search(tree, query_id, q, floor, k, longest):
-                        for column, value in zip(out, (query_id, vec_id, score), strict=True):
-                            column.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["query_id", "vec_id", "score"])
+                tree, asked = pickle.loads(batch.column(0)[row].as_py()), batch.column(1)[row].values
+                q, n = _matrix(asked.field("vector")), len(asked)
+                block = Search(asked.field("query_id").to_numpy(), q, np.full(n, -np.inf), np.full(n, LAST_ID), k, longest)
+                block.visit(tree, np.full(n, True))
+                yield block.found()
 
     # Neither side has a bound that would allow a broadcast.
-    return gathered.join(subtrees.hint("merge"), ["cell", "part"]).select("tree", "queries").mapInArrow(run, FOUND)
+    return gathered.join(subtrees.hint("merge"), "tree_number").select("tree", "queries").mapInArrow(run, FOUND)
+
+
+def _search_all(blocks: DataFrame, subtrees: DataFrame, k: int, longest: float, held: int, tasks: int) -> DataFrame:
+    """Results of blocks of queries in all subtrees of the cells within their reach.
+
+    A task takes some blocks, one after the other, through its share of the subtrees (one of ``held``), so that
+    each subtree is met with the best results of those before it. Pairs of blocks and subtrees are
+    formed as they are searched; no table has them.
+    """
+
+    def run(batches):
+        of, block, home = None, None, None
+        for batch in batches:
+            for row in range(batch.num_rows):
+                if (number := batch.column(0)[row].as_py()) != of:
+                    if block is not None:
+                        yield block.found()
+                    asked = pickle.loads(batch.column(1)[row].as_py())
+                    block, home, of = Search(asked["ids"], asked["x"].astype(np.float64), asked["floors"], asked["last"], k, longest), asked["home"], number
+                block.visit(pickle.loads(batch.column(3)[row].as_py()), home != batch.column(2)[row].as_py())
+        if block is not None:
+            yield block.found()
+
+    some = blocks.repartitionByRange(tasks, "block")
+    pairs = some.join(subtrees.coalesce(held).hint("shuffle_replicate_nl"), F.array_contains("reach", F.col("cell")))
+    return pairs.select("block", "queries", "tree_number", "tree").mapInArrow(run, FOUND)
+
+
+def _chain(routes: np.ndarray) -> list[int]:
+    """Cells in an order that goes on to the nearest one left."""
+    away, order = distances(routes, routes), [0]
+    away[:, 0] = np.inf
+    for _ in range(len(routes) - 1):
+        order.append(int(away[order[-1]].argmin()))
+        away[:, order[-1]] = np.inf
+    return order
+
+
+def _blocks(routes: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each cell's first block and how many it is dealt to: large cells have several, neighbours share one."""
+    first, dealt, block, size = np.zeros(len(queries), np.int64), np.ones(len(queries), np.int64), 0, 0
+    for cell in _chain(routes):
+        dealt[cell] = max(1, queries[cell] // QUERY_BLOCK)
+        if size and (size >= QUERY_BLOCK or size + queries[cell] >= 2 * QUERY_BLOCK):
+            block, size = block + 1, 0
+        first[cell], size = block, size + queries[cell]
+        if dealt[cell] > 1:
+            block, size = block + dealt[cell], 0
+    return first, dealt
 
 
 def _top(found: DataFrame, k: int) -> DataFrame:
@@ -175,8 +273,9 @@ def top_k(
     Cells' routing vectors are a sample of at most ``CELLS`` vectors, every vector is in a subtree
     of its nearest one, and a cell with many vectors has many subtrees, so that a vector which a
     third of the rows share fills no task. Searches go block by block: first each query to one
-    subtree of its nearest cell, for a first k-th result; then with that to all others that it
-    does not rule out. The driver gets routing vectors, radii and counts of cells.
+    subtree of its nearest cell, for a first k-th result; then with that, in blocks of neighbours, to all
+    others that it does not rule out. In many dimensions that is nearly all of them: time then grows with queries
+    times vectors, memory and disk do not. The driver gets routing vectors, radii and counts of cells.
     """
     spark = vectors.sparkSession
     small_batches(spark)
@@ -212,21 +311,21 @@ def top_k(
     parts, radius = np.ones(len(routes), np.int64), np.full(len(routes), -1.0)
     for r in stats:
         parts[r["cell"]], radius[r["cell"]] = -(-r["n"] // SUBTREE), r["radius"]
+    offset = np.cumsum(parts) - parts
     parts_of = F.get(F.lit(parts.tolist()), F.col("cell"))
     numbered = placed.withColumn("part", F.pmod(F.xxhash64(F.lit(2), "vec_id"), parts_of).cast("int"))
 
     def plant(key, table):
         import pyarrow as pa
 
-        tree = build_subtree(table.column("vec_id").to_numpy(), _matrix(table.column("vector")), shared.value[key[0].as_py()], longest)
-        return pa.table({"cell": pa.array([key[0].as_py()], pa.int32()), "part": pa.array([key[1].as_py()], pa.int32()), "tree": pa.array([pickle.dumps(tree)], pa.binary())})
+        cell, part = key[0].as_py(), key[1].as_py()
+        tree = build_subtree(table.column("vec_id").to_numpy(), _matrix(table.column("vector")), shared.value[cell], longest)
+        return pa.table({"cell": pa.array([cell], pa.int32()), "tree_number": pa.array([offset[cell] + part], pa.int64()), "tree": pa.array([pickle.dumps(tree)], pa.binary())})
 
-    subtrees = written(numbered.groupBy("cell", "part").applyInArrow(plant, "cell int, part int, tree binary"), "subtrees")
+    subtrees = written(numbered.groupBy("cell", "part").applyInArrow(plant, "cell int, tree_number long, tree binary"), "subtrees")
 
-    asked = placed.filter(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "vector")
-
-    def visits(batches, later: bool):
-        """The subtrees to search: one of the nearest cell; later all others within reach."""
+    def at_home(batches):
+        """The queries with the subtree to search first, one of the nearest cell that has any."""
         import pyarrow as pa
 
         routes = shared.value
@@ -236,29 +335,45 @@ def top_k(
             away = np.sqrt(np.maximum(own + longest - 2 * q @ routes[:, :-1].T, 0))
             home = np.where(radius >= 0, away, np.inf).argmin(1)
             first = batch.column(0).to_numpy() // every % parts[home]
-            out = [[], [], []]
-            floors = batch.column(2).to_pylist() if later else [None] * len(q)
-            for i, floor in enumerate(floors):
-                if not later:
-                    found = [(home[i], first[i])]
-                else:
-                    slack = SLACK * (1 + np.sqrt(longest) + np.sqrt(own[i, 0]))
-                    limit = np.inf if floor is None else np.sqrt(max(own[i, 0] + longest - 2 * floor, 0)) + slack
-                    near = np.flatnonzero((radius >= 0) & (away[i] - radius <= limit))
-                    found = [(c, p) for c in near for p in range(parts[c]) if (c, p) != (home[i], first[i])]
-                for c, p in found:
-                    for column, value in zip(out, (i, c, p), strict=True):
-                        column.append(int(value))
-            at = pa.array(out[0], pa.int32())
-            floors = pa.array(floors, pa.int64())
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).take(at), batch.column(1).take(at), floors.take(at), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32()),
-            ], names=["query_id", "vector", "floor", "cell", "part"])
-
-    early = written(_search_blocks(asked.mapInArrow(lambda b: visits(b, False), QUERY), subtrees, k, longest), "first")
-    floors = _top(early, k).select(F.col("query_id").alias("of"), F.when(F.size("best") >= k, -F.get("best", F.lit(k - 1))["minus"]).alias("floor"))
-    again = asked.join(floors, F.col("query_id") == F.col("of"), "left").select("query_id", "vector", "floor")
-    visited = written(again.mapInArrow(lambda b: visits(b, True), QUERY), "visits")
-    late = _search_blocks(visited, subtrees, k, longest)
+                batch.column(0), batch.column(1), pa.array(home, pa.int32()), pa.array(offset[home] + first, pa.int64()),
+            ], names=["query_id", "vector", "home", "tree_number"])
+
+    asked = placed.filter(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "vector")
+    asked = written(asked.mapInArrow(at_home, "query_id long, vector array<long>, home int, tree_number long"), "queries")
+    queries = np.zeros(len(routes), np.int64)
+    for r in asked.groupBy("home").count().collect():
+        queries[r["home"]] = r["count"]
+    chunks = F.get(F.lit(np.maximum(1, -(-queries // (parts * QUERY_BLOCK))).tolist()), F.col("home"))
+    by_hash = F.xxhash64(F.lit(3), "query_id")
+    early = written(_first_search(asked.withColumn("chunk", F.pmod(by_hash, chunks)), subtrees, k, longest), "first")
+
+    first_block, dealt = _blocks(shared.value, queries)
+    block_of = F.get(F.lit(first_block.tolist()), F.col("home")) + F.pmod(by_hash, F.get(F.lit(dealt.tolist()), F.col("home")))
+    worst = F.get("best", F.lit(k - 1))
+    floors = _top(early, k).select(F.col("query_id").alias("of"), (-worst["minus"]).alias("floor"), worst["vec_id"].alias("last"))
+    again = asked.join(floors, F.col("query_id") == F.col("of"), "left").withColumn("block", block_of).select(
+        "block", "query_id", "vector", "floor", "last", "tree_number")
+
+    def pack(key, table):
+        """A block of queries, and the cells that any of them does not rule out."""
+        import pyarrow as pa
+
+        routes, x = shared.value, _matrix(table.column("vector"))
+        found = ~np.array(table.column("floor").is_null())
+        floors = np.where(found, np.array(table.column("floor").fill_null(0), np.float64), -np.inf)
+        last = np.array(table.column("last").fill_null(LAST_ID))
+        block = Search(table.column("query_id").to_numpy(), x, floors, last, k, longest)
+        near = (block._away(routes[:, :-1]) - radius <= block.limit[:, None]).any(0) & (radius >= 0)
+        packed = {"ids": block.ids, "x": _small(x), "floors": floors, "last": last, "home": table.column("tree_number").to_numpy()}
+        return pa.table({
+            "block": pa.array([key[0].as_py()], pa.int64()), "reach": pa.array([np.flatnonzero(near).tolist()], pa.list_(pa.int32())),
+            "queries": pa.array([pickle.dumps(packed)], pa.binary())})
+
+    blocks = written(again.groupBy("block").applyInArrow(pack, "block long, reach array<int>, queries binary"), "blocks")
+    # A vector's bytes in a subtree, and its id and distance.
+    width = 16 + size * _small(np.array([np.sqrt(longest)])).itemsize
+    count = int((first_block + dealt).max())
+    late = _search_all(blocks, subtrees, k, longest, held=-(-seen["n"] * width // HELD), tasks=min(count, max(64, -(-count // 4))))
     best = _top(early.unionAll(late), k).select("query_id", F.posexplode("best").alias("place", "item"))
     return best.select("query_id", (F.col("place") + 1).cast("int").alias("rank"), F.col("item.vec_id").alias("vec_id"), (-F.col("item.minus")).alias("score"))
