@@ -24,6 +24,8 @@ from brooklet.llm.common import small_batches, written
 PAGE, SUBTREE, PER_CELL, CELLS = 256, 8192, 4096, 512
 #: Queries that a task searches together, fewer than twice as many in a block; bytes of subtrees that a task holds.
 QUERY_BLOCK, HELD = 1024, 32 << 20
+#: Groups of blocks at most, and shares of the subtrees, of which there are more where one would be larger than ``HELD``.
+GROUPS, SHARES = 4, 8
 #: Distances are off by less than this share of the longest.
 SLACK = 1e-7
 #: Whole numbers below this are exact as single floats, and so is every sum on the way to them.
@@ -203,12 +205,12 @@ def _first_search(queries: DataFrame, subtrees: DataFrame, k: int, longest: floa
     return gathered.join(subtrees.hint("merge"), "tree_number").select("tree", "queries").mapInArrow(run, FOUND)
 
 
-def _search_all(blocks: DataFrame, subtrees: DataFrame, k: int, longest: float, held: int, tasks: int) -> DataFrame:
+def _search_all(blocks: DataFrame, subtrees: DataFrame, k: int, longest: float, groups: int, shares: int) -> DataFrame:
     """Results of blocks of queries in all subtrees of the cells within their reach.
 
-    A task takes some blocks, one after the other, through its share of the subtrees (one of ``held``), so that
-    each subtree is met with the best results of those before it. Pairs of blocks and subtrees are
-    formed as they are searched; no table has them.
+    A group of blocks goes, one after the other, through a share of the subtrees, so that each subtree is met with
+    the best results of those before it. Blocks are copied to all shares and subtrees to all groups, few of either;
+    pairs of blocks and subtrees are formed as they are searched, and no table has them.
     """
 
     def run(batches):
@@ -224,8 +226,19 @@ def _search_all(blocks: DataFrame, subtrees: DataFrame, k: int, longest: float,
         if block is not None:
             yield block.found()
 
-    some = blocks.repartitionByRange(tasks, "block")
-    pairs = some.join(subtrees.coalesce(held).hint("shuffle_replicate_nl"), F.array_contains("reach", F.col("cell")))
+    def tile(group: Column, share: Column) -> Column:
+        return (group * shares + share).cast("int").alias("tile")
+
+    def each(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    asked = blocks.select("block", "reach", "queries", each(shares).alias("other")).select(
+        tile(F.col("block") % groups, F.col("other")), "block", "reach", "queries")
+    met = subtrees.select("cell", "tree_number", "tree", each(groups).alias("other")).select(
+        tile(F.col("other"), F.col("tree_number") % shares), "cell", "tree_number", "tree")
+    tasks = 2 * groups * shares
+    tiles = asked.repartition(tasks, "tile").join(met.repartition(tasks, "tile").hint("merge"), "tile")
+    pairs = tiles.where(F.array_contains("reach", F.col("cell")))
     return pairs.select("block", "queries", "tree_number", "tree").mapInArrow(run, FOUND)
 
 
@@ -374,6 +387,6 @@ def top_k(
     # A vector's bytes in a subtree, and its id and distance.
     width = 16 + size * _small(np.array([np.sqrt(longest)])).itemsize
     count = int((first_block + dealt).max())
-    late = _search_all(blocks, subtrees, k, longest, held=-(-seen["n"] * width // HELD), tasks=min(count, max(64, -(-count // 4))))
+    late = _search_all(blocks, subtrees, k, longest, min(count, GROUPS), max(min(SHARES, int(parts.sum())), -(-seen["n"] * width // HELD)))
     best = _top(early.unionAll(late), k).select("query_id", F.posexplode("best").alias("place", "item"))
     return best.select("query_id", (F.col("place") + 1).cast("int").alias("rank"), F.col("item.vec_id").alias("vec_id"), (-F.col("item.minus")).alias("score"))

@@ -120,7 +120,7 @@ def test_stretches_of_time_bound_a_micro_batch(spark, tmp_path, monkeypatch):
     spark.createDataFrame(items, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_shipdate timestamp_ntz").write.parquet(f"{tmp_path}/lineitem.parquet")
     monkeypatch.setattr(catalog_patterns, "PART_ROWS", 400, raising=False)
     monkeypatch.setattr(catalog_patterns, "FILE_ROWS", 100, raising=False)
-    queries, start = [], runner.start
+    queries, start, store = [], runner.start, spark.conf.get(processors.BOUNDED, None)
     monkeypatch.setattr(runner, "start", lambda *a, **b: queries.append(start(*a, **b)) or queries[-1])
     found = rows_of(QUERIES["stream_dim_refresh"](spark, str(tmp_path)))
     whole = QUERIES["dim_refresh"](spark, str(tmp_path))
@@ -130,4 +130,4 @@ def test_stretches_of_time_bound_a_micro_batch(spark, tmp_path, monkeypatch):
     # Shipments are read twice, for those with and those without a time; one stretch holds the day of many rows.
     assert len(taken) > 6
     assert max(taken) < 2 * (400 + 300)
-    assert spark.conf.get(processors.BOUNDED, "false") == "false"
+    assert spark.conf.get(processors.BOUNDED, None) == store
